@@ -21,8 +21,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _has_at_most(df, max_rows) else df
+
+
+def _has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def distinct_zip_states(zip_states: DataFrame) -> DataFrame:
@@ -48,8 +51,12 @@ def with_state(
     ``product_id, state, date_time``. The dimension is broadcast when its
     size is checked to be small, so the click side is never shuffled for it.
     """
-    dim = distinct_zip_states(zip_states) if dedupe else zip_states.select("zip_code", "state")
-    dim = bounded_broadcast(dim, max_broadcast_rows)
+    pairs = zip_states.select("zip_code", "state")
+    dim = distinct_zip_states(pairs) if dedupe else pairs
+    # The distinct pairs are no more than the input rows, so the bound is
+    # checked on the input, where the check can stop early.
+    if not dim.isStreaming and _has_at_most(pairs, max_broadcast_rows):
+        dim = F.broadcast(dim)
     joined = clicks.join(dim, "zip_code", "left")
     return joined.select(
         "product_id",

@@ -1,0 +1,24 @@
+"""Partitioning guards for inputs whose split count does not match the
+cluster."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a batch input over at least ``min_partitions`` tasks
+    (default: the cluster's default parallelism).
+
+    A large table arrives in many file splits and is returned unchanged;
+    a file with a single row group arrives as one split, and every
+    per-row step after it (parsing, joining, partial aggregation) would
+    otherwise run in one task. The round-robin shuffle moves the raw
+    columns once so those steps run on all cores.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

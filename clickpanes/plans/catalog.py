@@ -17,6 +17,7 @@ from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
 from clickpanes.operators.dims import distinct_zip_states, with_state
 from clickpanes.operators.featured import hour_slice, product_totals
 from clickpanes.operators.parse import click_records, click_times
+from clickpanes.operators.partitioning import ensure_parallel
 from clickpanes.operators.views import product_views, views_by_window
 from clickpanes.plans.featured import day_clicks, featured_from_clicks
 from clickpanes.plans.grid import gap_filled_views
@@ -51,7 +52,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lines(spark, sf_dir) -> DataFrame:
-    return event_lines(_t(spark, sf_dir, "events"))
+    return event_lines(ensure_parallel(_t(spark, sf_dir, "events")))
 
 
 def zip_states(spark, sf_dir) -> DataFrame:

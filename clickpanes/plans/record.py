@@ -16,14 +16,11 @@ def record_clicks(
     trigger: str | None = "1 minute",
     partition_by: str = "zip_code",
     fmt: str = "parquet",
-    writers_per_key: int | None = None,
+    layout: str = "range",
 ) -> StreamingQuery:
     """Parse every line (rows with a bad time are kept; the time stays
-    text) and append it under ``partition_by`` folders.
-
-    By default rows are written by the task that read them, which cannot
-    be skewed by a busy zip code; ``writers_per_key`` instead groups each
-    zip code into at most that many files per micro-batch.
+    text) and append it under ``partition_by`` folders, about one file per
+    zip code and micro-batch (``layout``, see ``cluster_for_write``).
     """
     return start_file_sink(
         click_records(lines),
@@ -33,6 +30,6 @@ def record_clicks(
         partition_by=partition_by,
         trigger=trigger,
         query_name=None,
-        writers_per_key=writers_per_key,
-        salt_cols=["offset"] if "offset" in lines.columns else None,
+        layout=layout,
+        tie_breakers=["offset"] if "offset" in lines.columns else ["customer_id", "date_time"],
     )

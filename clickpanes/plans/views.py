@@ -40,7 +40,7 @@ def start_views_per_state(
     partition_by: str | None = "hour",
     trigger: str | None = None,
     query_name: str = QUERY_NAME,
-    writers_per_key: int | None = None,
+    layout: str = "range",
 ) -> StreamingQuery:
     """Start the views query writing ``fmt`` files (``csv`` is written with
     ``|`` as separator, as the test mode does)."""
@@ -54,6 +54,6 @@ def start_views_per_state(
         trigger=trigger,
         query_name=query_name,
         options=options,
-        writers_per_key=writers_per_key,
-        salt_cols=["product_id", "state"],
+        layout=layout,
+        tie_breakers=["product_id", "state", "period_start"],
     )

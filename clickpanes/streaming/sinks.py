@@ -21,12 +21,29 @@ def apply_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWr
     return writer.trigger(processingTime=trigger)
 
 
-def spread_by_key(df: DataFrame, key: str, writers_per_key: int, salt_cols: Sequence[str]) -> DataFrame:
-    """Route rows of one key value to at most ``writers_per_key`` tasks, so
-    each key value gets at most that many files per batch and a hot value is
-    still written by several tasks."""
-    salt = F.pmod(F.xxhash64(*salt_cols), F.lit(writers_per_key))
-    return df.repartition(key, salt)
+def cluster_for_write(
+    df: DataFrame,
+    key: str,
+    tie_breakers: Sequence[str],
+    layout: str = "range",
+    tasks: int | None = None,
+) -> DataFrame:
+    """Group rows by the partition key before a partitioned write.
+
+    ``range``: range-partition on ``(key, *tie_breakers)``. Each task gets
+    a contiguous run of key values, so a key value lands in one file per
+    batch (two at a run boundary); the boundaries come from a sample of
+    the batch, so a key value holding a large share of the rows is cut
+    across several tasks by the tie-breakers instead of loading one.
+    ``none``: write rows where they are (no shuffle; one file per key value
+    per input task).
+    """
+    if layout == "none":
+        return df
+    if layout != "range":
+        raise ValueError(f"layout must be 'range' or 'none', got {layout!r}")
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, key, *tie_breakers)
 
 
 def start_file_sink(
@@ -38,15 +55,14 @@ def start_file_sink(
     trigger: str | None = None,
     query_name: str | None = None,
     options: dict[str, str] | None = None,
-    writers_per_key: int | None = None,
-    salt_cols: Sequence[str] | None = None,
+    layout: str = "range",
+    tie_breakers: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to files; exactly once through the sink's log and the
-    checkpoint. Without ``writers_per_key`` the rows are written where they
-    are (no extra shuffle); with it, rows are grouped by the partition key
-    first (fewer files per batch)."""
-    if partition_by and writers_per_key:
-        df = spread_by_key(df, partition_by, writers_per_key, salt_cols or df.columns)
+    checkpoint. With ``partition_by``, rows are first clustered by the key
+    (see ``cluster_for_write``) so each batch writes few files per folder."""
+    if partition_by:
+        df = cluster_for_write(df, partition_by, tie_breakers, layout)
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)

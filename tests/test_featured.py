@@ -1,0 +1,120 @@
+"""Featured report: closing minute, slice, top/low, enrichment, layout."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpanes.operators.featured import (
+    day_number,
+    featured_products,
+    hour_slice,
+    product_totals,
+    top_products,
+)
+from clickpanes.plans import catalog
+from clickpanes.schemas import REPORT_COLUMNS
+from clickpanes.sinks import read_report, write_report
+from conftest import SF_SMALL
+
+
+def _views(spark, rows):
+    return spark.createDataFrame(
+        [(p, "S", c, t, int(t.strftime("%Y%m%d%H"))) for p, c, t in rows],
+        "product_id long, state string, count long, period_start timestamp, hour int",
+    )
+
+
+def _products(spark, ids):
+    return spark.createDataFrame(
+        [(i, 1, f"p{i}", "d", 1.5, None) for i in ids],
+        "product_id int, product_category_id int, product_name string, "
+        "product_description string, product_price float, product_image string",
+    )
+
+
+def test_closing_minute_below_ten_is_matched(spark):
+    d = dt.datetime(2024, 1, 2)
+    rows = [(1, 3, d + dt.timedelta(minutes=5)), (1, 4, d + dt.timedelta(hours=5, minutes=5)),
+            (1, 100, d + dt.timedelta(hours=5, minutes=10))]
+    got = hour_slice(_views(spark, rows), "2024-01-02").collect()
+    assert sorted(r["count"] for r in got) == [3, 4]
+
+
+def test_no_first_hour_rows_gives_empty_report(spark):
+    d = dt.datetime(2024, 1, 2, 5, 55)
+    v = _views(spark, [(1, 3, d)])
+    assert featured_products(v, "2024-01-02", _products(spark, [1])).count() == 0
+    # the whole-day anchor finds minute 55 instead
+    assert featured_products(v, "2024-01-02", _products(spark, [1]), anchor="day").count() == 1
+
+
+def test_top_and_low_with_ties(spark):
+    d = dt.datetime(2024, 1, 2, 0, 55)
+    v = _views(spark, [(i, c, d) for i, c in [(1, 5), (2, 5), (3, 1), (4, 9), (5, 1)]])
+    top = [r.product_id for r in top_products(product_totals(v), "top", 3).collect()]
+    low = [r.product_id for r in top_products(product_totals(v), "low", 3).collect()]
+    assert top == [4, 1, 2] and low == [3, 5, 1]
+
+
+def test_report_layout_typed_nulls(spark):
+    d = dt.datetime(2024, 1, 2, 0, 55)
+    rep = featured_products(_views(spark, [(1, 2, d)]), "2024-01-02", _products(spark, [1]))
+    assert rep.columns == REPORT_COLUMNS
+    types = dict((f.name, f.dataType.simpleString()) for f in rep.schema.fields)
+    assert types["department_id"] == "int" and types["category_name"] == "string"
+    r = rep.first()
+    assert (r.date, r.day, r.month, r.year) == ("2024-01-02", 2, 1, 2024)
+    assert r.department_id is None and r.category_name is None and r.product_name == "p1"
+
+
+def test_missing_product_drops_row(spark):
+    d = dt.datetime(2024, 1, 2, 0, 55)
+    rep = featured_products(_views(spark, [(1, 2, d), (2, 3, d)]), "2024-01-02", _products(spark, [1]))
+    assert [r.product_id for r in rep.collect()] == [1]
+
+
+@pytest.mark.parametrize("bad", ["2024-1-2", "20240102", "2024-02-30", None])
+def test_date_is_validated(bad):
+    with pytest.raises(ValueError):
+        day_number(bad)
+
+
+def test_slice_covers_closing_windows_of_the_day(spark):
+    v = catalog.views(spark, SF_SMALL)
+    s = hour_slice(v, "2024-01-01").collect()
+    assert s and {r.period_start.minute for r in s} == {55}
+    assert {r.hour // 100 for r in s} == {20240101}
+
+
+def test_report_rerun_keeps_other_day(spark, scratch):
+    out = scratch("report")
+    cws = catalog.clicks_with_state(spark, SF_SMALL)
+    from clickpanes.plans.featured import featured_from_clicks
+
+    p = catalog.products(spark, SF_SMALL)
+    for date in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        write_report(featured_from_clicks(cws, date, p), out)
+    back = read_report(spark, out)
+    days = sorted(r.day for r in back.select("day").distinct().collect())
+    assert days == [1, 2]
+    assert back.filter(F.col("day") == 1).count() <= 10
+    # one file per day, header present, | separator
+    import glob
+
+    files = glob.glob(out.replace("file:", "") + "/year=2024/month=1/day=1/*.csv")
+    assert len(files) == 1
+    head = open(files[0]).readline().strip()
+    assert head.startswith("product_id|no_views|category_id")
+
+
+def test_featured_from_clicks_equals_full_views(spark):
+    cws = catalog.clicks_with_state(spark, SF_SMALL)
+    p = catalog.products(spark, SF_SMALL)
+    from clickpanes.operators.views import product_views
+    from clickpanes.plans.featured import featured_from_clicks
+
+    for order in ("top", "low"):
+        a = featured_from_clicks(cws, "2024-01-01", p, order)
+        b = featured_products(product_views(cws), "2024-01-01", p, order)
+        assert a.collect() == b.collect()
