@@ -11,6 +11,7 @@ from clickpanes.operators.views import product_views, shape_views, views_by_wind
 from clickpanes.operators.featured import (
     closing_minute,
     day_number,
+    day_totals,
     enrich,
     featured_products,
     hour_slice,
@@ -31,6 +32,7 @@ __all__ = [
     "shape_views",
     "views_by_window",
     "closing_minute",
+    "day_totals",
     "day_number",
     "enrich",
     "featured_products",

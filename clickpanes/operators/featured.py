@@ -35,11 +35,15 @@ def day_hours(date: str) -> tuple[int, int]:
     return d, d + 23
 
 
-def closing_minute(views: DataFrame, date: str, anchor: str = "hour00") -> Column:
-    """Scalar subquery: the largest window-start minute in the first hour
-    of the day (``anchor='hour00'``, as the production job) or over the
-    whole day (``anchor='day'``). NULL when there are no windows there, in
-    which case the slice, and so the report, is empty.
+def closing_minute(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame:
+    """One row, ``closing_minute``: the largest window-start minute in the
+    first hour of the day (``anchor='hour00'``, as the production job) or
+    over the whole day (``anchor='day'``). NULL when there are no windows
+    there, in which case the slice, and so the report, is empty.
+
+    A global aggregate has exactly one row, so joining it in is a broadcast
+    of one row: no scalar subquery planned apart from the main query, and
+    the views upstream are computed once for both uses.
     """
     first, last = day_hours(date)
     if anchor == "hour00":
@@ -48,19 +52,23 @@ def closing_minute(views: DataFrame, date: str, anchor: str = "hour00") -> Colum
         scope = views.filter(F.col("hour").between(first, last))
     else:
         raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
-    return scope.select(F.max(F.minute("period_start")).alias("closing_minute")).scalar()
+    return scope.agg(F.max(F.minute("period_start")).alias("closing_minute"))
+
+
+def _at_closing_minute(df: DataFrame, minute: Column, views: DataFrame, date: str, anchor: str) -> DataFrame:
+    mm = F.broadcast(closing_minute(views, date, anchor))
+    return df.join(mm, minute == F.col("closing_minute")).drop("closing_minute")
 
 
 def hour_slice(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame:
     """Views of the day's windows that start at the closing minute.
 
-    Both predicates on ``hour`` prune partition directories when the views
+    The predicates on ``hour`` prune partition directories when the views
     are read from their hour-partitioned store.
     """
     first, last = day_hours(date)
-    return views.filter(F.col("hour").between(first, last)).filter(
-        F.minute("period_start") == closing_minute(views, date, anchor)
-    )
+    day = views.filter(F.col("hour").between(first, last))
+    return _at_closing_minute(day, F.minute("period_start"), views, date, anchor)
 
 
 def product_totals(views_slice: DataFrame) -> DataFrame:
@@ -70,6 +78,21 @@ def product_totals(views_slice: DataFrame) -> DataFrame:
     )
 
 
+def day_totals(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame:
+    """``product_id, no_views`` over the day's slice, aggregated before the
+    slice is chosen: one pass sums per product and window minute (at most
+    ``60 / slide`` rows per product), then the closing minute's sums are
+    kept. Equal to ``product_totals(hour_slice(...))``."""
+    first, last = day_hours(date)
+    per_minute = (
+        views.filter(F.col("hour").between(first, last))
+        .groupBy("product_id", F.minute("period_start").alias("minute"))
+        .agg(F.sum("count").cast("bigint").alias("no_views"))
+    )
+    kept = _at_closing_minute(per_minute, F.col("minute"), views, date, anchor)
+    return kept.select("product_id", "no_views")
+
+
 def _direction(order: str) -> str:
     try:
         return _ORDERS[order]
@@ -157,8 +180,7 @@ def featured_products(
     anchor: str = "hour00",
 ) -> DataFrame:
     """Report of the day's ``n`` most or least viewed products."""
-    totals = product_totals(hour_slice(views, date, anchor))
-    top = top_products(totals, order, n)
+    top = top_products(day_totals(views, date, anchor), order, n)
     enriched = enrich(top, products, categories, departments)
     return report_layout(
         enriched,

@@ -2,10 +2,10 @@
 
 ``product_views`` counts each click once into its pane (the span of
 ``gcd(size, slide)`` whose events share the same windows), then spreads the
-pane counts to the windows that cover the pane. Compared with ``F.window``,
-which copies every click into ``size / slide`` rows before aggregating,
-the raw rows pass through one hash aggregation instead of twelve copies;
-only the far smaller pane counts are multiplied. Both aggregations group by
+pane counts to the windows that cover the pane. Compared with ``F.window``
+on the clicks, which copies every click into ``size / slide`` rows before
+aggregating, the raw rows pass through one hash aggregation instead of
+twelve copies; only the far smaller pane counts are multiplied. Both aggregations group by
 a time key, so a product or state holding a large share of the clicks is
 still spread over many groups and partial (map-side) aggregation bounds
 what any task receives.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, ViewWindow
-from clickpanes.functions.timekeys import hour_key, pane_seconds, pane_start, window_starts
+from clickpanes.functions.timekeys import hour_key, pane_seconds, pane_start
 
 VIEW_COLUMNS = ["product_id", "state", "count", "period_start", "hour"]
 
@@ -39,21 +39,27 @@ def product_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> Dat
     Input ``product_id, state, date_time`` with non-NULL times. Output
     ``product_id bigint, state string, count bigint, period_start
     timestamp, hour int`` with one row per non-empty window.
+
+    Stage 1 counts clicks per pane (partial counts are combined map-side
+    before the shuffle); stage 2 hands each pane count, stamped with the
+    pane's start, to Spark's sliding ``window`` and sums per window. A
+    window covers the whole pane exactly when it covers the pane's start,
+    because window bounds are multiples of the pane length.
     """
     pane_s = pane_seconds(window.size_s, window.slide_s)
     panes = (
-        clicks.select("product_id", "state", pane_start("date_time", pane_s).alias("pane"))
+        clicks.select(
+            "product_id",
+            "state",
+            F.timestamp_micros(pane_start("date_time", pane_s)).alias("pane"),
+        )
         .groupBy("product_id", "state", "pane")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    spread = panes.select(
-        "product_id",
-        "state",
-        F.explode(window_starts(F.col("pane"), window.size_s, window.slide_s)).alias("start_us"),
-        "n",
-    )
-    counts = spread.groupBy("product_id", "state", "start_us").agg(F.sum("n").alias("count"))
-    return shape_views(counts.withColumn("period_start", F.timestamp_micros("start_us")))
+    counts = panes.groupBy(
+        F.window("pane", window.size, window.slide).alias("w"), "product_id", "state"
+    ).agg(F.sum("n").alias("count"))
+    return shape_views(counts.withColumn("period_start", F.col("w.start")))
 
 
 def views_by_window(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
 from clickpanes.operators.dims import distinct_zip_states, with_state
-from clickpanes.operators.featured import hour_slice, product_totals
+from clickpanes.operators.featured import day_totals, hour_slice
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.partitioning import ensure_parallel
 from clickpanes.operators.views import product_views, views_by_window
@@ -133,7 +133,7 @@ def q_hour_slice(spark, sf_dir):
 
 
 def q_product_totals_day(spark, sf_dir):
-    return product_totals(hour_slice(day_views(spark, sf_dir), REPORT_DATE))
+    return day_totals(day_views(spark, sf_dir), REPORT_DATE)
 
 
 def _featured(spark, sf_dir, date, order, full=True):

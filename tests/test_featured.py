@@ -118,3 +118,13 @@ def test_featured_from_clicks_equals_full_views(spark):
         a = featured_from_clicks(cws, "2024-01-01", p, order)
         b = featured_products(product_views(cws), "2024-01-01", p, order)
         assert a.collect() == b.collect()
+
+
+def test_day_totals_equal_slice_totals(spark):
+    from clickpanes.operators.featured import day_totals
+
+    v = catalog.views(spark, SF_SMALL)
+    for anchor in ("hour00", "day"):
+        a = day_totals(v, "2024-01-01", anchor)
+        b = product_totals(hour_slice(v, "2024-01-01", anchor))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
