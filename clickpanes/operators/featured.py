@@ -12,10 +12,11 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpanes.config import FEATURED_N
+from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.schemas import REPORT
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -189,3 +190,125 @@ def featured_products(
         with_categories=categories is not None,
         with_departments=departments is not None,
     )
+
+
+# --- every day at once ---------------------------------------------------
+
+
+# Broadcast bound for per-day tables (one row per day of data).
+MAX_DAYS = 100_000
+
+
+def _day_key() -> Column:
+    return F.floor(F.col("hour") / 100).cast("int")
+
+
+def daily_totals(views: DataFrame, anchor: str = "hour00") -> DataFrame:
+    """``day_key (yyyymmdd), product_id, no_views`` for the slice of every
+    day in the views: one aggregation per (day, product, window minute),
+    then each day's closing-minute sums are kept (a join on day and
+    minute with the per-day closing minutes, one row per day)."""
+    per_minute = views.groupBy(
+        _day_key().alias("day_key"), "product_id", F.minute("period_start").alias("minute")
+    ).agg(F.sum("count").cast("bigint").alias("no_views"))
+    if anchor == "hour00":
+        scope = views.filter(F.col("hour") % 100 == 0)
+    elif anchor == "day":
+        scope = views
+    else:
+        raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
+    closing = scope.groupBy(_day_key().alias("closing_day")).agg(
+        F.max(F.minute("period_start")).alias("closing_minute")
+    )
+    # One row per day: a checked broadcast, so the per-minute sums are
+    # never shuffled by day (a busy day would load a few tasks).
+    closing = bounded_broadcast(closing, MAX_DAYS)
+    kept = per_minute.join(
+        closing,
+        (F.col("day_key") == F.col("closing_day")) & (F.col("minute") == F.col("closing_minute")),
+    )
+    return kept.select("day_key", "product_id", "no_views")
+
+
+def top_products_per_day(totals: DataFrame, order: str = "top", n: int = FEATURED_N) -> DataFrame:
+    """The ``n`` most or least viewed products of each day.
+
+    ``row_number() <= n`` over a window per day is planned with a window
+    group limit: every task keeps only its own ``n`` best rows per day
+    before the shuffle, so even a day holding most of the data sends at
+    most ``n`` rows per task to its ranking task.
+    """
+    w = Window.partitionBy("day_key").orderBy(*_ranking(order))
+    return (
+        totals.withColumn("_rank", F.row_number().over(w))
+        .filter(F.col("_rank") <= n)
+        .drop("_rank")
+    )
+
+
+def daily_report_layout(
+    enriched: DataFrame,
+    order: str = "top",
+    with_categories: bool = False,
+    with_departments: bool = False,
+) -> DataFrame:
+    """Report columns for rows carrying their own ``day_key``."""
+    types = {f.name: f.dataType for f in REPORT.fields}
+
+    def absent(name: str) -> Column:
+        return F.lit(None).cast(types[name]).alias(name)
+
+    with_departments = with_categories and with_departments
+    key = F.col("day_key")
+    cols = [
+        F.col("product_id").cast("bigint").alias("product_id"),
+        F.col("no_views"),
+        F.col("product_category_id").alias("category_id"),
+        F.col("department_id") if with_departments else absent("department_id"),
+        F.col("product_name"),
+        F.col("product_description"),
+        F.col("product_image"),
+        F.col("product_price"),
+        F.col("category_name") if with_categories else absent("category_name"),
+        F.col("department_name") if with_departments else absent("department_name"),
+        F.date_format(F.to_date(key.cast("string"), "yyyyMMdd"), "yyyy-MM-dd").alias("date"),
+        (key % 100).cast("int").alias("day"),
+        (F.floor(key / 100) % 100).cast("int").alias("month"),
+        F.floor(key / 10000).cast("int").alias("year"),
+    ]
+    return enriched.select(*cols).orderBy("year", "month", "day", *_ranking(order))
+
+
+def enrich_daily(
+    top: DataFrame,
+    products: DataFrame,
+    categories: DataFrame | None = None,
+    departments: DataFrame | None = None,
+    order: str = "top",
+) -> DataFrame:
+    """Enrichment and layout of per-day top rows (``day_key`` carried)."""
+    out = top.join(products, "product_id")
+    if categories is not None:
+        out = out.join(categories, F.col("category_id") == F.col("product_category_id"))
+        if departments is not None:
+            out = out.join(departments, F.col("department_id") == F.col("category_department_id"))
+    return daily_report_layout(
+        out,
+        order,
+        with_categories=categories is not None,
+        with_departments=departments is not None,
+    )
+
+
+def featured_products_daily(
+    views: DataFrame,
+    products: DataFrame,
+    order: str = "top",
+    n: int = FEATURED_N,
+    categories: DataFrame | None = None,
+    departments: DataFrame | None = None,
+    anchor: str = "hour00",
+) -> DataFrame:
+    """``featured_products`` for every day of the views in one plan."""
+    top = top_products_per_day(daily_totals(views, anchor), order, n)
+    return enrich_daily(top, products, categories, departments, order)

@@ -19,7 +19,7 @@ from clickpanes.operators.featured import day_totals, hour_slice
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.partitioning import ensure_parallel
 from clickpanes.operators.views import product_views, views_by_window
-from clickpanes.plans.featured import day_clicks, featured_from_clicks
+from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
 from clickpanes.plans.grid import gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
@@ -159,6 +159,15 @@ def q_featured_products_only(spark, sf_dir):
     return _featured(spark, sf_dir, REPORT_DATE, "top", full=False)
 
 
+def q_featured_all_days(spark, sf_dir):
+    return featured_all_days(
+        clicks_with_state(spark, sf_dir),
+        products(spark, sf_dir),
+        categories=categories(spark, sf_dir),
+        departments=departments(spark, sf_dir),
+    )
+
+
 def q_view_grid(spark, sf_dir):
     return view_grid(series_keys(views(spark, sf_dir)), GRID_START, GRID_STEPS, GRID_STEP_S)
 
@@ -211,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "featured_top": q_featured_top,
     "featured_low": q_featured_low,
     "featured_products_only": q_featured_products_only,
+    "featured_all_days": q_featured_all_days,
     "view_grid": q_view_grid,
     "fill_views": q_fill_views,
     "record_roundtrip": q_record_roundtrip,

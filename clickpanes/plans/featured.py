@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, FEATURED_N, ViewWindow
-from clickpanes.operators.featured import day_number, featured_products
+from clickpanes.operators.dims import bounded_broadcast
+from clickpanes.operators.featured import (
+    MAX_DAYS,
+    daily_totals,
+    day_number,
+    enrich_daily,
+    featured_products,
+    top_products_per_day,
+)
 from clickpanes.operators.views import product_views
 from clickpanes.scratch import scratch_root
 from clickpanes.sinks import write_report
@@ -72,3 +80,28 @@ def featured_from_clicks(
 
 def run_featured(report: DataFrame, path: str, order: str = "top") -> None:
     write_report(report, path, order)
+
+
+def featured_all_days(
+    clicks: DataFrame,
+    products: DataFrame,
+    order: str = "top",
+    n: int = FEATURED_N,
+    categories: DataFrame | None = None,
+    departments: DataFrame | None = None,
+    window: ViewWindow = DEFAULT_WINDOW,
+    anchor: str = "hour00",
+) -> DataFrame:
+    """Reports of every day (a backfill): views are counted once and
+    stored with a reliable checkpoint, then sliced and ranked per day. The
+    ranked rows (at most ``n`` per day) are stored too, their count is
+    checked, and they are the broadcast side of the enrichment joins, so
+    the product table is scanned once and never shuffled."""
+    views = product_views(clicks, window)
+    if views.isStreaming:
+        raise ValueError("featured_all_days needs batch clicks")
+    scratch_root(views.sparkSession)
+    views = views.checkpoint(eager=True)
+    top = top_products_per_day(daily_totals(views, anchor), order, n).checkpoint(eager=True)
+    top = bounded_broadcast(top, n * MAX_DAYS)
+    return enrich_daily(top, products, categories, departments, order)

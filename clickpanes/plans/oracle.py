@@ -129,6 +129,28 @@ def _featured_sql(date: str, order: str = "DESC", full: bool = True) -> str:
     )
 
 
+_ALL_DAYS = """mmd AS (
+  SELECT hour // 100 AS day_key, max(minute(period_start)) AS m
+  FROM pv WHERE hour % 100 = 0 GROUP BY hour // 100),
+tot AS (
+  SELECT pv.hour // 100 AS day_key, pv.product_id, sum(pv.count)::BIGINT AS no_views
+  FROM pv JOIN mmd ON pv.hour // 100 = mmd.day_key AND minute(pv.period_start) = mmd.m
+  GROUP BY pv.hour // 100, pv.product_id),
+top AS (
+  SELECT * FROM tot
+  QUALIFY row_number() OVER (PARTITION BY day_key ORDER BY no_views DESC, product_id) <= 10)
+SELECT t.product_id::BIGINT AS product_id, t.no_views,
+       p.product_category_id AS category_id, d.department_id,
+       p.product_name, p.product_description, p.product_image, p.product_price,
+       c.category_name, d.department_name,
+       strftime(strptime(t.day_key::VARCHAR, '%Y%m%d'), '%Y-%m-%d') AS date,
+       (t.day_key % 100)::INTEGER AS day, ((t.day_key // 100) % 100)::INTEGER AS month,
+       (t.day_key // 10000)::INTEGER AS year
+FROM top t
+JOIN products p ON p.product_id = t.product_id
+JOIN categories c ON c.category_id = p.product_category_id
+JOIN departments d ON d.department_id = c.category_department_id"""
+
 _GRID = f"""grid AS (
   SELECT k.product_id, k.state, s.period_start,
          strftime(s.period_start, '%Y%m%d%H')::INTEGER AS hour
@@ -158,6 +180,7 @@ WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTER
     "featured_top": _featured_sql(REPORT_DATE, "DESC"),
     "featured_low": _featured_sql(REPORT_DATE, "ASC"),
     "featured_products_only": _featured_sql(REPORT_DATE, "DESC", full=False),
+    "featured_all_days": _with(*_BASE, _views(), DIMS) .rstrip("\n") + ",\n" + _ALL_DAYS,
     "view_grid": _with(*_BASE, _views(), _GRID) + "SELECT * FROM grid",
     "fill_views": _with(*_BASE, _views(), _GRID)
     + """SELECT g.product_id, g.state, coalesce(pv.count, 0)::BIGINT AS count,

@@ -128,3 +128,16 @@ def test_day_totals_equal_slice_totals(spark):
         a = day_totals(v, "2024-01-01", anchor)
         b = product_totals(hour_slice(v, "2024-01-01", anchor))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_all_days_equal_single_day_reports(spark):
+    from clickpanes.plans.featured import featured_all_days, featured_from_clicks
+
+    cws = catalog.clicks_with_state(spark, SF_SMALL)
+    p = catalog.products(spark, SF_SMALL)
+    for order in ("top", "low"):
+        daily = featured_all_days(cws, p, order)
+        for date in ("2024-01-01", "2024-01-07", "2024-01-20"):
+            one = featured_from_clicks(cws, date, p, order)
+            day = daily.filter(F.col("date") == date)
+            assert day.exceptAll(one).count() == 0 and one.exceptAll(day).count() == 0, (order, date)
