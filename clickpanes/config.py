@@ -37,6 +37,10 @@ class ViewWindow:
     slide: str = "5 minutes"
     delay: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.slide_s > self.size_s:
+            raise ValueError(f"slide {self.slide!r} is longer than the window {self.size!r}")
+
     @property
     def size_s(self) -> int:
         return interval_seconds(self.size)

@@ -24,6 +24,8 @@ from clickpanes.plans.grid import gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
 from clickpanes.operators.grid import series_keys, view_grid
+from clickpanes.operators.sampling import bucket_totals
+from clickpanes.functions.sampling import stable_bucket
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
 from clickpanes.scratch import scratch_path
 from clickpanes.sinks import read_report, write_report
@@ -45,6 +47,8 @@ SECOND_DATE = "2024-01-16"
 GRID_START = "2024-01-14 23:55:00"
 GRID_STEPS = 287
 GRID_STEP_S = 300
+PRODUCT_BUCKETS = 16
+LATE_PRODUCERS = 4
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +132,32 @@ def q_product_views_stream(spark, sf_dir):
     return spark.read.schema(PRODUCT_VIEWS).parquet(out)
 
 
+def q_product_views_stream_late(spark, sf_dir):
+    """Late data on the real table: the events are split into
+    ``LATE_PRODUCERS`` producers (stable bucket of the user) that deliver
+    their whole backlog one after another; after each delivery the stream
+    runs to the end of the available files and stops, and the next run
+    resumes from the checkpoint. Every row is delivered; rows whose windows
+    closed under an earlier producer's watermark are dropped as late."""
+    src = scratch_path(spark, "late-src")
+    out, chk = scratch_path(spark, "late-out"), scratch_path(spark, "late-chk")
+    events = _t(spark, sf_dir, "events")
+    dims = zip_states(spark, sf_dir)
+    producer = stable_bucket("user_id", LATE_PRODUCERS)
+    for b in range(LATE_PRODUCERS):
+        events.filter(producer == b).write.mode("append").parquet(src)
+        query = start_views_per_state(
+            event_lines(events_stream(spark, src, glob=None)),
+            dims,
+            out,
+            chk,
+            partition_by=None,
+            trigger="availableNow",
+        )
+        query.awaitTermination()
+    return spark.read.schema(PRODUCT_VIEWS).parquet(out)
+
+
 def q_hour_slice(spark, sf_dir):
     return hour_slice(day_views(spark, sf_dir), REPORT_DATE)
 
@@ -206,6 +236,10 @@ def q_json_dims(spark, sf_dir):
     )
 
 
+def q_stable_buckets(spark, sf_dir):
+    return bucket_totals(views(spark, sf_dir), PRODUCT_BUCKETS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_clicks": q_parse_clicks,
     "parse_click_times": q_parse_click_times,
@@ -215,6 +249,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_views_by_window": q_product_views_by_window,
     "product_views_dev": q_product_views_dev,
     "product_views_stream": q_product_views_stream,
+    "product_views_stream_late": q_product_views_stream_late,
     "hour_slice": q_hour_slice,
     "product_totals_day": q_product_totals_day,
     "featured_top": q_featured_top,
@@ -223,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "featured_all_days": q_featured_all_days,
     "view_grid": q_view_grid,
     "fill_views": q_fill_views,
+    "stable_buckets": q_stable_buckets,
     "record_roundtrip": q_record_roundtrip,
     "report_roundtrip": q_report_roundtrip,
     "json_dims": q_json_dims,

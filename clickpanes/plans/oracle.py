@@ -8,7 +8,15 @@ of the pane method the Spark side uses.
 
 from __future__ import annotations
 
-from clickpanes.plans.catalog import GRID_START, GRID_STEP_S, GRID_STEPS, REPORT_DATE, SECOND_DATE
+from clickpanes.plans.catalog import (
+    GRID_START,
+    GRID_STEP_S,
+    GRID_STEPS,
+    LATE_PRODUCERS,
+    PRODUCT_BUCKETS,
+    REPORT_DATE,
+    SECOND_DATE,
+)
 
 _WHOLE = r"'^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$'"
 _FRACTION = r"'^\s*[+-]?\.[0-9]+\s*$'"
@@ -151,6 +159,35 @@ JOIN products p ON p.product_id = t.product_id
 JOIN categories c ON c.category_id = p.product_category_id
 JOIN departments d ON d.department_id = c.category_department_id"""
 
+_LATE = f"""tb AS (
+  SELECT * FROM (
+    SELECT {_lenient('a[2]')} AS product_id,
+           {_lenient('a[3]', 'INTEGER')} AS zip_code,
+           try_strptime(a[6], '%Y/%m/%d %H:%M:%S') AS date_time,
+           (('0x' || substr(md5({_lenient('a[1]')}::VARCHAR), 1, 8))::BIGINT
+              % {LATE_PRODUCERS})::INTEGER AS producer
+    FROM fields) WHERE date_time IS NOT NULL),
+cb AS (
+  SELECT t.product_id, coalesce(z.state, 'Unknown') AS state, t.date_time, t.producer
+  FROM tb t LEFT JOIN zs z ON t.zip_code = z.zip_code),
+mx AS (SELECT producer, max(date_time) AS m FROM cb GROUP BY producer),
+thr AS (
+  SELECT p.producer,
+         (SELECT max(m) FROM mx WHERE mx.producer < p.producer) - INTERVAL 1 HOUR AS closed
+  FROM (SELECT DISTINCT producer FROM cb) p),
+pairs AS (
+  SELECT product_id, state, producer,
+         time_bucket(INTERVAL 5 MINUTE, date_time) - to_minutes((5 * i)::INTEGER) AS period_start
+  FROM cb, range(12) r(i)),
+kept AS (
+  SELECT pairs.* FROM pairs JOIN thr USING (producer)
+  WHERE thr.closed IS NULL OR period_start + INTERVAL 1 HOUR > thr.closed)
+SELECT product_id, state, count(*) AS count, period_start,
+       strftime(period_start, '%Y%m%d%H')::INTEGER AS hour
+FROM kept
+WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cb) - INTERVAL 1 HOUR
+GROUP BY product_id, state, period_start"""
+
 _GRID = f"""grid AS (
   SELECT k.product_id, k.state, s.period_start,
          strftime(s.period_start, '%Y%m%d%H')::INTEGER AS hour
@@ -174,6 +211,7 @@ ORACLE_SQL: dict[str, str] = {
     "product_views_stream": _with(*_BASE, _views())
     + """SELECT * FROM pv
 WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTERVAL 1 HOUR""",
+    "product_views_stream_late": _with(LINES, ZIP_STATES, _LATE),
     "hour_slice": _with(*_BASE, _views(), _slice(REPORT_DATE)) + "SELECT * FROM sl",
     "product_totals_day": _with(*_BASE, _views(), _slice(REPORT_DATE))
     + "SELECT product_id, sum(count)::BIGINT AS no_views FROM sl GROUP BY product_id",
@@ -187,6 +225,11 @@ WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTER
        g.period_start, g.hour
 FROM grid g LEFT JOIN pv ON g.product_id = pv.product_id AND g.state = pv.state
                         AND g.period_start = pv.period_start""",
+    "stable_buckets": _with(*_BASE, _views())
+    + f"""SELECT (('0x' || substr(md5(product_id::VARCHAR), 1, 8))::BIGINT % {PRODUCT_BUCKETS})::INTEGER
+         AS bucket,
+       sum(count)::BIGINT AS no_views, count(DISTINCT product_id) AS products
+FROM pv GROUP BY 1""",
     "record_roundtrip": _with(LINES) + RECORDS,
     "report_roundtrip": "("
     + _featured_sql(REPORT_DATE)

@@ -65,12 +65,21 @@ def event_lines(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("offset"), line.alias("value"))
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The events table as a file stream (each new parquet file = new data)."""
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
+def events_stream(
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    glob: str | None = "events.parquet",
+) -> DataFrame:
+    """Events as a file stream: every new Parquet file under ``path`` is
+    new data. By default only the shared ``events.parquet`` file of a
+    scale-factor folder is read; ``glob=None`` reads every file."""
+    reader = spark.readStream.schema(EVENTS)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def zip_states_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:

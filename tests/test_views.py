@@ -42,11 +42,11 @@ def test_window_boundaries(spark):
     assert {r.hour for r in out} == {2024010111, 2024010112}
 
 
-def test_gapped_windows_when_slide_exceeds_size(spark):
-    w = ViewWindow("5 minutes", "10 minutes")
-    rows = [(1, "S", dt.datetime(2024, 1, 1, 0, 2)), (1, "S", dt.datetime(2024, 1, 1, 0, 7))]
-    out = product_views(_clicks(spark, rows), w).collect()
-    assert [(r.period_start, r["count"]) for r in out] == [(dt.datetime(2024, 1, 1, 0, 0), 1)]
+def test_slide_longer_than_window_is_rejected():
+    import pytest
+
+    with pytest.raises(ValueError):
+        ViewWindow("5 minutes", "10 minutes")
 
 
 def test_dimension_edge_rows(spark):
@@ -70,3 +70,17 @@ def test_views_schema(spark):
         ("product_id", "bigint"), ("state", "string"), ("count", "bigint"),
         ("period_start", "timestamp"), ("hour", "int"),
     ]
+
+
+def test_key_sample_keeps_whole_keys(spark):
+    from clickpanes.operators.sampling import sample_keys
+
+    v = catalog.views(spark, SF_SMALL)
+    s = sample_keys(v, "product_id", 4, 16)
+    kept = {r.product_id for r in s.select("product_id").distinct().collect()}
+    assert 0 < len(kept) < v.select("product_id").distinct().count()
+    per_key = s.groupBy("product_id").count()
+    full = v.filter(F.col("product_id").isin(list(kept))).groupBy("product_id").count()
+    assert per_key.exceptAll(full).count() == 0
+    # repeatable
+    assert {r.product_id for r in sample_keys(v, "product_id", 4, 16).select("product_id").distinct().collect()} == kept
