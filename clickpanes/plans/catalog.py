@@ -19,7 +19,7 @@ from clickpanes.operators.featured import day_totals, hour_slice
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.partitioning import ensure_parallel
 from clickpanes.operators.views import product_views, views_by_window
-from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
+from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks, span_clicks
 from clickpanes.plans.grid import gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
@@ -198,12 +198,26 @@ def q_featured_all_days(spark, sf_dir):
     )
 
 
+def _grid_span() -> tuple[str, str]:
+    import datetime as _dt
+
+    start = _dt.datetime.fromisoformat(GRID_START)
+    first = start + _dt.timedelta(seconds=GRID_STEP_S)
+    last = start + _dt.timedelta(seconds=GRID_STEP_S * (GRID_STEPS + 1))
+    return first.isoformat(sep=" "), last.isoformat(sep=" ")
+
+
 def q_view_grid(spark, sf_dir):
-    return view_grid(series_keys(views(spark, sf_dir)), GRID_START, GRID_STEPS, GRID_STEP_S)
+    # Every (product, state) seen in any window is a pair seen in a click.
+    keys = clicks_with_state(spark, sf_dir).select("product_id", "state").distinct()
+    return view_grid(keys, GRID_START, GRID_STEPS, GRID_STEP_S)
 
 
 def q_fill_views(spark, sf_dir):
-    return gap_filled_views(views(spark, sf_dir), GRID_START, GRID_STEPS, GRID_STEP_S)
+    cws = clicks_with_state(spark, sf_dir)
+    keys = cws.select("product_id", "state").distinct()
+    span_views = product_views(span_clicks(cws, *_grid_span()))
+    return gap_filled_views(span_views, GRID_START, GRID_STEPS, GRID_STEP_S, keys=keys)
 
 
 def q_record_roundtrip(spark, sf_dir):

@@ -36,6 +36,20 @@ def featured_report(
     return featured_products(views, date, products, order, n, categories, departments, anchor)
 
 
+def span_clicks(clicks: DataFrame, first: str, last: str, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
+    """Clicks that can reach a window starting in ``[first, last]``
+    (timestamps as ``yyyy-mm-dd HH:MM:SS`` text): those in
+    ``[first, last + size)``. Counting only these gives the exact counts
+    of every window starting in the span."""
+    lo = _dt.datetime.fromisoformat(first)
+    hi = _dt.datetime.fromisoformat(last) + _dt.timedelta(seconds=window.size_s)
+    fmt = "%Y-%m-%d %H:%M:%S"
+    return clicks.filter(
+        (F.col("date_time") >= F.lit(lo.strftime(fmt)).cast("timestamp"))
+        & (F.col("date_time") < F.lit(hi.strftime(fmt)).cast("timestamp"))
+    )
+
+
 def day_clicks(clicks: DataFrame, date: str, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
     """Clicks that can reach a window starting on ``date``: the windows
     start in ``[date, date + 1 day)`` and hold clicks up to one window
@@ -43,12 +57,8 @@ def day_clicks(clicks: DataFrame, date: str, window: ViewWindow = DEFAULT_WINDOW
     change the report. Cutting here keeps the counting to one day."""
     day_number(date)
     lo = _dt.datetime.fromisoformat(date)
-    hi = lo + _dt.timedelta(days=1, seconds=window.size_s)
-    fmt = "%Y-%m-%d %H:%M:%S"
-    return clicks.filter(
-        (F.col("date_time") >= F.lit(lo.strftime(fmt)).cast("timestamp"))
-        & (F.col("date_time") < F.lit(hi.strftime(fmt)).cast("timestamp"))
-    )
+    last = lo + _dt.timedelta(days=1) - _dt.timedelta(microseconds=1)
+    return span_clicks(clicks, lo.isoformat(sep=" "), last.isoformat(sep=" "), window)
 
 
 def featured_from_clicks(
