@@ -68,3 +68,15 @@ def stamps_after(start: Column, steps: int, step_s: int) -> Column:
         base + F.make_dt_interval(secs=F.lit(step_s * (steps + 1))),
         step,
     )
+
+
+def grid_start(now, steps: int, step_s: int, start_delta_s: int = -1):
+    """Start of a stamp grid ending near ``now`` (a ``datetime``):
+    ``steps * step_s`` seconds before ``now`` when ``start_delta_s`` is
+    negative, else ``start_delta_s`` seconds before it. With the default
+    the ``steps + 1`` stamps of ``stamps_after`` end one step after
+    ``now``. "Now" is an argument, so a run is repeatable."""
+    import datetime as _dt
+
+    back = steps * step_s if start_delta_s < 0 else start_delta_s
+    return (now - _dt.timedelta(seconds=back)).replace(microsecond=0)

@@ -10,14 +10,14 @@ from clickpanes.config import UNKNOWN_STATE
 
 # A dimension at most this many rows is shipped to every executor; above
 # it the join is a shuffle join (sort-merge, or AQE's runtime choice).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a
-    large table; a side that fails it is left to a shuffle join.
+    The check stops as soon as ``max_rows + 1`` rows are seen, so it stays
+    cheap on a large table; a side that fails it is left to a shuffle join.
     """
     if df.isStreaming:
         return df
@@ -25,7 +25,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def _has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """``take`` scans partitions incrementally (one, then a growing number)
+    and stops once it has ``max_rows + 1`` rows: a large input is rejected
+    after a few partitions, where a ``count`` would start every task. Only
+    a one-literal column is fetched, at most ``max_rows + 1`` tiny rows."""
+    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
 
 
 def distinct_zip_states(zip_states: DataFrame) -> DataFrame:

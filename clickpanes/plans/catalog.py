@@ -51,6 +51,10 @@ PRODUCT_BUCKETS = 16
 LATE_PRODUCERS = 4
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
@@ -121,7 +125,7 @@ def q_product_views_dev(spark, sf_dir):
 def q_product_views_stream(spark, sf_dir):
     out, chk = scratch_path(spark, "views-out"), scratch_path(spark, "views-chk")
     query = start_views_per_state(
-        event_lines(events_stream(spark, sf_dir)),
+        event_lines(events_stream(spark, sf_dir, spread=_cores(spark))),
         zip_states(spark, sf_dir),
         out,
         chk,
@@ -147,7 +151,7 @@ def q_product_views_stream_late(spark, sf_dir):
     for b in range(LATE_PRODUCERS):
         events.filter(producer == b).write.mode("append").parquet(src)
         query = start_views_per_state(
-            event_lines(events_stream(spark, src, glob=None)),
+            event_lines(events_stream(spark, src, glob=None, spread=_cores(spark))),
             dims,
             out,
             chk,
@@ -222,7 +226,8 @@ def q_fill_views(spark, sf_dir):
 
 def q_record_roundtrip(spark, sf_dir):
     out, chk = scratch_path(spark, "record-out"), scratch_path(spark, "record-chk")
-    query = record_clicks(event_lines(events_stream(spark, sf_dir)), out, chk, trigger="availableNow")
+    lines = event_lines(events_stream(spark, sf_dir, spread=_cores(spark)))
+    query = record_clicks(lines, out, chk, trigger="availableNow")
     query.awaitTermination()
     return spark.read.schema(CLICK_RECORD).parquet(out).select(*CLICK_RECORD.fieldNames())
 

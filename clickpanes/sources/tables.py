@@ -70,16 +70,24 @@ def events_stream(
     path: str,
     max_files: int | None = None,
     glob: str | None = "events.parquet",
+    spread: int | None = None,
 ) -> DataFrame:
     """Events as a file stream: every new Parquet file under ``path`` is
     new data. By default only the shared ``events.parquet`` file of a
-    scale-factor folder is read; ``glob=None`` reads every file."""
+    scale-factor folder is read; ``glob=None`` reads every file.
+
+    ``spread``: round-robin each micro-batch over that many tasks, for a
+    source whose batches arrive in fewer splits than there are cores (one
+    file with one row group); parsing and the partial aggregation then
+    run on all cores. (A Kafka source does this with ``minPartitions``.)
+    """
     reader = spark.readStream.schema(EVENTS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    return df.repartition(spread) if spread else df
 
 
 def zip_states_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -28,3 +28,13 @@ def test_fill_zero_and_positive_only(spark):
     assert len(full) == 6 and sum(r["count"] for r in full) == 4
     pos = fill_views(views, grid, positive_only=True).collect()
     assert [(r.product_id, r["count"]) for r in pos] == [(1, 4)]
+
+
+def test_grid_start_from_now(spark):
+    from clickpanes.functions.timekeys import grid_start
+
+    now = dt.datetime(2024, 1, 1, 12, 0, 30, 999)
+    assert grid_start(now, 2, 300) == dt.datetime(2024, 1, 1, 11, 50, 30)
+    assert grid_start(now, 2, 300, start_delta_s=60) == dt.datetime(2024, 1, 1, 11, 59, 30)
+    row = spark.range(1).select(stamps_after(F.lit(grid_start(now, 2, 300)), 2, 300).alias("s")).first()
+    assert row.s[-1] == dt.datetime(2024, 1, 1, 12, 5, 30)

@@ -144,3 +144,15 @@ def test_kafka_source_needs_connector(spark):
     assert reader is not None
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_lines(spark, "host:9092", "clicks")
+
+
+def test_named_query_and_console_sink(spark, scratch, capsys):
+    from clickpanes.streaming.sinks import start_console
+
+    src, out, chk = _local(scratch("nm-src")), scratch("nm-out"), scratch("nm-chk")
+    _write_batches(src, LATE_BATCHES[:1])
+    q = _run_views(spark, src, out, chk)
+    assert q.name == "product_views_per_state_per_hour"
+    c = start_console(click_times(text_lines_stream(spark, src)), "raw_clicks", trigger="availableNow")
+    c.awaitTermination()
+    assert c.name == "raw_clicks" and c.recentProgress[0]["numInputRows"] == 1
