@@ -156,3 +156,33 @@ def test_named_query_and_console_sink(spark, scratch, capsys):
     c = start_console(click_times(text_lines_stream(spark, src)), "raw_clicks", trigger="availableNow")
     c.awaitTermination()
     assert c.name == "raw_clicks" and c.recentProgress[0]["numInputRows"] == 1
+
+
+def _single_stage(clicks, window):
+    from clickpanes.operators.views import shape_views
+
+    counts = (
+        clicks.withWatermark("date_time", window.delay_text)
+        .groupBy(F.window("date_time", window.size, window.slide).alias("w"), "product_id", "state")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    return shape_views(counts.withColumn("period_start", F.col("w.start")))
+
+
+@pytest.mark.parametrize("window", [ViewWindow("1 hour", "5 minutes"), ViewWindow("5 minutes", "1 minute")])
+def test_chained_panes_equal_single_aggregation_with_late_rows(spark, scratch, window):
+    from clickpanes.streaming.sinks import start_file_sink
+    from clickpanes.streaming.views import windowed_views
+
+    batches = [["10:02", "10:03"], ["12:07"], ["09:01", "10:31", "11:58"], ["09:02", "12:20", "11:06"],
+               ["15:00", "12:59"], ["13:01", "14:04", "14:59"]]
+    src = _local(scratch("chain-src"))
+    _write_batches(src, batches)
+    results = []
+    for build in (windowed_views, _single_stage):
+        out, chk = scratch("chain-out"), scratch("chain-chk")
+        clicks = with_state(click_times(text_lines_stream(spark, src, max_files=1)), dev_zip_states(spark))
+        q = start_file_sink(build(clicks, window), out, chk, trigger="availableNow")
+        q.awaitTermination()
+        results.append(sorted(tuple(r) for r in spark.read.schema(PRODUCT_VIEWS).parquet(out).collect()))
+    assert results[0] and results[0] == results[1]
