@@ -38,8 +38,50 @@ EVENTS = T.StructType(
 )
 
 
+# Schemas of the shared tables this package reads (no inference job).
+TABLE_SCHEMAS = {
+    "events": EVENTS,
+    "customer": T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType(), True),
+            T.StructField("c_name", T.StringType(), True),
+            T.StructField("c_nationkey", T.IntegerType(), True),
+            T.StructField("c_acctbal", T.DoubleType(), True),
+            T.StructField("c_mktsegment", T.StringType(), True),
+        ]
+    ),
+    "nation": T.StructType(
+        [
+            T.StructField("n_nationkey", T.IntegerType(), True),
+            T.StructField("n_name", T.StringType(), True),
+            T.StructField("n_regionkey", T.IntegerType(), True),
+        ]
+    ),
+    "part": T.StructType(
+        [
+            T.StructField("p_partkey", T.LongType(), True),
+            T.StructField("p_name", T.StringType(), True),
+            T.StructField("p_brand", T.StringType(), True),
+            T.StructField("p_type", T.StringType(), True),
+            T.StructField("p_size", T.IntegerType(), True),
+            T.StructField("p_retailprice", T.DoubleType(), True),
+        ]
+    ),
+    "region": T.StructType(
+        [
+            T.StructField("r_regionkey", T.IntegerType(), True),
+            T.StructField("r_name", T.StringType(), True),
+        ]
+    ),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A shared table; known tables are read with their schema, which
+    spares the footer-reading job that schema inference runs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def event_lines(events: DataFrame) -> DataFrame:
