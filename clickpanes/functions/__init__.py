@@ -12,7 +12,6 @@ from clickpanes.functions.timekeys import (
     minute_of,
     pane_start,
     stamps_after,
-    window_starts,
 )
 from clickpanes.functions.sampling import stable_bucket
 
@@ -26,6 +25,5 @@ __all__ = [
     "minute_of",
     "pane_start",
     "stamps_after",
-    "window_starts",
     "stable_bucket",
 ]

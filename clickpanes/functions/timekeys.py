@@ -44,20 +44,6 @@ def pane_start(ts: Column | str, pane_s: int) -> Column:
     return us - F.pmod(us, F.lit(pane_s * _US))
 
 
-def window_starts(pane_us: Column, size_s: int, slide_s: int) -> Column:
-    """Array of the starts (epoch micros) of all windows covering a pane.
-
-    A window ``[s, s + size)`` with ``s`` a multiple of ``slide`` covers the
-    pane starting at ``p`` iff ``p - size < s <= p``.
-    """
-    size, slide = F.lit(size_s * _US), F.lit(slide_s * _US)
-    lowest = (pane_us - size) - F.pmod(pane_us - size, slide) + slide
-    highest = pane_us - F.pmod(pane_us, slide)
-    return F.when(lowest <= highest, F.sequence(lowest, highest, slide)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-
-
 def stamps_after(start: Column, steps: int, step_s: int) -> Column:
     """``steps + 1`` timestamps ``step_s`` apart, the first one step after
     ``start`` (truncated to whole seconds)."""

@@ -27,7 +27,7 @@ from clickpanes.operators.grid import series_keys, view_grid
 from clickpanes.operators.sampling import bucket_totals
 from clickpanes.functions.sampling import stable_bucket
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
-from clickpanes.scratch import scratch_path
+from clickpanes.scratch import scratch_path, scratch_root
 from clickpanes.sinks import read_report, write_report
 from clickpanes.sources.files import dev_zip_states, read_categories, read_departments, read_products
 from clickpanes.sources.tables import (
@@ -88,7 +88,10 @@ def views(spark, sf_dir) -> DataFrame:
 
 
 def day_views(spark, sf_dir, date: str = REPORT_DATE) -> DataFrame:
-    return product_views(day_clicks(clicks_with_state(spark, sf_dir), date))
+    """The day's views, counted once and stored with a reliable checkpoint
+    (the slice reads them twice: closing minute and rows)."""
+    scratch_root(spark)
+    return product_views(day_clicks(clicks_with_state(spark, sf_dir), date)).checkpoint(eager=True)
 
 
 # --- queries -----------------------------------------------------------
