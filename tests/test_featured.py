@@ -141,3 +141,32 @@ def test_all_days_equal_single_day_reports(spark):
             one = featured_from_clicks(cws, date, p, order)
             day = daily.filter(F.col("date") == date)
             assert day.exceptAll(one).count() == 0 and one.exceptAll(day).count() == 0, (order, date)
+
+
+def test_closing_slices_tile_the_timeline(spark):
+    from clickpanes.operators.featured import day_totals
+
+    cws = catalog.clicks_with_state(spark, SF_SMALL)
+    v = catalog.views(spark, SF_SMALL)
+    # 2024-01-10 has no windows in its first hour at this scale (empty under
+    # the first-hour rule), so its closing minute comes from the whole day.
+    for date, nxt, anchor in (("2024-01-01", "2024-01-02", "hour00"), ("2024-01-10", "2024-01-11", "day")):
+        from clickpanes.operators.featured import closing_minute
+
+        assert closing_minute(v, date, anchor).first()[0] == 55
+        total = day_totals(v, date, anchor).agg(F.sum("no_views")).first()[0]
+        lo = F.lit(f"{date} 00:55:00").cast("timestamp")
+        hi = F.lit(f"{nxt} 00:55:00").cast("timestamp")
+        clicks = cws.filter((F.col("date_time") >= lo) & (F.col("date_time") < hi)).count()
+        assert total == clicks, date
+
+
+def test_top_is_subset_of_totals(spark):
+    from clickpanes.operators.featured import day_totals
+
+    v = catalog.views(spark, SF_SMALL)
+    totals = day_totals(v, "2024-01-03")
+    top = top_products(totals, "top", 5)
+    assert top.exceptAll(totals).count() == 0
+    worst_kept = min(r.no_views for r in top.collect())
+    assert totals.join(top, "product_id", "left_anti").filter(F.col("no_views") > worst_kept).count() == 0
