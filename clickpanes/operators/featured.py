@@ -135,23 +135,16 @@ def enrich(
     return out
 
 
-def report_layout(
-    enriched: DataFrame,
-    date: str,
-    order: str = "top",
-    with_categories: bool = False,
-    with_departments: bool = False,
-) -> DataFrame:
-    """Fixed report columns; enrichments that were not given are typed NULLs."""
-    day_number(date)
-    year, month, day = (int(p) for p in date.split("-"))
+def _report_columns(
+    date_cols: list[Column], with_categories: bool, with_departments: bool
+) -> list[Column]:
     types = {f.name: f.dataType for f in REPORT.fields}
 
     def absent(name: str) -> Column:
         return F.lit(None).cast(types[name]).alias(name)
 
     with_departments = with_categories and with_departments
-    cols = [
+    return [
         F.col("product_id").cast("bigint").alias("product_id"),
         F.col("no_views"),
         F.col("product_category_id").alias("category_id"),
@@ -162,11 +155,27 @@ def report_layout(
         F.col("product_price"),
         F.col("category_name") if with_categories else absent("category_name"),
         F.col("department_name") if with_departments else absent("department_name"),
+        *date_cols,
+    ]
+
+
+def report_layout(
+    enriched: DataFrame,
+    date: str,
+    order: str = "top",
+    with_categories: bool = False,
+    with_departments: bool = False,
+) -> DataFrame:
+    """Fixed report columns; enrichments that were not given are typed NULLs."""
+    day_number(date)
+    year, month, day = (int(p) for p in date.split("-"))
+    dates = [
         F.lit(date).alias("date"),
         F.lit(day).alias("day"),
         F.lit(month).alias("month"),
         F.lit(year).alias("year"),
     ]
+    cols = _report_columns(dates, with_categories, with_departments)
     return enriched.select(*cols).orderBy(*_ranking(order))
 
 
@@ -253,29 +262,14 @@ def daily_report_layout(
     with_departments: bool = False,
 ) -> DataFrame:
     """Report columns for rows carrying their own ``day_key``."""
-    types = {f.name: f.dataType for f in REPORT.fields}
-
-    def absent(name: str) -> Column:
-        return F.lit(None).cast(types[name]).alias(name)
-
-    with_departments = with_categories and with_departments
     key = F.col("day_key")
-    cols = [
-        F.col("product_id").cast("bigint").alias("product_id"),
-        F.col("no_views"),
-        F.col("product_category_id").alias("category_id"),
-        F.col("department_id") if with_departments else absent("department_id"),
-        F.col("product_name"),
-        F.col("product_description"),
-        F.col("product_image"),
-        F.col("product_price"),
-        F.col("category_name") if with_categories else absent("category_name"),
-        F.col("department_name") if with_departments else absent("department_name"),
+    dates = [
         F.date_format(F.to_date(key.cast("string"), "yyyyMMdd"), "yyyy-MM-dd").alias("date"),
         (key % 100).cast("int").alias("day"),
         (F.floor(key / 100) % 100).cast("int").alias("month"),
         F.floor(key / 10000).cast("int").alias("year"),
     ]
+    cols = _report_columns(dates, with_categories, with_departments)
     return enriched.select(*cols).orderBy("year", "month", "day", *_ranking(order))
 
 

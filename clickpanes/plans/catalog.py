@@ -173,7 +173,7 @@ def q_product_totals_day(spark, sf_dir):
     return day_totals(day_views(spark, sf_dir), REPORT_DATE)
 
 
-def _featured(spark, sf_dir, date, order, full=True):
+def featured_query(spark, sf_dir, date, order, full=True):
     return featured_from_clicks(
         clicks_with_state(spark, sf_dir),
         date,
@@ -185,15 +185,15 @@ def _featured(spark, sf_dir, date, order, full=True):
 
 
 def q_featured_top(spark, sf_dir):
-    return _featured(spark, sf_dir, REPORT_DATE, "top")
+    return featured_query(spark, sf_dir, REPORT_DATE, "top")
 
 
 def q_featured_low(spark, sf_dir):
-    return _featured(spark, sf_dir, REPORT_DATE, "low")
+    return featured_query(spark, sf_dir, REPORT_DATE, "low")
 
 
 def q_featured_products_only(spark, sf_dir):
-    return _featured(spark, sf_dir, REPORT_DATE, "top", full=False)
+    return featured_query(spark, sf_dir, REPORT_DATE, "top", full=False)
 
 
 def q_featured_all_days(spark, sf_dir):
@@ -238,7 +238,7 @@ def q_record_roundtrip(spark, sf_dir):
 def q_report_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "report")
     for date in (REPORT_DATE, SECOND_DATE):
-        write_report(_featured(spark, sf_dir, date, "top"), out, "top")
+        write_report(featured_query(spark, sf_dir, date, "top"), out, "top")
     return read_report(spark, out)
 
 
