@@ -7,7 +7,13 @@ from clickpanes.operators.dims import (
     distinct_zip_states,
     with_state,
 )
-from clickpanes.operators.views import product_views, shape_views, views_by_window
+from clickpanes.operators.views import (
+    pane_counts,
+    product_views,
+    shape_views,
+    views_by_window,
+    views_from_panes,
+)
 from clickpanes.operators.featured import (
     closing_minute,
     day_number,
@@ -28,7 +34,9 @@ __all__ = [
     "distinct_states",
     "distinct_zip_states",
     "with_state",
+    "pane_counts",
     "product_views",
+    "views_from_panes",
     "shape_views",
     "views_by_window",
     "closing_minute",

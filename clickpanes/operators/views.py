@@ -33,21 +33,13 @@ def shape_views(counts: DataFrame, start: str = "period_start") -> DataFrame:
     )
 
 
-def product_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
-    """Count clicks per product, state and window (batch).
+def pane_counts(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
+    """Stage 1: ``product_id, state, pane (timestamp), n`` clicks per pane.
 
-    Input ``product_id, state, date_time`` with non-NULL times. Output
-    ``product_id bigint, state string, count bigint, period_start
-    timestamp, hour int`` with one row per non-empty window.
-
-    Stage 1 counts clicks per pane (partial counts are combined map-side
-    before the shuffle); stage 2 hands each pane count, stamped with the
-    pane's start, to Spark's sliding ``window`` and sums per window. A
-    window covers the whole pane exactly when it covers the pane's start,
-    because window bounds are multiples of the pane length.
+    Partial counts are combined map-side before the shuffle.
     """
     pane_s = pane_seconds(window.size_s, window.slide_s)
-    panes = (
+    return (
         clicks.select(
             "product_id",
             "state",
@@ -56,12 +48,29 @@ def product_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> Dat
         .groupBy("product_id", "state", "pane")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def views_from_panes(panes: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
+    """Stage 2: every pane count, stamped with the pane's start, goes to
+    Spark's sliding ``window`` and is summed per window. A window covers the
+    whole pane exactly when it covers the pane's start, because window
+    bounds are multiples of the pane length."""
     counts = panes.groupBy(
         F.window("pane", window.size, window.slide).alias("w"), "product_id", "state"
     ).agg(F.sum("n").alias("count"))
     return shape_views(counts.withColumn("period_start", F.col("w.start")))
 
 
+def product_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
+    """Count clicks per product, state and window (batch).
+
+    Input ``product_id, state, date_time`` with non-NULL times. Output
+    ``product_id bigint, state string, count bigint, period_start
+    timestamp, hour int`` with one row per non-empty window.
+    """
+    return views_from_panes(pane_counts(clicks, window), window)
+
+
 def views_by_window(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
     """Same result through Spark's ``window`` grouping (the form a
     streaming aggregation needs); kept for comparison and for streams."""

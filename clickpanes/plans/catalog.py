@@ -18,7 +18,7 @@ from clickpanes.operators.dims import distinct_zip_states, with_state
 from clickpanes.operators.featured import day_totals, hour_slice
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.partitioning import ensure_parallel
-from clickpanes.operators.views import product_views, views_by_window
+from clickpanes.operators.views import pane_counts, product_views, views_by_window, views_from_panes
 from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks, span_clicks
 from clickpanes.plans.grid import gap_filled_views
 from clickpanes.plans.record import record_clicks
@@ -221,9 +221,20 @@ def q_view_grid(spark, sf_dir):
 
 
 def q_fill_views(spark, sf_dir):
-    cws = clicks_with_state(spark, sf_dir)
-    keys = cws.select("product_id", "state").distinct()
-    span_views = product_views(span_clicks(cws, *_grid_span()))
+    """One pass over the clicks: pane counts are stored once; the series
+    keys and the span's windows are both derived from them."""
+    import datetime as _dt
+
+    scratch_root(spark)
+    panes = pane_counts(clicks_with_state(spark, sf_dir)).checkpoint(eager=True)
+    keys = panes.select("product_id", "state").distinct()
+    first, last = _grid_span()
+    hi = _dt.datetime.fromisoformat(last) + _dt.timedelta(seconds=DEFAULT_WINDOW.size_s)
+    span = panes.filter(
+        (F.col("pane") >= F.lit(first).cast("timestamp"))
+        & (F.col("pane") < F.lit(hi.isoformat(sep=" ")).cast("timestamp"))
+    )
+    span_views = views_from_panes(span)
     return gap_filled_views(span_views, GRID_START, GRID_STEPS, GRID_STEP_S, keys=keys)
 
 
