@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpanes.config import FEATURED_N
+from clickpanes.functions.timekeys import hour_key
 from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.schemas import REPORT
 
@@ -239,6 +240,41 @@ def daily_totals(views: DataFrame, anchor: str = "hour00") -> DataFrame:
     return kept.select("day_key", "product_id", "no_views")
 
 
+def daily_totals_from_panes(panes: DataFrame, window, anchor: str = "hour00") -> DataFrame:
+    """``daily_totals`` straight from pane counts (``product_id, state,
+    pane, n``), never building the full view table.
+
+    Pane counts are expanded to their windows (Spark's ``window``); each
+    day's closing minute comes from its first-hour windows (a window exists
+    when some pane reaches it, as in the views); then every expanded row
+    whose window does not start at its day's closing minute is dropped by a
+    broadcast join with the per-day table (one row per day, checked),
+    before any aggregation: only one window in ``60 / slide`` is summed
+    and shuffled.
+    """
+    expanded = panes.select(
+        F.window("pane", window.size, window.slide).start.alias("period_start"), "product_id", "n"
+    ).withColumn("hour", hour_key("period_start"))
+    if anchor == "hour00":
+        scope = expanded.filter(F.col("hour") % 100 == 0)
+    elif anchor == "day":
+        scope = expanded
+    else:
+        raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
+    closing = scope.groupBy(_day_key().alias("closing_day")).agg(
+        F.max(F.minute("period_start")).alias("closing_minute")
+    )
+    closing = bounded_broadcast(closing, MAX_DAYS)
+    kept = expanded.join(
+        closing,
+        (_day_key() == F.col("closing_day"))
+        & (F.minute("period_start") == F.col("closing_minute")),
+    )
+    return kept.groupBy(_day_key().alias("day_key"), "product_id").agg(
+        F.sum("n").cast("bigint").alias("no_views")
+    )
+
+
 def top_products_per_day(totals: DataFrame, order: str = "top", n: int = FEATURED_N) -> DataFrame:
     """The ``n`` most or least viewed products of each day.
 

@@ -11,13 +11,13 @@ from clickpanes.config import DEFAULT_WINDOW, FEATURED_N, ViewWindow
 from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.operators.featured import (
     MAX_DAYS,
-    daily_totals,
+    daily_totals_from_panes,
     day_number,
     enrich_daily,
     featured_products,
     top_products_per_day,
 )
-from clickpanes.operators.views import product_views
+from clickpanes.operators.views import pane_counts, product_views
 from clickpanes.scratch import scratch_root
 from clickpanes.sinks import write_report
 
@@ -102,16 +102,18 @@ def featured_all_days(
     window: ViewWindow = DEFAULT_WINDOW,
     anchor: str = "hour00",
 ) -> DataFrame:
-    """Reports of every day (a backfill): views are counted once and
-    stored with a reliable checkpoint, then sliced and ranked per day. The
-    ranked rows (at most ``n`` per day) are stored too, their count is
-    checked, and they are the broadcast side of the enrichment joins, so
-    the product table is scanned once and never shuffled."""
-    views = product_views(clicks, window)
-    if views.isStreaming:
+    """Reports of every day (a backfill). Clicks are counted once into
+    pane counts, stored with a reliable checkpoint; each day's slice is
+    summed from them (``daily_totals_from_panes``, no full view table) and
+    ranked per day. The ranked rows (at most ``n`` per day) are stored too,
+    their count is checked, and they are the broadcast side of the
+    enrichment joins, so the product table is scanned once and never
+    shuffled."""
+    if clicks.isStreaming:
         raise ValueError("featured_all_days needs batch clicks")
-    scratch_root(views.sparkSession)
-    views = views.checkpoint(eager=True)
-    top = top_products_per_day(daily_totals(views, anchor), order, n).checkpoint(eager=True)
+    scratch_root(clicks.sparkSession)
+    panes = pane_counts(clicks, window).checkpoint(eager=True)
+    totals = daily_totals_from_panes(panes, window, anchor)
+    top = top_products_per_day(totals, order, n).checkpoint(eager=True)
     top = bounded_broadcast(top, n * MAX_DAYS)
     return enrich_daily(top, products, categories, departments, order)

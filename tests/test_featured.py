@@ -170,3 +170,18 @@ def test_top_is_subset_of_totals(spark):
     assert top.exceptAll(totals).count() == 0
     worst_kept = min(r.no_views for r in top.collect())
     assert totals.join(top, "product_id", "left_anti").filter(F.col("no_views") > worst_kept).count() == 0
+
+
+def test_daily_totals_from_panes_equal_from_views(spark):
+    from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
+    from clickpanes.operators.featured import daily_totals, daily_totals_from_panes
+    from clickpanes.operators.views import pane_counts, views_from_panes
+
+    cws = catalog.clicks_with_state(spark, SF_SMALL)
+    for window in (DEFAULT_WINDOW, DEV_WINDOW):
+        panes = pane_counts(cws, window)
+        for anchor in ("hour00", "day"):
+            a = daily_totals_from_panes(panes, window, anchor)
+            b = daily_totals(views_from_panes(panes, window), anchor)
+            assert a.count() > 0
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (window, anchor)
