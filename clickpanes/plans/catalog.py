@@ -14,18 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
+from clickpanes.functions.sampling import stable_bucket
 from clickpanes.operators.dims import distinct_zip_states, with_state
 from clickpanes.operators.featured import day_totals, hour_slice
+from clickpanes.operators.grid import view_grid
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.partitioning import ensure_parallel
+from clickpanes.operators.sampling import bucket_totals
 from clickpanes.operators.views import pane_counts, product_views, views_by_window, views_from_panes
-from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks, span_clicks
+from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
 from clickpanes.plans.grid import gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
-from clickpanes.operators.grid import series_keys, view_grid
-from clickpanes.operators.sampling import bucket_totals
-from clickpanes.functions.sampling import stable_bucket
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
 from clickpanes.scratch import scratch_path, scratch_root
 from clickpanes.sinks import read_report, write_report
