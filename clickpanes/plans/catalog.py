@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
 from clickpanes.functions.sampling import stable_bucket
@@ -31,6 +32,7 @@ from clickpanes.scratch import scratch_path, scratch_root
 from clickpanes.sinks import read_report, write_report
 from clickpanes.sources.files import dev_zip_states, read_categories, read_departments, read_products
 from clickpanes.sources.tables import (
+    EVENTS,
     categories_from_part,
     departments_from_region,
     event_lines,
@@ -146,13 +148,18 @@ def q_product_views_stream_late(spark, sf_dir):
     runs to the end of the available files and stops, and the next run
     resumes from the checkpoint. Every row is delivered; rows whose windows
     closed under an earlier producer's watermark are dropped as late."""
-    src = scratch_path(spark, "late-src")
+    staged, src = scratch_path(spark, "late-staged"), scratch_path(spark, "late-src")
     out, chk = scratch_path(spark, "late-out"), scratch_path(spark, "late-chk")
-    events = _t(spark, sf_dir, "events")
+    # One pass over the table: every event lands in its producer's folder.
+    _t(spark, sf_dir, "events").withColumn(
+        "producer", stable_bucket("user_id", LATE_PRODUCERS)
+    ).write.partitionBy("producer").parquet(staged)
+    staged_schema = T.StructType([*EVENTS.fields, T.StructField("producer", T.IntegerType())])
+    backlog = spark.read.schema(staged_schema).parquet(staged)
     dims = zip_states(spark, sf_dir)
-    producer = stable_bucket("user_id", LATE_PRODUCERS)
     for b in range(LATE_PRODUCERS):
-        events.filter(producer == b).write.mode("append").parquet(src)
+        # partition pruning: each delivery reads only its producer's folder
+        backlog.filter(F.col("producer") == b).drop("producer").write.mode("append").parquet(src)
         query = start_views_per_state(
             event_lines(events_stream(spark, src, glob=None, spread=_cores(spark))),
             dims,
