@@ -13,11 +13,14 @@ from clickpanes.operators.featured import (
     MAX_DAYS,
     daily_totals_from_panes,
     day_number,
+    enrich,
     enrich_daily,
     featured_products,
+    report_layout,
+    top_products,
     top_products_per_day,
 )
-from clickpanes.operators.views import pane_counts, product_views
+from clickpanes.operators.views import pane_counts
 from clickpanes.scratch import scratch_root
 from clickpanes.sinks import write_report
 
@@ -76,16 +79,29 @@ def featured_from_clicks(
     result as counting all views first, but only the day's clicks are
     counted.
 
-    The day's views feed two uses (the closing minute and the totals), so
-    they are stored once with a reliable checkpoint in the session's
-    checkpoint directory; both uses read the stored rows, and a lost
-    executor costs a re-read, not a recount of the clicks.
+    The day's pane counts are stored once with a reliable checkpoint (a
+    lost executor then costs a re-read, not a recount of the clicks); the
+    closing minute and the totals both come from them, and only the
+    windows at the closing minute are summed (``daily_totals_from_panes``).
     """
-    views = product_views(day_clicks(clicks, date, window), window)
-    if not views.isStreaming:
-        scratch_root(views.sparkSession)
-        views = views.checkpoint(eager=True)
-    return featured_products(views, date, products, order, n, categories, departments, anchor)
+    day_key = day_number(date)
+    if clicks.isStreaming:
+        raise ValueError("featured_from_clicks needs batch clicks")
+    scratch_root(clicks.sparkSession)
+    panes = pane_counts(day_clicks(clicks, date, window), window).checkpoint(eager=True)
+    totals = (
+        daily_totals_from_panes(panes, window, anchor)
+        .filter(F.col("day_key") == day_key)
+        .select("product_id", "no_views")
+    )
+    top = top_products(totals, order, n)
+    return report_layout(
+        enrich(top, products, categories, departments),
+        date,
+        order,
+        with_categories=categories is not None,
+        with_departments=departments is not None,
+    )
 
 
 def run_featured(report: DataFrame, path: str, order: str = "top") -> None:
