@@ -1,0 +1,45 @@
+"""The command line runs each job on local folders."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from clickpanes.cli import run
+from clickpanes.plans import catalog
+from clickpanes.sinks import read_report
+from clickpanes.sources.files import read_views
+from clickpanes.sources.tables import event_lines
+from conftest import SF_SMALL
+
+
+def _local(p):
+    return p.replace("file:", "")
+
+
+def test_cli_jobs_end_to_end(spark, scratch):
+    # lines as text files, zip table as Parquet, dims as JSON
+    text = _local(scratch("cli-lines"))
+    event_lines(catalog._t(spark, SF_SMALL, "events")).select("value").write.text(text)
+    zips = scratch("cli-zips")
+    catalog.zip_states(spark, SF_SMALL).write.parquet(zips)
+    prods = scratch("cli-products")
+    catalog.products(spark, SF_SMALL).write.json(prods)
+
+    rec_out, rec_chk = scratch("cli-rec"), scratch("cli-rec-chk")
+    run(["record", "--out", rec_out, "--checkpoint", rec_chk, "--text-dir", text, "--trigger", "availableNow"], spark)
+    assert spark.read.parquet(rec_out).count() == 1000
+
+    v_out, v_chk = scratch("cli-views"), scratch("cli-views-chk")
+    run(["views", "--out", v_out, "--checkpoint", v_chk, "--text-dir", text, "--zip-states", zips,
+         "--trigger", "availableNow"], spark)
+    views = read_views(spark, v_out)
+    assert views.count() > 0 and os.path.isdir(_local(v_out) + "/hour=2024010101")
+
+    rep = scratch("cli-report")
+    run(["featured", "--views", v_out, "--date", "2024-01-01", "--out", rep, "--products", prods], spark)
+    assert 0 < read_report(spark, rep).count() <= 10
+
+    grid = scratch("cli-grid")
+    run(["grid", "--views", v_out, "--out", grid, "--start", "2024-01-01 00:55:00", "--steps", "11"], spark)
+    g = read_views(spark, grid)
+    assert g.count() > 0 and g.filter(F.col("count") <= 0).count() == 0
