@@ -21,10 +21,13 @@ CLICK_TIME_PATTERN = "yyyy/MM/dd H:m:s"
 # Leading blanks are accepted, trailing text after the seconds is ignored,
 # but the seconds may not run on into a third digit.
 _TIME_PREFIX = rf"^[ \t]*({CLICK_TIME_SHAPE})(?![0-9])"
+# Characters a cast to an integer trims at both ends: ASCII control
+# characters and the space.
+_BLANK = r"[\x00-\x20\x7f]"
 # Integer text with an optional fraction that is cut off (toward zero).
-_WHOLE_PART = r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$"
+_WHOLE_PART = rf"^{_BLANK}*([+-]?[0-9]+)(?:\.[0-9]*)?{_BLANK}*\z"
 # A fraction without integer digits (".5", "-.5") truncates to zero.
-_FRACTION_ONLY = r"^\s*[+-]?\.[0-9]+\s*$"
+_FRACTION_ONLY = rf"^{_BLANK}*[+-]?\.[0-9]+{_BLANK}*\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -49,10 +52,13 @@ def lenient_integer(text: Column | str, type_: str = "bigint") -> Column:
     """
     text = _col(text)
     whole = F.regexp_extract(text, _WHOLE_PART, 1)
-    return (
-        F.when(whole != "", whole.try_cast(type_))
-        .when(text.rlike(_FRACTION_ONLY), F.lit(0).cast(type_))
+    by_rule = F.when(whole != "", whole.try_cast(type_)).when(
+        text.rlike(_FRACTION_ONLY), F.lit(0).cast(type_)
     )
+    # Plain integers (nearly every value) take the cheap cast; it accepts
+    # exactly the rule's integers without fraction (same blanks trimmed),
+    # so the regular expressions run only for the rest.
+    return F.coalesce(text.try_cast(type_), by_rule)
 
 
 def lenient_float(text: Column | str) -> Column:

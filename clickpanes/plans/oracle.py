@@ -18,8 +18,9 @@ from clickpanes.plans.catalog import (
     SECOND_DATE,
 )
 
-_WHOLE = r"'^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$'"
-_FRACTION = r"'^\s*[+-]?\.[0-9]+\s*$'"
+_BLANK = r"[\x00-\x20\x7f]"
+_WHOLE = rf"'^{_BLANK}*([+-]?[0-9]+)(?:\.[0-9]*)?{_BLANK}*\z'"
+_FRACTION = rf"'^{_BLANK}*[+-]?\.[0-9]+{_BLANK}*\z'"
 
 
 def _lenient(expr: str, type_: str = "BIGINT") -> str:

@@ -23,6 +23,10 @@ def _one(spark, fn, line):
         (" 7 ", 7),
         ("+8", 8),
         ("1e3", None),
+        ("\x017\x7f", 7),
+        ("\x007\x00", 7),
+        ("7\x85", None),
+        ("\xa07", None),
         ("x", None),
         ("", None),
         (".", None),

@@ -15,11 +15,11 @@ INT32 = (-(2**31), 2**31 - 1)
 def model_integer(text, bounds):
     if text is None:
         return None
-    m = re.fullmatch(r"[ \t]*([+-]?[0-9]+)(?:\.[0-9]*)?[ \t]*", text)
+    m = re.fullmatch(r"[\x00-\x20\x7f]*([+-]?[0-9]+)(?:\.[0-9]*)?[\x00-\x20\x7f]*", text)
     if m:
         v = int(m.group(1))
         return v if bounds[0] <= v <= bounds[1] else None
-    if re.fullmatch(r"[ \t]*[+-]?\.[0-9]+[ \t]*", text):
+    if re.fullmatch(r"[\x00-\x20\x7f]*[+-]?\.[0-9]+[\x00-\x20\x7f]*", text):
         return 0
     return None
 
@@ -38,7 +38,7 @@ def model_time(text):
         return None
 
 
-numberish = st.text(alphabet="0123456789+-. \te", max_size=12)
+numberish = st.text(alphabet="0123456789+-. \te\x00\x01\x1f\x7f\x85\xa0", max_size=12)
 digits = st.integers(min_value=0, max_value=10**20).map(str)
 
 
