@@ -16,6 +16,11 @@ from clickpanes.operators.views import (
 )
 from clickpanes.operators.featured import (
     closing_minute,
+    daily_totals,
+    daily_totals_from_panes,
+    enrich_daily,
+    featured_products_daily,
+    top_products_per_day,
     day_number,
     day_totals,
     enrich,
@@ -40,6 +45,11 @@ __all__ = [
     "shape_views",
     "views_by_window",
     "closing_minute",
+    "daily_totals",
+    "daily_totals_from_panes",
+    "enrich_daily",
+    "featured_products_daily",
+    "top_products_per_day",
     "day_totals",
     "day_number",
     "enrich",

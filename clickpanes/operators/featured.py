@@ -15,7 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpanes.config import FEATURED_N
+from clickpanes.config import FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import hour_key
 from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.schemas import REPORT
@@ -44,8 +44,9 @@ def closing_minute(views: DataFrame, date: str, anchor: str = "hour00") -> DataF
     there, in which case the slice, and so the report, is empty.
 
     A global aggregate has exactly one row, so joining it in is a broadcast
-    of one row: no scalar subquery planned apart from the main query, and
-    the views upstream are computed once for both uses.
+    of one row, planned with the main query (no scalar subquery and no
+    driver round trip). Pass stored or checkpointed views so both uses
+    read them instead of computing them twice.
     """
     first, last = day_hours(date)
     if anchor == "hour00":
@@ -240,7 +241,7 @@ def daily_totals(views: DataFrame, anchor: str = "hour00") -> DataFrame:
     return kept.select("day_key", "product_id", "no_views")
 
 
-def daily_totals_from_panes(panes: DataFrame, window, anchor: str = "hour00") -> DataFrame:
+def daily_totals_from_panes(panes: DataFrame, window: ViewWindow, anchor: str = "hour00") -> DataFrame:
     """``daily_totals`` straight from pane counts (``product_id, state,
     pane, n``), never building the full view table.
 
