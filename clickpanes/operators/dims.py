@@ -57,6 +57,11 @@ def with_state(
     """
     pairs = zip_states.select("zip_code", "state")
     dim = distinct_zip_states(pairs) if dedupe else pairs
+    if clicks.isStreaming:
+        # The static side of a stream-static join is planned again in every
+        # micro-batch; keep it materialized (memory, spilling to disk) so
+        # each batch only re-broadcasts it instead of recomputing it.
+        dim = dim.persist()
     # The distinct pairs are no more than the input rows, so the bound is
     # checked on the input, where the check can stop early.
     if not dim.isStreaming and _has_at_most(pairs, max_broadcast_rows):
