@@ -18,7 +18,9 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)

@@ -53,8 +53,11 @@ PRODUCT_BUCKETS = 16
 LATE_PRODUCERS = 4
 
 
-def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+def _cores(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no spreading
+        return None
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,7 +15,13 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client (Spark Connect)
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return conf.rstrip("/")
     root = sc.getCheckpointDir()
     if not root:
         conf = spark.conf.get("spark.checkpoint.dir", None)
