@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW, FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import grid_start
+from clickpanes.operators.featured import featured_products_daily
 from clickpanes.plans.featured import featured_report, run_featured
 from clickpanes.plans.grid import backfill_grid
 from clickpanes.plans.record import record_clicks
@@ -70,7 +71,8 @@ def parser() -> argparse.ArgumentParser:
 
     feat = sub.add_parser("featured", help="the day's most or least viewed products")
     feat.add_argument("--views", required=True, help="stored product views (Parquet by hour)")
-    feat.add_argument("--date", required=True, help="yyyy-mm-dd")
+    feat.add_argument("--date", help="yyyy-mm-dd")
+    feat.add_argument("--all-days", action="store_true", help="a report for every day in the views")
     feat.add_argument("--out", required=True, help="report folder (CSV by year/month/day)")
     feat.add_argument("--products", required=True)
     feat.add_argument("--categories")
@@ -114,6 +116,20 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             query.awaitTermination()
         return query
     if args.job == "featured":
+        if args.all_days == bool(args.date):
+            raise SystemExit("give either --date or --all-days")
+        if args.all_days:
+            report = featured_products_daily(
+                read_views(spark, args.views),
+                read_products(spark, args.products),
+                order=args.order,
+                n=args.n,
+                categories=read_categories(spark, args.categories) if args.categories else None,
+                departments=read_departments(spark, args.departments) if args.departments else None,
+                anchor=args.anchor,
+            )
+            run_featured(report, args.out, args.order)
+            return report
         report = featured_report(
             read_views(spark, args.views),
             args.date,

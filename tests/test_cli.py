@@ -39,6 +39,14 @@ def test_cli_jobs_end_to_end(spark, scratch):
     run(["featured", "--views", v_out, "--date", "2024-01-01", "--out", rep, "--products", prods], spark)
     assert 0 < read_report(spark, rep).count() <= 10
 
+    all_days = scratch("cli-report-all")
+    run(["featured", "--views", v_out, "--all-days", "--out", all_days, "--products", prods], spark)
+    back = read_report(spark, all_days)
+    days = back.select("year", "month", "day").distinct().count()
+    assert days > 1 and back.count() <= 10 * days
+    one_day = back.filter((F.col("month") == 1) & (F.col("day") == 1)).drop("year", "month", "day")
+    assert one_day.exceptAll(read_report(spark, rep).drop("year", "month", "day")).count() == 0
+
     grid = scratch("cli-grid")
     run(["grid", "--views", v_out, "--out", grid, "--start", "2024-01-01 00:55:00", "--steps", "11"], spark)
     g = read_views(spark, grid)
