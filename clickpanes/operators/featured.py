@@ -19,6 +19,7 @@ from clickpanes.config import FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import hour_key
 from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.schemas import REPORT
+from clickpanes.scratch import scratch_root
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 _ORDERS = {"top": "desc", "low": "asc", "desc": "desc", "asc": "asc"}
@@ -340,6 +341,14 @@ def featured_products_daily(
     departments: DataFrame | None = None,
     anchor: str = "hour00",
 ) -> DataFrame:
-    """``featured_products`` for every day of the views in one plan."""
+    """``featured_products`` for every day of the views in one job.
+
+    The ranked rows (at most ``n`` per day) are stored with a reliable
+    checkpoint and, after their count is checked, are the broadcast side of
+    the enrichment joins: the product table is scanned, never shuffled.
+    """
     top = top_products_per_day(daily_totals(views, anchor), order, n)
+    if not top.isStreaming:
+        scratch_root(top.sparkSession)
+        top = bounded_broadcast(top.checkpoint(eager=True), n * MAX_DAYS)
     return enrich_daily(top, products, categories, departments, order)
