@@ -55,3 +55,12 @@ def test_grid_has_no_cartesian_product(spark):
     p = plan(catalog.q_fill_views(spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "Generate explode" in p
+
+
+def test_daily_report_broadcasts_ranked_rows(spark):
+    from clickpanes.operators.featured import featured_products_daily
+
+    rep = featured_products_daily(catalog.views(spark, SF_SMALL), catalog.products(spark, SF_SMALL))
+    p = plan(rep)
+    assert "SortMergeJoin" not in p
+    assert re.search(r"BroadcastHashJoin \[product_id#\d+L\], \[cast\(product_id#\d+ as bigint\)\], Inner, BuildLeft", p), p
