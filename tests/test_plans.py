@@ -64,3 +64,17 @@ def test_daily_report_broadcasts_ranked_rows(spark):
     p = plan(rep)
     assert "SortMergeJoin" not in p
     assert re.search(r"BroadcastHashJoin \[product_id#\d+L\], \[cast\(product_id#\d+ as bigint\)\], Inner, BuildLeft", p), p
+
+
+def test_report_on_store_reads_only_the_days_hours(spark, scratch):
+    from clickpanes.plans.featured import featured_report
+    from clickpanes.sinks import write_views
+    from clickpanes.sources.files import read_views
+
+    store = scratch("store")
+    write_views(catalog.views(spark, SF_SMALL), store)
+    rep = featured_report(read_views(spark, store), "2024-01-15", catalog.products(spark, SF_SMALL))
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(rep))
+    day = [f for f in filters if ">= 2024011500" in f and "<= 2024011523" in f]
+    first_hour = [f for f in filters if "= 2024011500" in f and ">=" not in f]
+    assert day and first_hour, filters
