@@ -31,7 +31,7 @@ from clickpanes.sources.files import (
     read_zip_states,
     text_lines_stream,
 )
-from clickpanes.sources.kafka import kafka_lines
+from clickpanes.sources.kafka import DEFAULT_SERVERS, DEFAULT_TOPIC, kafka_lines
 
 
 def _lines(spark: SparkSession, args) -> DataFrame:
@@ -43,8 +43,8 @@ def _lines(spark: SparkSession, args) -> DataFrame:
 def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--out", required=True, help="output folder")
     p.add_argument("--checkpoint", required=True, help="checkpoint folder (shared file system)")
-    p.add_argument("--kafka-servers", default="0.0.0.0:9092")
-    p.add_argument("--topic", default="product_clickstream")
+    p.add_argument("--kafka-servers", default=DEFAULT_SERVERS)
+    p.add_argument("--topic", default=DEFAULT_TOPIC)
     p.add_argument("--text-dir", help="read lines from text files here instead of Kafka")
     p.add_argument("--max-files", type=int, help="files per micro-batch (text source)")
     p.add_argument("--trigger", help="processing-time interval, 'availableNow' or 'once'")

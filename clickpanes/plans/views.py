@@ -13,6 +13,7 @@ from clickpanes.operators.views import product_views
 from clickpanes.streaming.sinks import start_file_sink
 from clickpanes.streaming.views import windowed_views
 
+# Fixed value: name of the streaming views query.
 QUERY_NAME = "product_views_per_state_per_hour"
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Partition columns and field separator of the report files.
 REPORT_PARTITIONS = ["year", "month", "day"]
+REPORT_SEPARATOR = "|"
 
 
 def write_views(views: DataFrame, path: str, mode: str = "append") -> None:
@@ -37,7 +39,7 @@ def write_report(report: DataFrame, path: str, order: str = "top") -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*REPORT_PARTITIONS)
-        .option("sep", "|")
+        .option("sep", REPORT_SEPARATOR)
         .option("header", "true")
         .csv(path)
     )
@@ -48,7 +50,7 @@ def read_report(spark, path: str) -> DataFrame:
 
     return (
         spark.read.schema(REPORT)
-        .option("sep", "|")
+        .option("sep", REPORT_SEPARATOR)
         .option("header", "true")
         .csv(path)
     )

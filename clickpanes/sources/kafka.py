@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Default broker address and topic of the click stream.
+DEFAULT_SERVERS = "0.0.0.0:9092"
+DEFAULT_TOPIC = "product_clickstream"
+
 
 def kafka_reader(
     spark: SparkSession,
-    bootstrap_servers: str = "0.0.0.0:9092",
-    topic: str = "product_clickstream",
+    bootstrap_servers: str = DEFAULT_SERVERS,
+    topic: str = DEFAULT_TOPIC,
     options: dict[str, str] | None = None,
 ):
     """The configured ``DataStreamReader`` (not yet loaded)."""
@@ -30,8 +34,8 @@ def kafka_reader(
 
 def kafka_lines(
     spark: SparkSession,
-    bootstrap_servers: str = "0.0.0.0:9092",
-    topic: str = "product_clickstream",
+    bootstrap_servers: str = DEFAULT_SERVERS,
+    topic: str = DEFAULT_TOPIC,
     with_offset: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
