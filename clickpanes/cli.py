@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW, FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import grid_start
 from clickpanes.operators.featured import featured_products_daily
+from clickpanes.operators.dims import with_state
+from clickpanes.operators.parse import click_times
 from clickpanes.plans.featured import featured_report, run_featured
 from clickpanes.plans.grid import backfill_grid
 from clickpanes.plans.record import record_clicks
@@ -32,6 +34,8 @@ from clickpanes.sources.files import (
     text_lines_stream,
 )
 from clickpanes.sources.kafka import DEFAULT_SERVERS, DEFAULT_TOPIC, kafka_lines
+from clickpanes.streaming.sinks import start_console
+from clickpanes.streaming.views import windowed_views
 
 
 def _lines(spark: SparkSession, args) -> DataFrame:
@@ -67,6 +71,7 @@ def parser() -> argparse.ArgumentParser:
     views.add_argument("--window", default=DEFAULT_WINDOW.size)
     views.add_argument("--slide", default=DEFAULT_WINDOW.slide)
     views.add_argument("--format", choices=["parquet", "csv"], default=None)
+    views.add_argument("--console", action="store_true", help="also print window counts and parsed clicks (test mode)")
     views.set_defaults(trigger_default=None)
 
     feat = sub.add_parser("featured", help="the day's most or least viewed products")
@@ -109,9 +114,23 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
                 window = ViewWindow(args.window, args.slide)
                 zips = read_zip_states(spark, args.zip_states, args.zip_format)
                 fmt = args.format or "parquet"
+            lines = _lines(spark, args)
             query = start_views_per_state(
-                _lines(spark, args), zips, args.out, args.checkpoint, window=window, fmt=fmt, trigger=trigger
+                lines, zips, args.out, args.checkpoint, window=window, fmt=fmt, trigger=trigger
             )
+            if args.console:
+                clicks = click_times(lines)
+                extra = [
+                    start_console(
+                        windowed_views(with_state(clicks, zips), window),
+                        "console_product_views_per_state_per_hour",
+                        trigger,
+                    ),
+                    start_console(clicks, "product_stream_original", trigger),
+                ]
+                if not args.no_wait:
+                    for q in extra:
+                        q.awaitTermination()
         if not args.no_wait:
             query.awaitTermination()
         return query

@@ -51,3 +51,20 @@ def test_cli_jobs_end_to_end(spark, scratch):
     run(["grid", "--views", v_out, "--out", grid, "--start", "2024-01-01 00:55:00", "--steps", "11"], spark)
     g = read_views(spark, grid)
     assert g.count() > 0 and g.filter(F.col("count") <= 0).count() == 0
+
+
+def test_cli_dev_mode_with_console_sinks(spark, scratch):
+    text = _local(scratch("cli-dev-lines"))
+    event_lines(catalog._t(spark, SF_SMALL, "events")).select("value").write.text(text)
+    out, chk = scratch("cli-dev"), scratch("cli-dev-chk")
+    before = {q.name for q in spark.streams.active}
+    q = run(["views", "--dev", "--console", "--out", out, "--checkpoint", chk, "--text-dir", text,
+             "--trigger", "availableNow"], spark)
+    assert q.name == "product_views_per_state_per_hour" and not before
+    files = [f for f in os.listdir(_local(out)) if f.startswith("hour=")]
+    assert files  # CSV by hour
+    first = next(
+        open(os.path.join(_local(out), d, f)).readline()
+        for d in files for f in os.listdir(os.path.join(_local(out), d)) if f.endswith(".csv")
+    )
+    assert first.count("|") == 3  # product|state|count|period_start
