@@ -283,6 +283,12 @@ def q_stable_buckets(spark, sf_dir):
     return bucket_totals(views(spark, sf_dir), PRODUCT_BUCKETS)
 
 
+def q_sql_views(spark, sf_dir):
+    from clickpanes.plans.sql import views_sql
+
+    return views_sql(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_clicks": q_parse_clicks,
     "parse_click_times": q_parse_click_times,
@@ -291,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_views_sliding": q_product_views_sliding,
     "product_views_by_window": q_product_views_by_window,
     "product_views_dev": q_product_views_dev,
+    "sql_views": q_sql_views,
     "product_views_stream": q_product_views_stream,
     "product_views_stream_late": q_product_views_stream_late,
     "hour_slice": q_hour_slice,

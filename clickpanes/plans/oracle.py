@@ -207,6 +207,7 @@ ORACLE_SQL: dict[str, str] = {
     "clicks_with_state": _with(*_BASE) + "SELECT product_id, state, date_time FROM cws",
     "product_views_sliding": _with(*_BASE, _views()) + "SELECT * FROM pv",
     "product_views_by_window": _with(*_BASE, _views()) + "SELECT * FROM pv",
+    "sql_views": _with(*_BASE, _views()) + "SELECT * FROM pv",
     "product_views_dev": _with(LINES, TIMES, DEV_ZIP_STATES, WITH_STATE, _views(5, 1))
     + "SELECT * FROM pv",
     "product_views_stream": _with(*_BASE, _views())
