@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, preference
+from . import bpe, exact_dedup, language, mixing, preference, quality, secret_scan, simhash, substring, vectors
 from .common import checkpointed
 
 
@@ -18,6 +18,58 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = language.predict(docs.select("doc_id", "text"), language.train(docs))
+    return rows.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "language.*")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return rows.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", secret_scan.secret_spans(docs).alias("found"))
+    base = ["assign", "access", "hex"]
+    return rows.select(
+        "doc_id",
+        *[secret_scan.count_kind(F.col("found"), k).alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.span_list(F.col("found"), base), 256).alias("base_sha256"),
+        secret_scan.span_list(F.col("found")).alias("spans"),
+    )
+
+
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    docs = bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+    docs = bpe.decode_documents(docs.drop("text"), tokenizer)
+    return docs.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(_table(spark, sf_dir, "documents"))
     first = F.get("positions", F.lit(0))
@@ -40,6 +92,13 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
+    "op3_language": op3_language,
+    "op4_simhash": op4_simhash,
+    "op5_substring": op5_substring,
+    "op6_secrets": op6_secrets,
+    "op7_vectors": op7_vectors,
+    "op8_bpe": op8_bpe,
     "op9_mix_sources": op9_mix_sources,
     "op10_preference": op10_preference,
 }
