@@ -27,6 +27,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that Spark wrote, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder now and cut its lineage;
     lost executors do not lose it, and it is computed once."""
