@@ -13,8 +13,8 @@ word sequence starts anywhere else too. Every word a recurring window covers is
 4. Confirm: a shard counts its windows that have a recurring anchor, by 128 bits (the
    window's hash and the anchor's). A window met twice in its shard, or in the
    sum over all shards, is a recurring passage.
-5. Automata: each shard compiles its recurring passages (one symbol per distinct word of the
-   shard) into Aho-Corasick automata of bounded size and streams all its
+5. Automata: each shard compiles its recurring passages (words spelled in symbols of its
+   own) into Aho-Corasick automata of bounded size and streams all its
    documents through them, to locate every occurrence.
 
 Counts are Spark aggregates with map-side sums, so a passage that a third of
@@ -26,8 +26,10 @@ are compressed where they are shuffled.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -46,7 +48,6 @@ PATTERNS = 8_000  # windows in one automaton
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PIECE = 1 << 17
 _FIRST_SYMBOL = 0xE000  # beyond the surrogates
-_SYMBOLS = 0x110000 - _FIRST_SYMBOL
 
 
 def _anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,45 +111,82 @@ def _packed(least: int):
     return run
 
 
-def _shard_windows(docs: pa.Table, window: int, gram: int) -> tuple[list[str], list, np.ndarray, np.ndarray]:
-    """A shard's texts, the starts and keys of their candidate windows, the distinct
-    keys and how often each is met (by weight)."""
+def _distinct(anchor: np.ndarray, hash_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (anchor, hash) pairs in order, and the place of each pair among them."""
+    order = np.lexsort((hash_, anchor))
+    a, h = anchor[order], hash_[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return a[new], h[new], at
+
+
+@dataclass
+class _Shard:
+    """A shard's texts, the starts of their candidate windows, each one's place
+    among the distinct windows (``at``, cut by text at ``ends``), and how often
+    these are met, by weight."""
+
+    texts: list[str]
+    starts: list[np.ndarray]
+    at: np.ndarray
+    ends: np.ndarray
+    anchor: np.ndarray
+    hash: np.ndarray
+    n: np.ndarray
+
+
+def _read_shard(docs: pa.Table, window: int, gram: int) -> _Shard:
     unpack = zstandard.ZstdDecompressor().decompress
     texts = [unpack(p.as_py()).decode("utf-8") for p in docs["packed"]]
-    found = []
-    for text, anchors in zip(texts, docs["anchors"]):
-        starts, anchor, hash_ = _windows(text, anchors.values.to_numpy().view(np.uint64), window, gram)
-        found.append((starts, _pair(anchor, hash_)))
-    every = np.concatenate([keys for _, keys in found])
-    weights = np.repeat(docs["weight"].to_numpy(), [len(keys) for _, keys in found])
-    distinct, at = np.unique(every, return_inverse=True)
-    return texts, found, distinct, np.bincount(at, weights, len(distinct)).astype(np.int64)
+    found = [
+        _windows(text, anchors.values.to_numpy().view(np.uint64), window, gram)
+        for text, anchors in zip(texts, docs["anchors"])
+    ]
+    starts, anchors, hashes = ([f[k] for f in found] for k in range(3))
+    sizes = [len(s) for s in starts]
+    anchor, hash_, at = _distinct(np.concatenate(anchors), np.concatenate(hashes))
+    n = np.bincount(at, np.repeat(docs["weight"].to_numpy(), sizes), len(anchor)).astype(np.int64)
+    return _Shard(texts, starts, at, np.cumsum(sizes), anchor, hash_, n)
 
 
 def _count_shard(window: int, gram: int):
     """Task: a shard's documents to rows (anchor, hash, shard, n)."""
 
     def run(docs: pa.Table) -> pa.Table:
-        _, _, keys, n = _shard_windows(docs, window, gram)
-        anchor, hash_ = (np.ascontiguousarray(keys[f]).view(np.int64) for f in ("a", "h"))
-        return pa.table({"anchor": anchor, "hash": hash_, "shard": np.full(len(n), docs["shard"][0].as_py()), "n": n})
+        shard = _read_shard(docs, window, gram)
+        name = np.full(len(shard.n), docs["shard"][0].as_py())
+        return pa.table({"anchor": shard.anchor.view(np.int64), "hash": shard.hash.view(np.int64), "shard": name, "n": shard.n})
 
     return run
 
 
-def locate(texts: list[str], phrases: list[str], window: int) -> list[np.ndarray]:
-    """For every text (one symbol per word), which symbols an occurrence of
-    a phrase of ``window`` symbols covers."""
-    cover = [np.zeros(len(t) + 1, np.int32) for t in texts]
+def spell(texts: list[list[str]]) -> list[str]:
+    """Every word as two symbols, of disjoint ranges so that a match starts at
+    a word. Each range has about the square root of the number of distinct
+    words: automata search a state's successors one by one."""
+    number: dict[str, int] = {}
+    coded = [[number.setdefault(w, len(number)) for w in words] for words in texts]
+    base = max(1, math.isqrt(len(number)) + 1)
+    symbols = [chr(_FIRST_SYMBOL + k // base) + chr(_FIRST_SYMBOL + base + k % base) for k in range(len(number))]
+    return ["".join([symbols[k] for k in words]) for words in coded]
+
+
+def locate(texts: list[str], phrases: list[str]) -> list[np.ndarray]:
+    """For every spelled text, which of its words an occurrence of a phrase covers.
+    All phrases have one length."""
+    cover = [np.zeros(len(t) // 2 + 1, np.int32) for t in texts]
+    window = len(phrases[0]) // 2 if phrases else 0
     for at in range(0, len(phrases), PATTERNS):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for phrase in phrases[at : at + PATTERNS]:
             automaton.add_word(phrase)
         automaton.make_automaton()
         for text, marks in zip(texts, cover):
-            ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64)
-            np.add.at(marks, ends - window + 1, 1)
-            np.add.at(marks, ends + 1, -1)
+            ends = np.array([end for end, _ in automaton.iter(text)], np.int64) // 2
+            marks += np.bincount(ends - window + 1, minlength=len(marks)).astype(np.int32)
+            marks -= np.bincount(ends + 1, minlength=len(marks)).astype(np.int32)
     return [np.cumsum(marks[:-1]) > 0 for marks in cover]
 
 
@@ -161,17 +199,26 @@ def _clean_shard(window: int, gram: int):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         if not docs.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names)
-        texts, found, keys, n = _shard_windows(docs, window, gram)
-        recurs = keys[(n > 1) | np.isin(keys, _pair(*(elsewhere[c].to_numpy().view(np.uint64) for c in ("anchor", "hash"))))]
-        split = [_WORD.findall(t) for t in texts]
-        symbols: dict[str, int] = {}
-        coded = ["".join([chr(_FIRST_SYMBOL + symbols.setdefault(w, len(symbols))) for w in words]) for words in split]
-        phrases: dict[str, None] = {}
-        for code, (starts, own) in zip(coded, found):
-            phrases.update(dict.fromkeys(code[s : s + window] for s in starts[np.isin(own, recurs)].tolist()))
+        shard = _read_shard(docs, window, gram)
+        recurs = shard.n > 1
+        if elsewhere.num_rows:
+            anchor, hash_ = (elsewhere[c].to_numpy().view(np.uint64) for c in ("anchor", "hash"))
+            own = len(shard.n)
+            _, _, at = _distinct(np.concatenate([shard.anchor, anchor]), np.concatenate([shard.hash, hash_]))
+            recurs |= np.isin(at[:own], at[own:])
+        split = [_WORD.findall(t) for t in shard.texts]
+        coded = spell(split)
+        # One place of each recurring window gives its phrase.
+        wanted = recurs[shard.at]
+        first = np.zeros(len(wanted), bool)
+        first[np.unique(shard.at, return_index=True)[1]] = True
+        phrases: list[str] = []
+        for code, starts, chosen in zip(coded, shard.starts, np.split(wanted & first, shard.ends[:-1])):
+            phrases += [code[2 * s : 2 * (s + window)] for s in starts[chosen].tolist()]
         alone = [k for k, w in enumerate(docs["weight"].to_pylist()) if w == 1]
+        located = locate([coded[k] for k in alone], phrases)
         rows = []
-        for k, gone in zip(alone, locate([coded[k] for k in alone], list(phrases), window)):
+        for k, gone in zip(alone, located):
             if gone.any():
                 kept = " ".join([w for w, g in zip(split[k], gone.tolist()) if not g])
                 rows.append((docs["rid"][k].as_py(), docs["text_hash"][k].as_py(), int(gone.sum()), kept))
@@ -180,13 +227,6 @@ def _clean_shard(window: int, gram: int):
     return run
 
 
-def _pair(anchor: np.ndarray, hash_: np.ndarray) -> np.ndarray:
-    """Both 64-bit halves as one comparable value."""
-    out = np.empty(len(anchor), [("a", np.uint64), ("h", np.uint64)])
-    out["a"], out["h"] = anchor, hash_
-    return out
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``id, text_hash, n_words, n_removed, kept, kept_sha256``, one row per input row.
 
