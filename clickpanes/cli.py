@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW, FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import grid_start
 from clickpanes.operators.featured import featured_products_daily
-from clickpanes.operators.dims import with_state
+from clickpanes.operators.dims import distinct_states, with_state
+from clickpanes.operators.grid import series_of
 from clickpanes.operators.parse import click_times
 from clickpanes.plans.featured import featured_report, run_featured
 from clickpanes.plans.grid import backfill_grid
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state
+from clickpanes.sinks import write_report
 from clickpanes.sources.files import (
     dev_zip_states,
     read_categories,
@@ -37,6 +39,10 @@ from clickpanes.sources.kafka import DEFAULT_SERVERS, DEFAULT_TOPIC, kafka_lines
 from clickpanes.streaming.sinks import start_console
 from clickpanes.streaming.views import windowed_views
 
+# Names of the test mode's console queries.
+CONSOLE_VIEWS_NAME = "console_product_views_per_state_per_hour"
+CONSOLE_CLICKS_NAME = "product_stream_original"
+
 
 def _lines(spark: SparkSession, args) -> DataFrame:
     if args.text_dir:
@@ -93,6 +99,9 @@ def parser() -> argparse.ArgumentParser:
     grid.add_argument("--step-seconds", type=int, default=300)
     grid.add_argument("--start", help="'yyyy-mm-dd HH:MM:SS'; default: steps intervals before now")
     grid.add_argument("--start-delta-seconds", type=int, default=-1)
+    grid.add_argument("--products", help="products (JSON) whose series to fill; with --states, instead of the series in the views")
+    grid.add_argument("--states", help="states table (CSV with header or Parquet)")
+    grid.add_argument("--states-format", choices=["csv", "parquet"], default="csv")
     grid.add_argument("--all-rows", action="store_true", help="keep zero counts too")
     return ap
 
@@ -123,10 +132,10 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
                 extra = [
                     start_console(
                         windowed_views(with_state(clicks, zips), window),
-                        "console_product_views_per_state_per_hour",
+                        CONSOLE_VIEWS_NAME,
                         trigger,
                     ),
-                    start_console(clicks, "product_stream_original", trigger),
+                    start_console(clicks, CONSOLE_CLICKS_NAME, trigger),
                 ]
                 if not args.no_wait:
                     for q in extra:
@@ -147,7 +156,7 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
                 departments=read_departments(spark, args.departments) if args.departments else None,
                 anchor=args.anchor,
             )
-            run_featured(report, args.out, args.order)
+            write_report(report, args.out, args.order)
             return report
         report = featured_report(
             read_views(spark, args.views),
@@ -159,13 +168,19 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             departments=read_departments(spark, args.departments) if args.departments else None,
             anchor=args.anchor,
         )
-        run_featured(report, args.out, args.order)
+        run_featured(report, args.out, args.order, args.date)
         return report
     start = args.start or grid_start(
         dt.datetime.now(), args.steps, args.step_seconds, args.start_delta_seconds
     ).isoformat(sep=" ")
+    if bool(args.products) != bool(args.states):
+        raise SystemExit("give --products and --states together")
+    keys = None
+    if args.products:
+        states = distinct_states(read_zip_states(spark, args.states, args.states_format))
+        keys = series_of(read_products(spark, args.products), states)
     backfill_grid(
         read_views(spark, args.views), args.out, start, args.steps, args.step_seconds,
-        positive_only=not args.all_rows,
+        keys=keys, positive_only=not args.all_rows,
     )
     return None

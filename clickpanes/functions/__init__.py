@@ -9,7 +9,6 @@ from clickpanes.functions.parsing import (
 )
 from clickpanes.functions.timekeys import (
     hour_key,
-    minute_of,
     pane_start,
     stamps_after,
 )
@@ -22,7 +21,6 @@ __all__ = [
     "lenient_integer",
     "pipe_fields",
     "hour_key",
-    "minute_of",
     "pane_start",
     "stamps_after",
     "stable_bucket",

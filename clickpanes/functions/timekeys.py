@@ -19,18 +19,16 @@ def _col(c: Column | str) -> Column:
 
 
 def hour_key(ts: Column | str) -> Column:
-    """``yyyyMMddHH`` of a timestamp as an int (e.g. 2024011513)."""
+    """``yyyyMMddHH`` of a timestamp as a bigint (e.g. 2024011513). An int
+    ends in the year 2147; bigint arithmetic holds every timestamp, with
+    ANSI mode on or off."""
     ts = _col(ts)
     return (
-        F.year(ts) * 1_000_000
+        F.year(ts).cast("bigint") * 1_000_000
         + F.month(ts) * 10_000
         + F.dayofmonth(ts) * 100
         + F.hour(ts)
-    ).cast("int")
-
-
-def minute_of(ts: Column | str) -> Column:
-    return F.minute(_col(ts))
+    )
 
 
 def pane_seconds(size_s: int, slide_s: int) -> int:

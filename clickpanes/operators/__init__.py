@@ -2,7 +2,6 @@
 
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.dims import (
-    bounded_broadcast,
     distinct_states,
     distinct_zip_states,
     with_state,
@@ -30,12 +29,11 @@ from clickpanes.operators.featured import (
     report_layout,
     top_products,
 )
-from clickpanes.operators.grid import fill_views, series_keys, view_grid
+from clickpanes.operators.grid import fill_views, series_keys, series_of, view_grid
 
 __all__ = [
     "click_records",
     "click_times",
-    "bounded_broadcast",
     "distinct_states",
     "distinct_zip_states",
     "with_state",
@@ -60,5 +58,6 @@ __all__ = [
     "top_products",
     "fill_views",
     "series_keys",
+    "series_of",
     "view_grid",
 ]

@@ -1,5 +1,4 @@
-"""Dimension handling: distinct pairs, the zip -> state join, and a
-size-checked broadcast for small sides."""
+"""Dimension handling: distinct pairs and the zip -> state join."""
 
 from __future__ import annotations
 
@@ -8,28 +7,10 @@ from pyspark.sql import functions as F
 
 from clickpanes.config import UNKNOWN_STATE
 
-# A dimension at most this many rows is shipped to every executor; above
-# it the join is a shuffle join (sort-merge, or AQE's runtime choice).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check stops as soon as ``max_rows + 1`` rows are seen, so it stays
-    cheap on a large table; a side that fails it is left to a shuffle join.
-    """
-    if df.isStreaming:
-        return df
-    return F.broadcast(df) if _has_at_most(df, max_rows) else df
-
-
-def _has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """``take`` scans partitions incrementally (one, then a growing number)
-    and stops once it has ``max_rows + 1`` rows: a large input is rejected
-    after a few partitions, where a ``count`` would start every task. Only
-    a one-literal column is fetched, at most ``max_rows + 1`` tiny rows."""
-    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
+# Clicks without a zip code match nothing; they are spread over this many
+# keys above the range of zip codes, so no task gets them all.
+NO_ZIP_KEY = 1 << 40
+NO_ZIP_KEYS = 4096
 
 
 def distinct_zip_states(zip_states: DataFrame) -> DataFrame:
@@ -42,31 +23,24 @@ def distinct_states(zip_states: DataFrame) -> DataFrame:
     return zip_states.select("state").distinct()
 
 
-def with_state(
-    clicks: DataFrame,
-    zip_states: DataFrame,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-    dedupe: bool = True,
-) -> DataFrame:
+def with_state(clicks: DataFrame, zip_states: DataFrame, dedupe: bool = True) -> DataFrame:
     """Left join clicks to their state by zip code; unknown zip codes and
     NULL states become ``'Unknown'``.
 
     Input ``product_id, zip_code, date_time`` (batch or stream); output
-    ``product_id, state, date_time``. The dimension is broadcast when its
-    size is checked to be small, so the click side is never shuffled for it.
+    ``product_id, state, date_time``. The join's strategy is Spark's: it
+    broadcasts the dimension where its estimated (or, under adaptive
+    execution, measured) size is below ``spark.sql.autoBroadcastJoinThreshold``,
+    and splits a hot zip code in a sort-merge join. A stream plans the
+    dimension again in every micro-batch and so sees its changes;
+    ``dedupe=False`` spares the distinct for a table without repeated pairs.
     """
     pairs = zip_states.select("zip_code", "state")
-    dim = distinct_zip_states(pairs) if dedupe else pairs
-    if clicks.isStreaming:
-        # The static side of a stream-static join is planned again in every
-        # micro-batch; keep it materialized (memory, spilling to disk) so
-        # each batch only re-broadcasts it instead of recomputing it.
-        dim = dim.persist()
-    # The distinct pairs are no more than the input rows, so the bound is
-    # checked on the input, where the check can stop early.
-    if not dim.isStreaming and _has_at_most(pairs, max_broadcast_rows):
-        dim = F.broadcast(dim)
-    joined = clicks.join(dim, "zip_code", "left")
+    dim = (distinct_zip_states(pairs) if dedupe else pairs).where("zip_code IS NOT NULL")
+    dim = dim.select(F.col("zip_code").cast("bigint").alias("_zip"), "state")
+    spread = F.lit(NO_ZIP_KEY) + F.pmod(F.xxhash64("product_id", "date_time"), F.lit(NO_ZIP_KEYS))
+    zip_key = F.coalesce(F.col("zip_code").cast("bigint"), spread)
+    joined = clicks.select("product_id", "date_time", zip_key.alias("_zip")).join(dim, "_zip", "left")
     return joined.select(
         "product_id",
         F.coalesce(F.col("state"), F.lit(UNKNOWN_STATE)).alias("state"),

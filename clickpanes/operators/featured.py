@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 
 from clickpanes.config import FEATURED_N, ViewWindow
 from clickpanes.functions.timekeys import hour_key
-from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.schemas import REPORT
-from clickpanes.scratch import scratch_root
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 _ORDERS = {"top": "desc", "low": "asc", "desc": "desc", "asc": "asc"}
@@ -83,18 +81,12 @@ def product_totals(views_slice: DataFrame) -> DataFrame:
 
 
 def day_totals(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame:
-    """``product_id, no_views`` over the day's slice, aggregated before the
-    slice is chosen: one pass sums per product and window minute (at most
-    ``60 / slide`` rows per product), then the closing minute's sums are
-    kept. Equal to ``product_totals(hour_slice(...))``."""
+    """``product_id, no_views`` over the day's slice. Equal to
+    ``product_totals(hour_slice(...))``, but the views are aggregated before
+    the slice is chosen (see ``daily_totals``)."""
     first, last = day_hours(date)
-    per_minute = (
-        views.filter(F.col("hour").between(first, last))
-        .groupBy("product_id", F.minute("period_start").alias("minute"))
-        .agg(F.sum("count").cast("bigint").alias("no_views"))
-    )
-    kept = _at_closing_minute(per_minute, F.col("minute"), views, date, anchor)
-    return kept.select("product_id", "no_views")
+    day = views.filter(F.col("hour").between(first, last))
+    return daily_totals(day, anchor).select("product_id", "no_views")
 
 
 def _direction(order: str) -> str:
@@ -113,6 +105,8 @@ def top_products(totals: DataFrame, order: str = "top", n: int = FEATURED_N) ->
     """The ``n`` most (``top``) or least (``low``) viewed products; ties go
     to the smaller product id. Planned as a per-partition top-n merged in
     one task (never a full sort)."""
+    if n < 1:
+        raise ValueError(f"n must be at least 1, got {n}")
     return totals.orderBy(*_ranking(order)).limit(n)
 
 
@@ -124,11 +118,11 @@ def enrich(
 ) -> DataFrame:
     """Inner joins with products, then categories, then departments.
 
-    ``top`` holds at most ``n`` rows (it comes from a limit), so it is the
-    broadcast side and the product table is scanned once, never shuffled.
-    Products missing from a dimension drop out (inner joins).
+    ``top`` comes from a limit, so Spark knows its size and broadcasts it where
+    ``n`` rows are below its threshold; the product table is then scanned once and
+    not shuffled. Products missing from a dimension drop out (inner joins).
     """
-    out = F.broadcast(top).join(products, "product_id")
+    out = top.join(products, "product_id")
     if categories is not None:
         out = out.join(categories, F.col("category_id") == F.col("product_category_id"))
         if departments is not None:
@@ -207,34 +201,36 @@ def featured_products(
 # --- every day at once ---------------------------------------------------
 
 
-# Broadcast bound for per-day tables (one row per day of data).
-MAX_DAYS = 100_000
+def _day_key(hour: Column | None = None) -> Column:
+    hour = F.col("hour") if hour is None else hour
+    return F.floor(hour / 100).cast("int")
 
 
-def _day_key() -> Column:
-    return F.floor(F.col("hour") / 100).cast("int")
+def _closing_minutes(starts: DataFrame, anchor: str) -> DataFrame:
+    """``closing_day, closing_minute`` of window starts (``period_start, hour``).
+
+    One row per calendar day, so at most 3.7 million rows for the years 1 to
+    9999: a broadcast of bounded size, which spares the counts a shuffle
+    by day (a busy day would load a few tasks)."""
+    if anchor == "hour00":
+        starts = starts.filter(F.col("hour") % 100 == 0)
+    elif anchor != "day":
+        raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
+    return F.broadcast(
+        starts.groupBy(_day_key().alias("closing_day")).agg(
+            F.max(F.minute("period_start")).alias("closing_minute")
+        )
+    )
 
 
 def daily_totals(views: DataFrame, anchor: str = "hour00") -> DataFrame:
     """``day_key (yyyymmdd), product_id, no_views`` for the slice of every
     day in the views: one aggregation per (day, product, window minute),
-    then each day's closing-minute sums are kept (a join on day and
-    minute with the per-day closing minutes, one row per day)."""
+    then each day's closing-minute sums are kept."""
     per_minute = views.groupBy(
         _day_key().alias("day_key"), "product_id", F.minute("period_start").alias("minute")
     ).agg(F.sum("count").cast("bigint").alias("no_views"))
-    if anchor == "hour00":
-        scope = views.filter(F.col("hour") % 100 == 0)
-    elif anchor == "day":
-        scope = views
-    else:
-        raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
-    closing = scope.groupBy(_day_key().alias("closing_day")).agg(
-        F.max(F.minute("period_start")).alias("closing_minute")
-    )
-    # One row per day: a checked broadcast, so the per-minute sums are
-    # never shuffled by day (a busy day would load a few tasks).
-    closing = bounded_broadcast(closing, MAX_DAYS)
+    closing = _closing_minutes(views.select("period_start", "hour"), anchor)
     kept = per_minute.join(
         closing,
         (F.col("day_key") == F.col("closing_day")) & (F.col("minute") == F.col("closing_minute")),
@@ -244,37 +240,33 @@ def daily_totals(views: DataFrame, anchor: str = "hour00") -> DataFrame:
 
 def daily_totals_from_panes(panes: DataFrame, window: ViewWindow, anchor: str = "hour00") -> DataFrame:
     """``daily_totals`` straight from pane counts (``product_id, state,
-    pane, n``), never building the full view table.
-
-    Pane counts are expanded to their windows (Spark's ``window``); each
-    day's closing minute comes from its first-hour windows (a window exists
-    when some pane reaches it, as in the views); then every expanded row
-    whose window does not start at its day's closing minute is dropped by a
-    broadcast join with the per-day table (one row per day, checked),
-    before any aggregation: only one window in ``60 / slide`` is summed
-    and shuffled.
+    pane, n``), never building the view table.
+
+    Which windows exist follows from the distinct panes alone (one row per
+    pane of time), so only these are expanded to find the closing minutes.
+    A pane then goes straight to the windows that start at the closing minute
+    of an hour and cover it: for a window of one hour, one of the two hours
+    before the pane's end, instead of all ``size / slide`` windows.
     """
-    expanded = panes.select(
-        F.window("pane", window.size, window.slide).start.alias("period_start"), "product_id", "n"
-    ).withColumn("hour", hour_key("period_start"))
-    if anchor == "hour00":
-        scope = expanded.filter(F.col("hour") % 100 == 0)
-    elif anchor == "day":
-        scope = expanded
-    else:
-        raise ValueError(f"anchor must be 'hour00' or 'day', got {anchor!r}")
-    closing = scope.groupBy(_day_key().alias("closing_day")).agg(
-        F.max(F.minute("period_start")).alias("closing_minute")
+    spans = panes.select("pane").distinct()
+    spans = spans.select(F.window("pane", window.size, window.slide).start.alias("period_start"))
+    closing = _closing_minutes(spans.withColumn("hour", hour_key("period_start")), anchor)
+    size = F.make_dt_interval(secs=F.lit(window.size_s))
+    hours = F.sequence(
+        F.date_trunc("hour", F.col("pane") - size), F.date_trunc("hour", "pane"), F.expr("INTERVAL 1 HOUR")
     )
-    closing = bounded_broadcast(closing, MAX_DAYS)
-    kept = expanded.join(
-        closing,
-        (_day_key() == F.col("closing_day"))
-        & (F.minute("period_start") == F.col("closing_minute")),
+    near = panes.select("product_id", "n", "pane", F.explode(hours).alias("_hour"))
+    near = near.withColumn("day_key", _day_key(hour_key("_hour")))
+    at = near.join(closing, F.col("day_key") == F.col("closing_day")).withColumn(
+        "_start", F.col("_hour") + F.make_dt_interval(mins=F.col("closing_minute"))
     )
-    return kept.groupBy(_day_key().alias("day_key"), "product_id").agg(
-        F.sum("n").cast("bigint").alias("no_views")
+    slide_us = window.slide_s * 1_000_000
+    kept = at.filter(
+        (F.col("_start") <= F.col("pane"))
+        & (F.col("_start") + size > F.col("pane"))
+        & (F.pmod(F.unix_micros("_start"), F.lit(slide_us)) == 0)
     )
+    return kept.groupBy("day_key", "product_id").agg(F.sum("n").cast("bigint").alias("no_views"))
 
 
 def top_products_per_day(totals: DataFrame, order: str = "top", n: int = FEATURED_N) -> DataFrame:
@@ -285,6 +277,8 @@ def top_products_per_day(totals: DataFrame, order: str = "top", n: int = FEATURE
     before the shuffle, so even a day holding most of the data sends at
     most ``n`` rows per task to its ranking task.
     """
+    if n < 1:
+        raise ValueError(f"n must be at least 1, got {n}")
     w = Window.partitionBy("day_key").orderBy(*_ranking(order))
     return (
         totals.withColumn("_rank", F.row_number().over(w))
@@ -343,12 +337,9 @@ def featured_products_daily(
 ) -> DataFrame:
     """``featured_products`` for every day of the views in one job.
 
-    The ranked rows (at most ``n`` per day) are stored with a reliable
-    checkpoint and, after their count is checked, are the broadcast side of
-    the enrichment joins: the product table is scanned, never shuffled.
+    The ranked rows, at most ``n`` per day, are the small side of the
+    enrichment joins; adaptive execution broadcasts them where their measured
+    size allows it.
     """
     top = top_products_per_day(daily_totals(views, anchor), order, n)
-    if not top.isStreaming:
-        scratch_root(top.sparkSession)
-        top = bounded_broadcast(top.checkpoint(eager=True), n * MAX_DAYS)
     return enrich_daily(top, products, categories, departments, order)

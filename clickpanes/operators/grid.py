@@ -1,8 +1,8 @@
 """Gap-free views: every series gets a row at every stamp of a time grid.
 
 A series is one ``(product_id, state)`` pair. The grid is generated per
-series with ``sequence`` + ``explode`` (a generator, no join), then the
-observed counts are joined in and missing ones become 0.
+series with ``sequence`` + ``explode`` (a generator, no join); observed counts are
+joined in per series, missing ones become 0.
 """
 
 from __future__ import annotations
@@ -36,34 +36,56 @@ def view_grid(keys: DataFrame, start: str | Column, steps: int, step_s: int = 30
     return grid.withColumn("hour", hour_key("period_start"))
 
 
+def series_of(products: DataFrame, states: DataFrame, state_buckets: int = 64) -> DataFrame:
+    """``product_id, state``: the series of given products and states.
+
+    The states (a short list: distinct values of a dimension) are gathered
+    into ``state_buckets`` arrays and each product row is expanded with them.
+    """
+    bucket = F.pmod(F.xxhash64("state"), F.lit(state_buckets)).cast("int")
+    lists = states.distinct().groupBy(bucket.alias("_b")).agg(F.collect_list("state").alias("_states"))
+    each = F.explode(F.sequence(F.lit(0), F.lit(state_buckets - 1))).alias("_b")
+    ids = products.select(F.col("product_id").cast("bigint").alias("product_id")).distinct()
+    return ids.select("product_id", each).join(lists, "_b").select("product_id", F.explode("_states").alias("state"))
+
+
 def fill_views(
     views: DataFrame,
-    grid: DataFrame,
-    start: str | Column | None = None,
-    steps: int | None = None,
+    keys: DataFrame,
+    start: str | Column,
+    steps: int,
     step_s: int = 300,
     positive_only: bool = False,
 ) -> DataFrame:
-    """Grid rows with the observed count, 0 where nothing was seen.
+    """Every series of ``keys`` at every stamp of the span, with the observed
+    count, 0 where nothing was seen.
 
-    When the grid's span is given, the views are cut to it first, on
-    ``hour`` too, so a store partitioned by hour is read only for the
-    grid's hours. ``positive_only`` keeps the rows with ``count > 0``.
+    The views are cut to the span first, on ``hour`` too, so a store
+    partitioned by hour is read only for the grid's hours. A series' observed
+    counts become one map from stamp to count (at most ``steps + 1`` entries),
+    which joins its key; the stamps are generated after the join and looked up,
+    so the grid itself is never shuffled. NULL product ids and states are
+    series like any other. ``positive_only`` keeps the rows with ``count > 0``.
     """
-    observed = views.select(*SERIES, "period_start", "count")
-    if start is not None and steps is not None:
-        first = F.date_trunc("second", _ts(start)) + F.make_dt_interval(secs=F.lit(step_s))
-        last = F.date_trunc("second", _ts(start)) + F.make_dt_interval(
-            secs=F.lit(step_s * (steps + 1))
-        )
-        observed = views.filter(
+    base = F.date_trunc("second", _ts(start))
+    first = base + F.make_dt_interval(secs=F.lit(step_s))
+    last = base + F.make_dt_interval(secs=F.lit(step_s * (steps + 1)))
+    on_grid = F.pmod(F.unix_micros("period_start") - F.unix_micros(first), F.lit(step_s * 1_000_000)) == 0
+    seen = (
+        views.filter(
             F.col("hour").between(hour_key(first), hour_key(last))
             & F.col("period_start").between(first, last)
-        ).select(*SERIES, "period_start", "count")
-    filled = grid.join(observed, [*SERIES, "period_start"], "left").select(
-        *SERIES,
-        F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-        "period_start",
-        "hour",
+            & on_grid
+        )
+        .groupBy(*SERIES, "period_start")
+        .agg(F.sum("count").cast("bigint").alias("count"))
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in SERIES])
+        .agg(F.map_from_entries(F.collect_list(F.struct("period_start", "count"))).alias("_seen"))
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SERIES]
+    grid = keys.select(*SERIES).join(seen, same[0] & same[1], "left")
+    stamps = stamps_after(_ts(start), steps, step_s)
+    filled = grid.select(*SERIES, "_seen", F.explode(stamps).alias("period_start"))
+    count = F.coalesce(F.try_element_at("_seen", F.col("period_start")), F.lit(0).cast("bigint"))
+    filled = filled.select(*SERIES, count.alias("count"), "period_start", hour_key("period_start").alias("hour"))
     return filled.filter(F.col("count") > 0) if positive_only else filled

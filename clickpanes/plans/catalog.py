@@ -2,7 +2,7 @@
 
 Every query reads the tables (``events``, ``customer``, ``nation``,
 ``part``, ``region``) of a scale-factor folder whole, so its work grows
-with the data. Streaming and round-trip queries write below the session's
+with the data; a few edge rows are added (``sources.tables``). Streaming and round-trip queries write below the session's
 checkpoint directory and return a batch read of what they wrote.
 """
 
@@ -10,62 +10,72 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
 from clickpanes.functions.sampling import stable_bucket
-from clickpanes.operators.dims import distinct_zip_states, with_state
+from clickpanes.operators.dims import distinct_states, distinct_zip_states, with_state
 from clickpanes.operators.featured import day_totals, hour_slice
-from clickpanes.operators.grid import view_grid
+from clickpanes.operators.grid import series_of, view_grid
 from clickpanes.operators.parse import click_records, click_times
-from clickpanes.operators.partitioning import ensure_parallel
 from clickpanes.operators.sampling import bucket_totals
 from clickpanes.operators.views import pane_counts, product_views, views_by_window, views_from_panes
-from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
-from clickpanes.plans.grid import gap_filled_views
+from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks, featured_report
+from clickpanes.plans.grid import backfill_grid, gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
-from clickpanes.scratch import scratch_path, scratch_root
-from clickpanes.sinks import read_report, write_report
-from clickpanes.sources.files import dev_zip_states, read_categories, read_departments, read_products
+from clickpanes.scratch import delete_path, scratch_path, scratch_root
+from clickpanes.sinks import read_report, write_report, write_views
+from clickpanes.sources.files import (
+    dev_zip_states,
+    read_categories,
+    read_departments,
+    read_products,
+    read_views,
+    read_zip_states,
+)
 from clickpanes.sources.tables import (
-    EVENTS,
     categories_from_part,
     departments_from_region,
+    edge_lines,
+    edge_lines_stream,
     event_lines,
     events_stream,
     products_from_part,
     read_table,
     zip_states_from_customers,
 )
+from clickpanes.streaming.sinks import epoch_sink, read_epochs, start_fan_out
 
-# Fixed query parameters: the report day (and a second day for the
-# round trip) and the grid span, 288 five-minute stamps over that day.
+# Fixed query parameters: the report day and the grid span, 288 five-minute stamps over that day.
 REPORT_DATE = "2024-01-15"
-SECOND_DATE = "2024-01-16"
 GRID_START = "2024-01-14 23:55:00"
 GRID_STEPS = 287
 GRID_STEP_S = 300
 PRODUCT_BUCKETS = 16
-LATE_PRODUCERS = 4
-
-
-def _cores(spark: SparkSession) -> int | None:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no spreading
-        return None
+# Late deliveries: periods of LATE_DAYS days from LATE_FROM on; half of the
+# users deliver this much late.
+LATE_FROM = "2024-01-01"
+LATE_DAYS = 8
+LATE_DELIVERIES = 4
+LATE_DELAY = "119 MINUTES"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def lines(spark, sf_dir) -> DataFrame:
-    return event_lines(ensure_parallel(_t(spark, sf_dir, "events")))
+def lines(spark, sf_dir, far: bool = False) -> DataFrame:
+    """Every event as a click line, and the edge rows."""
+    return event_lines(_t(spark, sf_dir, "events")).union(edge_lines(spark, far))
+
+
+def lines_stream(spark, sf_dir) -> DataFrame:
+    """The same as a stream."""
+    edges = edge_lines_stream(spark, scratch_path(spark, "edge-lines"))
+    return event_lines(events_stream(spark, sf_dir)).union(edges)
 
 
 def zip_states(spark, sf_dir) -> DataFrame:
@@ -84,26 +94,27 @@ def departments(spark, sf_dir) -> DataFrame:
     return departments_from_region(_t(spark, sf_dir, "region"))
 
 
-def clicks_with_state(spark, sf_dir) -> DataFrame:
-    return with_state(click_times(lines(spark, sf_dir)), zip_states(spark, sf_dir))
+def clicks_with_state(spark, sf_dir, far: bool = False) -> DataFrame:
+    return with_state(click_times(lines(spark, sf_dir, far)), zip_states(spark, sf_dir))
 
 
 def views(spark, sf_dir) -> DataFrame:
     return views_per_state(lines(spark, sf_dir), zip_states(spark, sf_dir))
 
 
-def day_views(spark, sf_dir, date: str = REPORT_DATE) -> DataFrame:
-    """The day's views, counted once and stored with a reliable checkpoint
-    (the slice reads them twice: closing minute and rows)."""
-    scratch_root(spark)
-    return product_views(day_clicks(clicks_with_state(spark, sf_dir), date)).checkpoint(eager=True)
+def day_store(spark, sf_dir, date: str = REPORT_DATE) -> DataFrame:
+    """The day's views in a store partitioned by hour, as the views job
+    leaves it, read back."""
+    store = scratch_path(spark, "day-store")
+    write_views(product_views(day_clicks(clicks_with_state(spark, sf_dir), date)), store)
+    return read_views(spark, store)
 
 
 # --- queries -----------------------------------------------------------
 
 
 def q_parse_clicks(spark, sf_dir):
-    return click_records(lines(spark, sf_dir))
+    return click_records(lines(spark, sf_dir, far=True))
 
 
 def q_parse_click_times(spark, sf_dir):
@@ -130,41 +141,50 @@ def q_product_views_dev(spark, sf_dir):
     return views_per_state(lines(spark, sf_dir), dev_zip_states(spark), DEV_WINDOW)
 
 
-def q_product_views_stream(spark, sf_dir):
+def _views_stream(spark, sf_dir, partition_by):
     out, chk = scratch_path(spark, "views-out"), scratch_path(spark, "views-chk")
     query = start_views_per_state(
-        event_lines(events_stream(spark, sf_dir, spread=_cores(spark))),
+        lines_stream(spark, sf_dir),
         zip_states(spark, sf_dir),
         out,
         chk,
-        partition_by=None,
+        partition_by=partition_by,
         trigger="availableNow",
     )
     query.awaitTermination()
-    return spark.read.schema(PRODUCT_VIEWS).parquet(out)
+    delete_path(spark, chk)
+    return read_views(spark, out)
+
+
+def q_product_views_stream(spark, sf_dir):
+    return _views_stream(spark, sf_dir, None)
+
+
+def q_views_stream_by_hour(spark, sf_dir):
+    """The stream's store as the job writes it, partitioned by hour."""
+    return _views_stream(spark, sf_dir, "hour")
 
 
 def q_product_views_stream_late(spark, sf_dir):
-    """Late data on the real table: the events are split into
-    ``LATE_PRODUCERS`` producers (stable bucket of the user) that deliver
-    their whole backlog one after another; after each delivery the stream
-    runs to the end of the available files and stops, and the next run
-    resumes from the checkpoint. Every row is delivered; rows whose windows
-    closed under an earlier producer's watermark are dropped as late."""
-    staged, src = scratch_path(spark, "late-staged"), scratch_path(spark, "late-src")
+    """Late data on the real table: events come in deliveries, one period of
+    time after another, but half of the users deliver ``LATE_DELAY`` late, so
+    their last events of a period come with the next one. After each
+    delivery the stream runs to the end of the available files and stops, and
+    the next run resumes from the checkpoint. A late event is dropped
+    for the windows that have closed by then and counted in those still open."""
+    src = scratch_path(spark, "late-src")
     out, chk = scratch_path(spark, "late-out"), scratch_path(spark, "late-chk")
-    # One pass over the table: every event lands in its producer's folder.
-    _t(spark, sf_dir, "events").withColumn(
-        "producer", stable_bucket("user_id", LATE_PRODUCERS)
-    ).write.partitionBy("producer").parquet(staged)
-    staged_schema = T.StructType([*EVENTS.fields, T.StructField("producer", T.IntegerType())])
-    backlog = spark.read.schema(staged_schema).parquet(staged)
+    delay = F.when(stable_bucket("user_id", 2) == 0, F.expr(f"INTERVAL {LATE_DELAY}")).otherwise(
+        F.expr("INTERVAL 0 MINUTES")
+    )
+    days = F.datediff(F.col("ts") + delay, F.lit(LATE_FROM).cast("date"))
+    delivery = F.least(F.greatest(F.floor(days / LATE_DAYS), F.lit(0)), F.lit(LATE_DELIVERIES - 1))
+    events = _t(spark, sf_dir, "events").withColumn("delivery", delivery.cast("int"))
     dims = zip_states(spark, sf_dir)
-    for b in range(LATE_PRODUCERS):
-        # partition pruning: each delivery reads only its producer's folder
-        backlog.filter(F.col("producer") == b).drop("producer").write.mode("append").parquet(src)
+    for k in range(LATE_DELIVERIES):
+        events.filter(F.col("delivery") == k).drop("delivery").write.mode("append").parquet(src)
         query = start_views_per_state(
-            event_lines(events_stream(spark, src, glob=None, spread=_cores(spark))),
+            event_lines(events_stream(spark, src, glob=None)),
             dims,
             out,
             chk,
@@ -172,15 +192,17 @@ def q_product_views_stream_late(spark, sf_dir):
             trigger="availableNow",
         )
         query.awaitTermination()
-    return spark.read.schema(PRODUCT_VIEWS).parquet(out)
+    delete_path(spark, src)
+    delete_path(spark, chk)
+    return read_views(spark, out)
 
 
 def q_hour_slice(spark, sf_dir):
-    return hour_slice(day_views(spark, sf_dir), REPORT_DATE)
+    return hour_slice(day_store(spark, sf_dir), REPORT_DATE)
 
 
 def q_product_totals_day(spark, sf_dir):
-    return day_totals(day_views(spark, sf_dir), REPORT_DATE)
+    return day_totals(day_store(spark, sf_dir), REPORT_DATE)
 
 
 def featured_query(spark, sf_dir, date, order, full=True):
@@ -206,9 +228,29 @@ def q_featured_products_only(spark, sf_dir):
     return featured_query(spark, sf_dir, REPORT_DATE, "top", full=False)
 
 
+def q_featured_from_store(spark, sf_dir):
+    """The whole views table stored by hour, then one day's report from it."""
+    store = scratch_path(spark, "views-store")
+    write_views(views(spark, sf_dir), store)
+    return featured_report(
+        read_views(spark, store),
+        REPORT_DATE,
+        products(spark, sf_dir),
+        categories=categories(spark, sf_dir),
+        departments=departments(spark, sf_dir),
+    )
+
+
+def q_featured_day_anchor(spark, sf_dir):
+    """Every day's report with the closing minute taken over the whole day."""
+    return featured_all_days(
+        clicks_with_state(spark, sf_dir), products(spark, sf_dir), anchor="day"
+    )
+
+
 def q_featured_all_days(spark, sf_dir):
     return featured_all_days(
-        clicks_with_state(spark, sf_dir),
+        clicks_with_state(spark, sf_dir, far=True),
         products(spark, sf_dir),
         categories=categories(spark, sf_dir),
         departments=departments(spark, sf_dir),
@@ -230,9 +272,9 @@ def q_view_grid(spark, sf_dir):
     return view_grid(keys, GRID_START, GRID_STEPS, GRID_STEP_S)
 
 
-def q_fill_views(spark, sf_dir):
-    """One pass over the clicks: pane counts are stored once; the series
-    keys and the span's windows are both derived from them."""
+def _grid_input(spark, sf_dir):
+    """Series keys and the views of the grid's span, from pane counts that are
+    stored once."""
     import datetime as _dt
 
     scratch_root(spark)
@@ -244,23 +286,91 @@ def q_fill_views(spark, sf_dir):
         (F.col("pane") >= F.lit(first).cast("timestamp"))
         & (F.col("pane") < F.lit(hi.isoformat(sep=" ")).cast("timestamp"))
     )
-    span_views = views_from_panes(span)
+    return keys, views_from_panes(span)
+
+
+def q_fill_views(spark, sf_dir):
+    keys, span_views = _grid_input(spark, sf_dir)
     return gap_filled_views(span_views, GRID_START, GRID_STEPS, GRID_STEP_S, keys=keys)
 
 
+def q_fill_views_positive(spark, sf_dir):
+    """The grid job as it runs: rows with a count, written by hour in one job
+    and read back."""
+    out = scratch_path(spark, "grid")
+    keys, span_views = _grid_input(spark, sf_dir)
+    backfill_grid(span_views, out, GRID_START, GRID_STEPS, GRID_STEP_S, keys=keys)
+    return read_views(spark, out)
+
+
+def q_grid_series(spark, sf_dir):
+    """Series of all products and states, as the grid job's own key table."""
+    return series_of(products(spark, sf_dir), distinct_states(zip_states(spark, sf_dir)))
+
+
 def q_record_roundtrip(spark, sf_dir):
     out, chk = scratch_path(spark, "record-out"), scratch_path(spark, "record-chk")
-    lines = event_lines(events_stream(spark, sf_dir, spread=_cores(spark)))
-    query = record_clicks(lines, out, chk, trigger="availableNow")
+    query = record_clicks(lines_stream(spark, sf_dir), out, chk, trigger="availableNow")
     query.awaitTermination()
+    delete_path(spark, chk)
     return spark.read.schema(CLICK_RECORD).parquet(out).select(*CLICK_RECORD.fieldNames())
 
 
+def q_csv_stream_roundtrip(spark, sf_dir):
+    """The test mode's stream (short windows, generated zip codes) as
+    ``|``-separated CSV by hour, read back."""
+    out, chk = scratch_path(spark, "csv-out"), scratch_path(spark, "csv-chk")
+    query = start_views_per_state(
+        lines_stream(spark, sf_dir),
+        dev_zip_states(spark),
+        out,
+        chk,
+        window=DEV_WINDOW,
+        fmt="csv",
+        trigger="availableNow",
+    )
+    query.awaitTermination()
+    delete_path(spark, chk)
+    return spark.read.schema(PRODUCT_VIEWS).option("sep", "|").csv(out)
+
+
+def q_fan_out_roundtrip(spark, sf_dir):
+    """One stream, two sinks: the clicks and their number per product."""
+    clicks_out, counts_out = scratch_path(spark, "fan-clicks"), scratch_path(spark, "fan-counts")
+    chk = scratch_path(spark, "fan-chk")
+    clicks = with_state(click_times(lines_stream(spark, sf_dir)), zip_states(spark, sf_dir))
+    per_product = lambda batch: batch.groupBy("product_id").count()
+    sinks = [epoch_sink(clicks_out), epoch_sink(counts_out, build=per_product)]
+    start_fan_out(clicks, sinks, chk, trigger="availableNow").awaitTermination()
+    delete_path(spark, chk)
+    raw = read_epochs(spark, clicks_out, clicks.schema)
+    counts = read_epochs(spark, counts_out, "product_id bigint, count bigint")
+    left = raw.groupBy("product_id", "state").agg(F.count("*").alias("clicks"))
+    right = counts.groupBy(F.col("product_id").alias("_p")).agg(F.sum("count").alias("product_clicks"))
+    return left.join(right, F.col("product_id").eqNullSafe(F.col("_p"))).drop("_p")
+
+
+def q_states_from_csv(spark, sf_dir):
+    """Distinct states of a zip-code CSV file with header."""
+    out = scratch_path(spark, "zips-csv")
+    rows = zip_states(spark, sf_dir)
+    rows.select(
+        F.coalesce("zip_code", F.lit(0)).alias("id"), "zip_code", F.lit("a, b").alias("city"), F.lit('"c"').alias("county"), "state"
+    ).write.option("header", True).csv(out)
+    return distinct_states(read_zip_states(spark, out, "csv"))
+
+
 def q_report_roundtrip(spark, sf_dir):
+    """Every day's report as written: the rows of each day's file with their
+    place in it. One day is written again by itself."""
     out = scratch_path(spark, "report")
-    for date in (REPORT_DATE, SECOND_DATE):
-        write_report(featured_query(spark, sf_dir, date, "top"), out, "top")
-    return read_report(spark, out)
+    clicks, prods = clicks_with_state(spark, sf_dir), products(spark, sf_dir)
+    cats, deps = categories(spark, sf_dir), departments(spark, sf_dir)
+    write_report(featured_all_days(clicks, prods, categories=cats, departments=deps), out)
+    write_report(featured_query(spark, sf_dir, REPORT_DATE, "top"), out, date=REPORT_DATE)
+    # A day is one file, read in one task in order.
+    order = Window.partitionBy("date").orderBy(F.monotonically_increasing_id())
+    return read_report(spark, out).withColumn("position", F.row_number().over(order))
 
 
 def q_json_dims(spark, sf_dir):
@@ -280,7 +390,7 @@ def q_json_dims(spark, sf_dir):
 
 
 def q_stable_buckets(spark, sf_dir):
-    return bucket_totals(views(spark, sf_dir), PRODUCT_BUCKETS)
+    return bucket_totals(product_views(clicks_with_state(spark, sf_dir, far=True)), PRODUCT_BUCKETS)
 
 
 def q_sql_views(spark, sf_dir):
@@ -300,14 +410,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_views": q_sql_views,
     "product_views_stream": q_product_views_stream,
     "product_views_stream_late": q_product_views_stream_late,
+    "views_stream_by_hour": q_views_stream_by_hour,
+    "csv_stream_roundtrip": q_csv_stream_roundtrip,
+    "fan_out_roundtrip": q_fan_out_roundtrip,
     "hour_slice": q_hour_slice,
     "product_totals_day": q_product_totals_day,
     "featured_top": q_featured_top,
     "featured_low": q_featured_low,
     "featured_products_only": q_featured_products_only,
     "featured_all_days": q_featured_all_days,
+    "featured_day_anchor": q_featured_day_anchor,
+    "featured_from_store": q_featured_from_store,
     "view_grid": q_view_grid,
     "fill_views": q_fill_views,
+    "fill_views_positive": q_fill_views_positive,
+    "grid_series": q_grid_series,
+    "states_from_csv": q_states_from_csv,
     "stable_buckets": q_stable_buckets,
     "record_roundtrip": q_record_roundtrip,
     "report_roundtrip": q_report_roundtrip,

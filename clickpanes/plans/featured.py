@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, FEATURED_N, ViewWindow
-from clickpanes.operators.dims import bounded_broadcast
 from clickpanes.operators.featured import (
-    MAX_DAYS,
     daily_totals_from_panes,
     day_number,
     enrich,
@@ -104,8 +102,8 @@ def featured_from_clicks(
     )
 
 
-def run_featured(report: DataFrame, path: str, order: str = "top") -> None:
-    write_report(report, path, order)
+def run_featured(report: DataFrame, path: str, order: str = "top", date: str | None = None) -> None:
+    write_report(report, path, order, date)
 
 
 def featured_all_days(
@@ -121,15 +119,12 @@ def featured_all_days(
     """Reports of every day (a backfill). Clicks are counted once into
     pane counts, stored with a reliable checkpoint; each day's slice is
     summed from them (``daily_totals_from_panes``, no full view table) and
-    ranked per day. The ranked rows (at most ``n`` per day) are stored too,
-    their count is checked, and they are the broadcast side of the
-    enrichment joins, so the product table is scanned once and never
-    shuffled."""
+    ranked per day; the ranked rows (at most ``n`` per day) are the small side
+    of the enrichment joins."""
     if clicks.isStreaming:
         raise ValueError("featured_all_days needs batch clicks")
     scratch_root(clicks.sparkSession)
     panes = pane_counts(clicks, window).checkpoint(eager=True)
     totals = daily_totals_from_panes(panes, window, anchor)
-    top = top_products_per_day(totals, order, n).checkpoint(eager=True)
-    top = bounded_broadcast(top, n * MAX_DAYS)
+    top = top_products_per_day(totals, order, n)
     return enrich_daily(top, products, categories, departments, order)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from clickpanes.operators.grid import fill_views, series_keys, view_grid
+from clickpanes.operators.grid import fill_views, series_keys
 from clickpanes.sinks import write_views
 
 
@@ -19,8 +19,7 @@ def gap_filled_views(
     """Every series (default: those seen in ``views``) at every stamp of
     the span, with the observed count or 0."""
     keys = series_keys(views) if keys is None else keys
-    grid = view_grid(keys, start, steps, step_s)
-    return fill_views(views, grid, start, steps, step_s, positive_only)
+    return fill_views(views, keys, start, steps, step_s, positive_only)
 
 
 def backfill_grid(

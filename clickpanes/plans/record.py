@@ -16,11 +16,10 @@ def record_clicks(
     trigger: str | None = "1 minute",
     partition_by: str = "zip_code",
     fmt: str = "parquet",
-    layout: str = "range",
 ) -> StreamingQuery:
     """Parse every line (rows with a bad time are kept; the time stays
-    text) and append it under ``partition_by`` folders, about one file per
-    zip code and micro-batch (``layout``, see ``cluster_for_write``).
+    text) and append it under ``partition_by`` folders, a few files per
+    zip code and micro-batch (see ``cluster_for_write``).
     """
     return start_file_sink(
         click_records(lines),
@@ -30,6 +29,5 @@ def record_clicks(
         partition_by=partition_by,
         trigger=trigger,
         query_name=None,
-        layout=layout,
-        tie_breakers=["offset"] if "offset" in lines.columns else ["customer_id", "date_time"],
+        spread=["offset"] if "offset" in lines.columns else ["customer_id", "date_time"],
     )

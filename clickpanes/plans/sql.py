@@ -43,7 +43,7 @@ counted AS (
   FROM clicks
   GROUP BY product_id, state, window(date_time, '1 hour', '5 minutes'))
 SELECT product_id, state, count, w.start AS period_start,
-       CAST(date_format(w.start, 'yyyyMMddHH') AS INT) AS hour
+       CAST(date_format(w.start, 'yyyyMMddHH') AS BIGINT) AS hour
 FROM counted
 """
 

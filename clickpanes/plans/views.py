@@ -41,16 +41,13 @@ def start_views_per_state(
     partition_by: str | None = "hour",
     trigger: str | None = None,
     query_name: str = QUERY_NAME,
-    layout: str = "none",
 ) -> StreamingQuery:
     """Start the views query writing ``fmt`` files (``csv`` is written with
     ``|`` as separator, as the test mode does).
 
-    The rows come out of the stateful aggregation already hash-partitioned
-    by (window, product, state), so by default they are written where they
-    are: at most one file per task and hour per micro-batch, no extra pass.
-    (``layout='range'`` would sample the aggregation's output, which runs
-    the stateful operators a second time in every micro-batch.)"""
+    The rows come out of the stateful aggregation spread by (window,
+    product, state); one hash shuffle on the hour and a salt of the product
+    brings an hour into a few files per micro-batch (see ``cluster_for_write``)."""
     options = {"sep": "|"} if fmt == "csv" else None
     return start_file_sink(
         views_per_state_stream(lines, zip_states, window),
@@ -61,6 +58,5 @@ def start_views_per_state(
         trigger=trigger,
         query_name=query_name,
         options=options,
-        layout=layout,
-        tie_breakers=["product_id", "state", "period_start"],
+        spread=["product_id"],
     )

@@ -1,4 +1,7 @@
-"""Explicit schemas of every file the jobs read or write (no inference)."""
+"""Explicit schemas of every file the jobs read or write (no inference).
+
+Fixed values: column names, order and types of the files' formats.
+"""
 
 from pyspark.sql import types as T
 
@@ -75,7 +78,7 @@ PRODUCT_VIEWS = T.StructType(
         T.StructField("state", T.StringType(), True),
         T.StructField("count", T.LongType(), True),
         T.StructField("period_start", T.TimestampType(), True),
-        T.StructField("hour", T.IntegerType(), True),
+        T.StructField("hour", T.LongType(), True),
     ]
 )
 

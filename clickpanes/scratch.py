@@ -1,9 +1,9 @@
 """Shared scratch space for intermediate tables, stream checkpoints and
 round-trip outputs.
 
-The root is the cluster's ``spark.checkpoint.dir`` (a shared file system on
-a real cluster). Only when the session has none, as in local tests, a
-fresh temporary folder is set as the checkpoint directory.
+The root is the cluster's ``spark.checkpoint.dir`` (a shared file system). Only
+on a one-machine ``local`` master that has none set, as in tests, it is a
+fresh temporary folder; a cluster without one gets an error.
 """
 
 from __future__ import annotations
@@ -13,23 +13,41 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_FOLDER = "clickpanes"
+_made: dict[str, list[str]] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext on this client (Spark Connect)
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        if not conf:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
-        return conf.rstrip("/")
-    root = sc.getCheckpointDir()
-    if not root:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="clickpanes-"))
-        root = sc.getCheckpointDir()
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="clickpanes-")
+        sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/clickpanes/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the scratch root, until ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/{_FOLDER}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every path this session took from ``scratch_path`` (after the
+    results that read them are used); their number. Reliable checkpoints are
+    removed by Spark where ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)

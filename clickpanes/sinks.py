@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Partition columns and field separator of the report files.
+# Partition columns and CSV dialect of the report files.
 REPORT_PARTITIONS = ["year", "month", "day"]
-REPORT_SEPARATOR = "|"
+REPORT_CSV = {"sep": "|", "header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
 
 def write_views(views: DataFrame, path: str, mode: str = "append") -> None:
@@ -27,30 +27,35 @@ def write_views(views: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def write_report(report: DataFrame, path: str, order: str = "top") -> None:
-    """One ``|``-separated CSV file with header per day, in
-    ``year=/month=/day=`` folders. Re-running a day replaces only that day
-    (dynamic partition overwrite). The report has at most ``n`` rows per
-    day, so it is merged into one task and sorted there."""
+def write_report(report: DataFrame, path: str, order: str = "top", date: str | None = None) -> None:
+    """One CSV file with header per day, in ``year=/month=/day=`` folders,
+    its rows in the order of the report.
+
+    With ``date`` that day's folder is replaced, by a file with the header
+    alone if the report is empty. Without, every day in the report is
+    replaced (dynamic partition overwrite) and other days stay; a day is one task,
+    with at most ``n`` rows.
+    """
     views = F.col("no_views").desc() if order in ("top", "desc") else F.col("no_views").asc()
+    ranking = [views, F.col("product_id")]
+    if date is not None:
+        year, month, day = (int(p) for p in date.split("-"))
+        folder = f"{path}/year={year}/month={month}/day={day}"
+        out = report.drop(*REPORT_PARTITIONS).repartition(1).sortWithinPartitions(*ranking)
+        out.write.mode("overwrite").options(**REPORT_CSV).csv(folder)
+        return
     (
-        report.coalesce(1)
-        .sortWithinPartitions(views, F.col("product_id"))
+        report.repartition(*REPORT_PARTITIONS)
+        .sortWithinPartitions(*REPORT_PARTITIONS, *ranking)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*REPORT_PARTITIONS)
-        .option("sep", REPORT_SEPARATOR)
-        .option("header", "true")
+        .options(**REPORT_CSV)
         .csv(path)
     )
 
 
-def read_report(spark, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str) -> DataFrame:
     from clickpanes.schemas import REPORT
 
-    return (
-        spark.read.schema(REPORT)
-        .option("sep", REPORT_SEPARATOR)
-        .option("header", "true")
-        .csv(path)
-    )
+    return spark.read.schema(REPORT).options(**REPORT_CSV).csv(path)

@@ -15,6 +15,8 @@ from clickpanes.sources.files import (
 from clickpanes.sources.tables import (
     categories_from_part,
     departments_from_region,
+    edge_lines,
+    edge_lines_stream,
     event_lines,
     events_stream,
     products_from_part,
@@ -34,6 +36,8 @@ __all__ = [
     "text_lines_stream",
     "categories_from_part",
     "departments_from_region",
+    "edge_lines",
+    "edge_lines_stream",
     "event_lines",
     "events_stream",
     "products_from_part",

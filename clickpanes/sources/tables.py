@@ -2,14 +2,15 @@
 
 The tables are TPC-H-like plus an ``events`` table; these functions map them
 onto the clickstream data model so the jobs run on data whose size grows
-with the scale factor:
+with the scale factor. Every row of a table is used:
 
-* click line: ``user_id | k of props | 10000 + user_id | value | value | ts``
-  with the time written as ``n/a`` for ``error`` events (invalid time);
-* zip -> state: ``10000 + c_custkey`` -> nation name, customers of segment
-  ``MACHINERY`` left out (their clicks count as state ``Unknown``);
+* click line: ``user_id | k of props | 10000 + user_id | value | value | ts``;
+* zip -> state: ``10000 + c_custkey`` -> nation name;
 * products from ``part``, categories from the brand number, departments
   from ``region``.
+
+Cases the tables do not hold (bad and far times, missing fields, unknown and
+NULL dimensions) are added as a few edge rows.
 """
 
 from __future__ import annotations
@@ -20,12 +21,25 @@ from pyspark.sql import types as T
 
 # Fixed values of the derivation rules above.
 ZIP_BASE = 10000
-EXCLUDED_SEGMENT = "MACHINERY"
-INVALID_TIME_EVENT = "error"
-INVALID_TIME_TEXT = "n/a"
 LINE_TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
 DEPARTMENTS = 5
 
+# Edge rows added to the derived tables. Offsets are negative.
+EDGE_LINES = [
+    (-1, "1|5|none|1.5|2.5|2024/01/15 00:30:00"),  # no zip code
+    (-2, "2|7|99|1|1|2024/01/15 01:10:00"),  # unknown zip code
+    (-3, "3|?|10003|1|1|2024/01/15 10:00:00"),  # no product id
+    (-4, "4|9|10004|1|1|n/a"),  # no time
+    (-5, "5|9|10005|1|1|2024/13/01 10:00:00"),  # no such month
+    (-6, "6|9|10006"),  # too short
+    (-7, "7|9|10007|1|1|2200/01/01 05:00:00"),  # an hour key beyond an int
+    (-8, "8|9|9|1|1|2024/01/15 02:00:00"),  # zip code with a NULL state
+]
+# The last year a timestamp can be written in. Kept apart: clients that turn
+# results into nanosecond timestamps cannot hold it.
+FAR_LINES = [(-9, "9|9|10008|1|1|9999/12/31 00:00:00")]
+EDGE_ZIP_STATES = [(9, None), (10007, "Second State"), (None, "Nowhere")]
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType(), True),
@@ -38,6 +52,10 @@ EVENTS = T.StructType(
 )
 
 
+LINE_SCHEMA = T.StructType(
+    [T.StructField("offset", T.LongType(), True), T.StructField("value", T.StringType(), True)]
+)
+
 # Schemas of the shared tables this package reads (no inference job).
 TABLE_SCHEMAS = {
     "events": EVENTS,
@@ -92,9 +110,6 @@ def event_lines(events: DataFrame) -> DataFrame:
     """
     user = F.col("user_id").cast("string")
     value = F.col("value").cast("string")
-    when = F.when(F.col("event_type") == INVALID_TIME_EVENT, F.lit(INVALID_TIME_TEXT)).otherwise(
-        F.date_format(F.col("ts"), LINE_TIME_FORMAT)
-    )
     line = F.concat_ws(
         "|",
         user,
@@ -102,43 +117,54 @@ def event_lines(events: DataFrame) -> DataFrame:
         (F.lit(ZIP_BASE) + F.col("user_id")).cast("string"),
         value,
         value,
-        when,
+        F.date_format(F.col("ts"), LINE_TIME_FORMAT),
     )
     return events.select(F.col("event_id").alias("offset"), line.alias("value"))
 
 
+def _inline(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few fixed rows as an inline table, whose size Spark's planner knows."""
+    fields = [(f.name, f.dataType) for f in schema.fields]
+    row = lambda r: F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)])
+    return spark.range(1).select(F.inline(F.array(*[row(r) for r in rows])))
+
+
+def edge_lines(spark: SparkSession, far: bool = False) -> DataFrame:
+    """The edge rows as ``offset, value``; ``far``: with ``FAR_LINES``."""
+    return _inline(spark, EDGE_LINES + (FAR_LINES if far else []), LINE_SCHEMA)
+
+
+def edge_lines_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the edge rows, from files written under ``path``."""
+    edge_lines(spark).coalesce(1).write.parquet(path)
+    return spark.readStream.schema(LINE_SCHEMA).parquet(path)
+
+
 def events_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
     glob: str | None = "events.parquet",
-    spread: int | None = None,
 ) -> DataFrame:
     """Events as a file stream: every new Parquet file under ``path`` is
     new data. By default only the shared ``events.parquet`` file of a
     scale-factor folder is read; ``glob=None`` reads every file.
-
-    ``spread``: round-robin each micro-batch over that many tasks, for a
-    source whose batches arrive in fewer splits than there are cores (one
-    file with one row group); parsing and the partial aggregation then
-    run on all cores. (A Kafka source does this with ``minPartitions``.)
     """
     reader = spark.readStream.schema(EVENTS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    df = reader.parquet(path)
-    return df.repartition(spread) if spread else df
+    return reader.parquet(path)
 
 
 def zip_states_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """``zip_code int, state string`` (may repeat pairs; see ``distinct_zip_states``)."""
-    kept = customer.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT)
-    return kept.join(nation, kept.c_nationkey == nation.n_nationkey).select(
+    """``zip_code int, state string`` of every customer, and the edge rows."""
+    own = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         (F.lit(ZIP_BASE) + F.col("c_custkey")).cast("int").alias("zip_code"),
         F.col("n_name").alias("state"),
     )
+    return own.union(_inline(customer.sparkSession, EDGE_ZIP_STATES, own.schema))
 
 
 def _brand_number(col: str = "p_brand"):

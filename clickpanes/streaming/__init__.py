@@ -3,6 +3,8 @@
 from clickpanes.streaming.views import windowed_views
 from clickpanes.streaming.sinks import (
     apply_trigger,
+    epoch_sink,
+    read_epochs,
     start_console,
     start_fan_out,
     start_file_sink,
@@ -11,6 +13,8 @@ from clickpanes.streaming.sinks import (
 __all__ = [
     "windowed_views",
     "apply_trigger",
+    "epoch_sink",
+    "read_epochs",
     "start_console",
     "start_fan_out",
     "start_file_sink",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -20,29 +21,24 @@ def apply_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWr
     return writer.trigger(processingTime=trigger)
 
 
+# Files that one key value may get per micro-batch, and tasks that share it.
+FILES_PER_KEY = 4
+
+
 def cluster_for_write(
-    df: DataFrame,
-    key: str,
-    tie_breakers: Sequence[str],
-    layout: str = "range",
-    tasks: int | None = None,
+    df: DataFrame, key: str, spread: Sequence[str], files_per_key: int = FILES_PER_KEY
 ) -> DataFrame:
     """Group rows by the partition key before a partitioned write.
 
-    ``range``: range-partition on ``(key, *tie_breakers)``. Each task gets
-    a contiguous run of key values, so a key value lands in one file per
-    batch (two at a run boundary); the boundaries come from a sample of
-    the batch, so a key value holding a large share of the rows is cut
-    across several tasks by the tie-breakers instead of loading one.
-    ``none``: write rows where they are (no shuffle; one file per key value
-    per input task).
+    One hash shuffle on the key and a salt below ``files_per_key`` (a hash of
+    the ``spread`` columns): a key value gets at most that many files per
+    batch, and one that holds a large share of the rows is shared by as many
+    tasks. Nothing is sampled, so the rows are computed once.
     """
-    if layout == "none":
-        return df
-    if layout != "range":
-        raise ValueError(f"layout must be 'range' or 'none', got {layout!r}")
-    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, key, *tie_breakers)
+    if files_per_key < 1:
+        raise ValueError(f"files_per_key must be at least 1, got {files_per_key}")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.col(key), F.pmod(F.xxhash64(*spread), F.lit(files_per_key)))
 
 
 def start_file_sink(
@@ -54,14 +50,15 @@ def start_file_sink(
     trigger: str | None = None,
     query_name: str | None = None,
     options: dict[str, str] | None = None,
-    layout: str = "range",
-    tie_breakers: Sequence[str] = (),
+    spread: Sequence[str] = (),
+    files_per_key: int = FILES_PER_KEY,
 ) -> StreamingQuery:
     """Append a stream to files; exactly once through the sink's log and the
-    checkpoint. With ``partition_by``, rows are first clustered by the key
-    (see ``cluster_for_write``) so each batch writes few files per folder."""
-    if partition_by:
-        df = cluster_for_write(df, partition_by, tie_breakers, layout)
+    checkpoint. With ``partition_by`` and ``spread``, rows are first clustered
+    by the key (see ``cluster_for_write``), so each batch writes few files
+    per folder."""
+    if partition_by and spread:
+        df = cluster_for_write(df, partition_by, spread, files_per_key)
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
@@ -87,7 +84,10 @@ def start_fan_out(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """One source read per micro-batch, several outputs: the batch is
-    persisted once and handed to every sink function ``f(batch, epoch)``."""
+    persisted once and handed to every sink function ``f(batch, epoch)``.
+
+    A batch that failed half-way comes again with the same epoch, so a sink
+    must replace what it wrote for that epoch; ``epoch_sink`` does."""
 
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
@@ -101,3 +101,26 @@ def start_fan_out(
     if query_name:
         writer = writer.queryName(query_name)
     return apply_trigger(writer, trigger).start()
+
+
+# Fixed value: partition column of the folders ``epoch_sink`` writes.
+EPOCH = "epoch"
+
+
+def epoch_sink(
+    path: str, fmt: str = "parquet", build: Callable[[DataFrame], DataFrame] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A sink for ``start_fan_out``: every epoch has a folder of its own, which
+    a retry overwrites, so each batch is there exactly once. ``build`` derives
+    what is written from the batch. Read back with ``read_epochs``."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        out = build(batch) if build else batch
+        out.write.mode("overwrite").format(fmt).save(f"{path}/{EPOCH}={epoch}")
+
+    return write
+
+
+def read_epochs(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """What ``epoch_sink`` wrote under ``path``, all epochs together."""
+    return spark.read.schema(schema).format(fmt).load(f"{path}/{EPOCH}=*")

@@ -1,15 +1,12 @@
 """Product views per state as a stateful streaming aggregation.
 
-Clicks are counted into their pane (``gcd(size, slide)``, 5 minutes for
-1 h windows sliding 5 min) in a first stateful aggregation; a pane count is
-emitted once the watermark (latest event time seen minus ``delay``) passes
-the pane's end and is then added to every sliding window that covers the
-pane in a second one, which emits a window once the watermark passes its
-end. Each click therefore updates one state entry instead of one per
-window (12), and the window state is updated once per pane, not per
-click. Clicks arriving for panes or windows already closed are dropped.
-Results equal the single aggregation over ``window(date_time, size,
-slide)``, including late rows (checked against its DuckDB rule).
+One aggregation over the sliding window, as the job defines it: a click is
+counted in each of its windows that is still open (its end lies after the
+watermark, the latest event time seen minus ``delay``), however late it
+comes, and a window is emitted once the watermark passes its end. Counting
+clicks into panes first would use less state, but a pane closes before the
+windows that cover it, so late clicks would be lost for windows that are
+still open.
 """
 
 from __future__ import annotations
@@ -18,28 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, ViewWindow
-from clickpanes.functions.timekeys import pane_seconds
 from clickpanes.operators.views import shape_views
 
 
 def windowed_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> DataFrame:
     """``product_id, state, count, period_start, hour`` from a stream of
     ``product_id, state, date_time`` (event time must be a ``timestamp``)."""
-    timed = clicks.withWatermark("date_time", window.delay_text)
-    if window.size_s == window.slide_s:
-        counts = timed.groupBy(
-            F.window("date_time", window.size).alias("w"), "product_id", "state"
-        ).agg(F.count(F.lit(1)).alias("count"))
-        return shape_views(counts.withColumn("period_start", F.col("w.start")))
-    pane = f"{pane_seconds(window.size_s, window.slide_s)} seconds"
-    panes = timed.groupBy(F.window("date_time", pane).alias("p"), "product_id", "state").agg(
-        F.count(F.lit(1)).alias("n")
+    counts = (
+        clicks.withWatermark("date_time", window.delay_text)
+        .groupBy(F.window("date_time", window.size, window.slide).alias("w"), "product_id", "state")
+        .agg(F.count(F.lit(1)).alias("count"))
     )
-    # window_time = pane end - 1 microsecond: inside the pane, so it lies in
-    # exactly the windows that cover the pane.
-    counts = panes.groupBy(
-        F.window(F.window_time("p"), window.size, window.slide).alias("w"),
-        "product_id",
-        "state",
-    ).agg(F.sum("n").alias("count"))
     return shape_views(counts.withColumn("period_start", F.col("w.start")))

@@ -21,7 +21,7 @@ from conftest import SF_SMALL
 def _views(spark, rows):
     return spark.createDataFrame(
         [(p, "S", c, t, int(t.strftime("%Y%m%d%H"))) for p, c, t in rows],
-        "product_id long, state string, count long, period_start timestamp, hour int",
+        "product_id long, state string, count long, period_start timestamp, hour long",
     )
 
 
@@ -185,3 +185,52 @@ def test_daily_totals_from_panes_equal_from_views(spark):
             b = daily_totals(views_from_panes(panes, window), anchor)
             assert a.count() > 0
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (window, anchor)
+
+
+def _report_files(out):
+    import glob
+
+    return {f.split("/")[-2]: f for f in glob.glob(out.replace("file:", "") + "/year=*/month=*/day=*/*.csv")}
+
+
+def test_files_of_all_days_keep_the_report_order(spark, scratch):
+    import csv
+
+    from clickpanes.plans.featured import featured_all_days
+
+    out = scratch("report-order")
+    for order, sign in (("top", -1), ("low", 1)):
+        write_report(featured_all_days(catalog.clicks_with_state(spark, SF_SMALL), catalog.products(spark, SF_SMALL), order), out, order)
+        files = _report_files(out)
+        assert len(files) >= 20
+        for name in files.values():
+            with open(name, newline="") as fh:
+                rows = [(sign * int(r["no_views"]), int(r["product_id"])) for r in csv.DictReader(fh, delimiter="|")]
+            assert rows == sorted(rows), name
+
+
+def test_empty_rerun_replaces_the_day(spark, scratch):
+    out, d = scratch("report-empty"), dt.datetime(2024, 1, 2, 0, 55)
+    report = lambda rows: featured_products(_views(spark, rows), "2024-01-02", _products(spark, [1]))
+    write_report(report([(1, 2, d)]), out, date="2024-01-02")
+    write_report(report([(1, 2, d)]), out, date="2024-01-03")
+    assert read_report(spark, out).count() == 2
+    write_report(report([]), out, date="2024-01-02")
+    assert [r.day for r in read_report(spark, out).collect()] == [3]
+
+
+def test_report_text_with_line_ends_and_quotes(spark, scratch):
+    out, d = scratch("report-text"), dt.datetime(2024, 1, 2, 0, 55)
+    texts = {1: "two\nlines", 2: 'a "quoted" | bar', 3: "back\\slash\r\nend", 4: '"'}
+    products = _products(spark, list(texts)).drop("product_description")
+    names = spark.createDataFrame(list(texts.items()), "product_id int, product_description string")
+    report = featured_products(_views(spark, [(i, i, d) for i in texts]), "2024-01-02", products.join(names, "product_id"))
+    write_report(report, out, date="2024-01-02")
+    assert {r.product_id: r.product_description for r in read_report(spark, out).collect()} == texts
+
+
+@pytest.mark.parametrize("n", [0, -3])
+def test_number_of_rows_is_checked(spark, n):
+    d = dt.datetime(2024, 1, 2, 0, 55)
+    with pytest.raises(ValueError):
+        featured_products(_views(spark, [(1, 2, d)]), "2024-01-02", _products(spark, [1]), n=n)

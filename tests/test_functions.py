@@ -53,10 +53,12 @@ def test_hour_key(spark):
 def test_cluster_layout_and_triggers(spark):
     from clickpanes.streaming.sinks import apply_trigger, cluster_for_write
 
-    df = spark.range(10).withColumnRenamed("id", "k")
-    assert cluster_for_write(df, "k", [], layout="none") is df
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
+    dealt = cluster_for_write(df, "k", ["v"], files_per_key=2).withColumn("task", F.spark_partition_id())
+    tasks = dealt.groupBy("k").agg(F.countDistinct("task").alias("n"))
+    assert all(1 <= r.n <= 2 for r in tasks.collect())
     with pytest.raises(ValueError):
-        cluster_for_write(df, "k", [], layout="hash")
+        cluster_for_write(df, "k", ["v"], files_per_key=0)
     stream = spark.readStream.format("rate").load()
     w = stream.writeStream.format("noop")
     for trig in (None, "availableNow", "once", "10 seconds"):

@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from clickpanes.functions import stamps_after
-from clickpanes.operators.grid import fill_views, view_grid
+from clickpanes.operators.grid import fill_views, series_of, view_grid
+from clickpanes.plans.grid import gap_filled_views
 
 
 def test_stamps_after_counts_and_offsets(spark):
@@ -15,21 +16,41 @@ def test_stamps_after_counts_and_offsets(spark):
                      dt.datetime(2024, 1, 1, 10, 15)]
 
 
+VIEWS = "product_id long, state string, count long, period_start timestamp, hour long"
+
+
 def test_fill_zero_and_positive_only(spark):
     keys = spark.createDataFrame([(1, "A"), (2, "B")], "product_id long, state string")
     grid = view_grid(keys, "2024-01-01 09:55:00", 2, 300)
     assert grid.count() == 6
     views = spark.createDataFrame(
         [(1, "A", 4, dt.datetime(2024, 1, 1, 10, 5), 2024010110),
-         (1, "A", 9, dt.datetime(2024, 1, 1, 11, 0), 2024010111)],
-        "product_id long, state string, count long, period_start timestamp, hour int",
+         (1, "A", 9, dt.datetime(2024, 1, 1, 11, 0), 2024010111),
+         (1, "A", 7, dt.datetime(2024, 1, 1, 10, 6), 2024010110)],
+        VIEWS,
     )
-    full = fill_views(views, grid, "2024-01-01 09:55:00", 2, 300).collect()
-    assert len(full) == 6 and sum(r["count"] for r in full) == 4
-    pos = fill_views(views, grid, positive_only=True).collect()
+    full = fill_views(views, keys, "2024-01-01 09:55:00", 2, 300)
+    assert full.drop("count").exceptAll(grid).count() == 0 and full.count() == 6
+    assert sum(r["count"] for r in full.collect()) == 4
+    pos = fill_views(views, keys, "2024-01-01 09:55:00", 2, 300, positive_only=True).collect()
     assert [(r.product_id, r["count"]) for r in pos] == [(1, 4)]
 
 
+def test_null_series_keep_their_counts(spark):
+    rows = [(None, "S", 4), (3, None, 5), (None, None, 6), (3, "S", 7)]
+    views = spark.createDataFrame([(*r, dt.datetime(2024, 1, 1, 10, 0), 2024010110) for r in rows], VIEWS)
+    got = gap_filled_views(views, "2024-01-01 09:55:00", 1, 300, positive_only=True).collect()
+    assert sorted((r[0] or 0, r[1] or "", r[2]) for r in got) == [(0, "", 6), (0, "S", 4), (3, "", 5), (3, "S", 7)]
+    full = gap_filled_views(views, "2024-01-01 09:55:00", 1, 300)
+    assert full.count() == 8
+
+
+def test_series_of_products_and_states(spark):
+    products = spark.createDataFrame([(1,), (2,), (2,)], "product_id int")
+    states = spark.createDataFrame([("A",), ("B",), ("A",)], "state string")
+    assert sorted(tuple(r) for r in series_of(products, states).collect()) == [(1, "A"), (1, "B"), (2, "A"), (2, "B")]
+
+
 def test_grid_start_from_now(spark):
     from clickpanes.functions.timekeys import grid_start
 

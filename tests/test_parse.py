@@ -44,7 +44,7 @@ def test_missing_fields_are_null(spark):
 
 
 def test_extra_field_ignored_and_types(spark):
-    df = click_records(spark.createDataFrame([(7, "5590|1151|67117|1352.628|1e3|2021/03/20 18:19:48|extra")], "offset long, value string"))
+    df = click_records(spark.createDataFrame([(7, "4217|908|30412|77.25|1e3|2022/11/05 07:08:09|extra")], "offset long, value string"))
     assert [f.name for f in df.schema.fields] == [
         "offset", "customer_id", "product_id", "browser_x_pos", "browser_y_pos", "date_time", "zip_code",
     ]
@@ -52,13 +52,13 @@ def test_extra_field_ignored_and_types(spark):
         "bigint", "bigint", "bigint", "float", "float", "string", "int",
     ]
     r = df.collect()[0]
-    assert (r.offset, r.customer_id, r.product_id, r.zip_code) == (7, 5590, 1151, 67117)
-    assert r.browser_y_pos == 1000.0 and r.date_time == "2021/03/20 18:19:48"
+    assert (r.offset, r.customer_id, r.product_id, r.zip_code) == (7, 4217, 908, 30412)
+    assert r.browser_y_pos == 1000.0 and r.date_time == "2022/11/05 07:08:09"
 
 
-def test_readme_sample_parses_in_code_order(spark):
-    r = _one(spark, click_records, "11460|163.62515|61410|1129.1833|1113|2020/04/26 22:02:06")[0]
-    assert r.product_id == 163 and r.zip_code == 61410 and r.browser_y_pos == 1113.0
+def test_fractional_product_and_whole_position(spark):
+    r = _one(spark, click_records, "52|88.0625|44071|640.5|871|2022/11/05 07:08:09")[0]
+    assert r.product_id == 88 and r.zip_code == 44071 and r.browser_y_pos == 871.0
 
 
 def test_zip_overflow_and_bad_float(spark):

@@ -7,31 +7,23 @@ from clickpanes.operators.featured import featured_products
 from clickpanes.plans import catalog
 from clickpanes.plans.featured import featured_from_clicks
 from clickpanes.plans.grid import backfill_grid
-from clickpanes.plans.sql import register_views
+from clickpanes.plans.sql import register_views, views_sql
 from clickpanes.sinks import write_views
 from clickpanes.sources.files import read_views
 from conftest import SF_SMALL
 
 
-def test_sql_over_temp_views_equals_operators(spark):
-    register_views(spark, SF_SMALL)
-    sql = spark.sql(
-        """
-        WITH zs AS (SELECT DISTINCT zip_code, state FROM zip_states),
-        clicks AS (
-          SELECT p.product_id,
-                 CASE WHEN zs.state IS NULL THEN 'Unknown' ELSE zs.state END AS state,
-                 p.date_time
-          FROM click_times p LEFT JOIN zs ON zs.zip_code = p.zip_code)
-        SELECT product_id, state, count(*) AS count, w.start AS period_start
-        FROM (SELECT product_id, state, window(date_time, '1 hour', '5 minutes') AS w FROM clicks)
-        GROUP BY product_id, state, w
-        """
-    )
-    ops = catalog.views(spark, SF_SMALL).drop("hour")
+def test_views_sql_equals_operators(spark):
+    sql, ops = views_sql(spark, SF_SMALL), catalog.views(spark, SF_SMALL)
     assert sql.exceptAll(ops).count() == 0 and ops.exceptAll(sql).count() == 0
 
 
+def test_registered_views_are_named_tables(spark):
+    frames = register_views(spark, SF_SMALL)
+    assert {"click_lines", "click_times", "zip_states", "products"} <= set(frames)
+    assert spark.table("click_lines").count() == frames["click_lines"].count()
+
+
 def test_featured_from_stored_views(spark, scratch):
     store = scratch("views-store")
     write_views(catalog.views(spark, SF_SMALL), store)

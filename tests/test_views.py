@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW, ViewWindow
@@ -43,8 +44,6 @@ def test_window_boundaries(spark):
 
 
 def test_slide_longer_than_window_is_rejected():
-    import pytest
-
     with pytest.raises(ValueError):
         ViewWindow("5 minutes", "10 minutes")
 
@@ -68,7 +67,7 @@ def test_views_schema(spark):
     df = catalog.views(spark, SF_SMALL)
     assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
         ("product_id", "bigint"), ("state", "string"), ("count", "bigint"),
-        ("period_start", "timestamp"), ("hour", "int"),
+        ("period_start", "timestamp"), ("hour", "bigint"),
     ]
 
 
@@ -84,3 +83,23 @@ def test_key_sample_keeps_whole_keys(spark):
     assert per_key.exceptAll(full).count() == 0
     # repeatable
     assert {r.product_id for r in sample_keys(v, "product_id", 4, 16).select("product_id").distinct().collect()} == kept
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_far_times_keep_their_hour(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = [(f"1|7|10001|1|1|{t}",) for t in ("2200/01/01 05:00:00", "9999/12/31 00:00:00", "2147/06/01 00:30:00")]
+        clicks = click_times(spark.createDataFrame(lines, "value string")).selectExpr("product_id", "'S' AS state", "date_time")
+        hours = {r.hour for r in product_views(clicks).select("hour").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert hours == {2200010104, 2200010105, 9999123023, 9999123100, 2147053123, 2147060100}
+
+
+def test_clicks_without_zip_are_unknown_and_spread(spark):
+    clicks = spark.range(5000).selectExpr("id AS product_id", "CAST(NULL AS int) AS zip_code", "timestamp_seconds(id) AS date_time")
+    dim = spark.createDataFrame([(10001, "A"), (None, "B")], "zip_code int, state string")
+    got = with_state(clicks, dim)
+    assert got.count() == 5000 and got.where("state <> 'Unknown'").count() == 0
