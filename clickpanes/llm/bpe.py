@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: The pre-token pattern of byte-level BPE (fixed value), and the same for texts
 #: whose characters Python's faster ``re`` classes alike. ``_OTHER`` finds the others:
 #: beyond Latin letters, and digits that are not decimal.
@@ -32,7 +34,7 @@ _GENERAL = regex.compile(PATTERN)
 _LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _OTHER = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
 _BITS = 21  # of an id
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -162,6 +164,14 @@ class Tokenizer:
 
             return run
 
+        def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = _built(key, spec)
+            for values in columns:
+                ids = [model.encode(v.as_py()) for v in values]
+                texts = pa.array([model.decode(i) for i in ids], pa.string())
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), texts], ["ids", "decoded"])
+
+        self._both = F.arrow_udf(both, "struct<ids:binary,decoded:string>")
         self._encode = F.arrow_udf(each("encode", pa.binary()), "binary")
         self._decode = F.arrow_udf(each("decode", pa.string()), "string")
 
@@ -173,6 +183,10 @@ class Tokenizer:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """``struct<ids, decoded>``: both in one pass and one Python worker."""
+        return self._both(text)
+
 
 def ids_array(ids: Column) -> Column:
     """Packed ids as ``array<long>``, in built-in functions."""
@@ -189,6 +203,13 @@ def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "tex
     return docs.withColumn(ids_col, tokenizer.encode(F.col(text_col).cast("string")))
 
 
+def round_trip_documents(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col: str = "ids", to: str = "decoded") -> DataFrame:
+    """``docs`` with packed ids in ``ids_col`` and the text decoded from them in ``to``."""
+    (both,) = fresh(docs, "round_trip")
+    out = docs.withColumn(both, tokenizer.round_trip(F.col(text_col).cast("string")))
+    return out.withColumns({ids_col: F.col(f"{both}.ids"), to: F.col(f"{both}.decoded")}).drop(both)
+
+
 def decode_documents(docs: DataFrame, tokenizer: Tokenizer, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the texts of packed ids in ``text_col``."""
     return docs.withColumn(text_col, tokenizer.decode(F.col(ids_col)))

@@ -60,8 +60,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    docs = bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
-    docs = bpe.decode_documents(docs.drop("text"), tokenizer)
+    docs = bpe.round_trip_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
     return docs.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),

@@ -44,7 +44,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    coded = bpe.decode_documents(bpe.encode_documents(docs, tokenizer), tokenizer, text_col="text")
+    coded = bpe.round_trip_documents(docs, tokenizer, to="text")
     return coded.withColumn("n_tokens", F.expr("octet_length(ids) div 4"))
 
 

@@ -307,6 +307,8 @@ def test_bpe(spark, odd, none):
         assert r.decoded == (r.text or "")
         assert r["list"] == np.frombuffer(r.ids, "<u4").tolist()
     assert set(CLASHES) < set(coded.columns)
+    once = bpe.round_trip_documents(odd, tokenizer).select("text", "ids", "decoded").collect()
+    assert sorted(map(str, once)) == sorted(str(r) for r in coded.select("text", "ids", "decoded").collect())
     assert bpe.encode_documents(none, tokenizer).count() == 0
 
 
