@@ -1,4 +1,4 @@
-"""Write PLANS.md: the condensed physical plan of every registered query.
+"""Write PLANS.md: the condensed physical plan of every registered clickstream query.
 
 Usage: python explain_plans.py [sf_dir]   (default /root/testdata/sf0.01)
 
@@ -17,7 +17,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as E
+from clickpanes.plans.catalog import QUERIES
+from clickpanes.scratch import clear_scratch
 
 KEEP = re.compile(
     r"(Exchange|BroadcastExchange|BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|HashAggregate|"
@@ -59,12 +60,13 @@ def main() -> None:
         "partitions, AQE on; generated by `explain_plans.py` (plans as submitted, before",
         "adaptive re-planning; expression ids removed, long expressions cut).\n",
     ]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         qe = df._jdf.queryExecution()
         text = qe.executedPlan().toString()
         parts.append(f"## {name}\n\n```\n{condense(text)}\n```\n")
+        clear_scratch(spark)
     with open("PLANS.md", "w") as fh:
         fh.write("\n".join(parts))
 
