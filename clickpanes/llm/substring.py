@@ -251,7 +251,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     classes = checkpointed(classes.select("class_key", "first.*", "weight", F.monotonically_increasing_id().alias("cid")))
     keyed = classes.select("cid", F.explode("anchors").alias("anchor"))
-    recurring = keyed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that the join below has plain shuffles on both sides, of which
+    # adaptive execution can split the partition of a hot anchor.
+    recurring = checkpointed(keyed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     # A document's own recurring anchors: bounded by its text.
     marks = keyed.join(recurring, "anchor").groupBy("cid").agg(F.collect_set("anchor").alias("marks"))
     marks = classes.drop("anchors").join(marks, "cid").withColumn("cluster", F.array_min("marks"))
@@ -263,7 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = marks.select("rid", "text_hash", "shard", "weight", "anchors")
     packed = rows.where(F.octet_length("text") >= 2 * window - 1).select("rid", "text_hash", "text")
     packed = packed.mapInArrow(_packed(2 * window - 1), "rid long, text_hash long, packed binary")
-    joined = checkpointed(packed.join(marks, ["rid", "text_hash"]).repartition("shard"))
+    joined = checkpointed(packed.join(marks, ["rid", "text_hash"]))
     counts = joined.groupBy("shard").applyInArrow(_count_shard(window, gram), "anchor long, hash long, shard long, n long")
     recurs = counts.groupBy("anchor", "hash").agg(F.sum("n").alias("total")).where("total > 1")
     elsewhere = counts.where("n = 1").join(recurs, ["anchor", "hash"]).select("shard", "anchor", "hash")
