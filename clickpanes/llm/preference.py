@@ -5,8 +5,8 @@ prefix is rendered once, as the prompt; what follows in each is its completion,
 rendered with the mask of what the loss is taken on (assistant turns).
 
 The result is long: one row per rendered turn. The first difference of a pair
-is a minimum over its turns, and all joins are by (pair, turn) or salted, so a
-conversation with any number of turns never meets in one task.
+is a minimum over its turns' digests, and all joins are by (pair, turn) or salted, so
+a conversation with any number of turns never meets in one task.
 """
 
 from __future__ import annotations
@@ -59,19 +59,17 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, train_role: str
     dense. A pair that only one side has is all completion after an empty
     prompt; equal conversations are all prompt.
     """
-    left = chosen.select("pair", "turn", F.struct("role", "text").alias("c"))
-    right = rejected.select("pair", "turn", F.struct("role", "text").alias("r"))
-    both = left.join(right, ["pair", "turn"], "full_outer")
+    # What differs is found on digests; texts move once, to meet their pair's cut.
+    said = lambda rows, name: rows.select("pair", "turn", F.sha2(F.concat(F.length("role"), F.lit(":"), "role", "text"), 256).alias(name))
+    both = said(chosen, "c").join(said(rejected, "r"), ["pair", "turn"], "full_outer")
     differs = F.when(~F.col("c").eqNullSafe(F.col("r")), F.col("turn"))
     cut = both.groupBy("pair").agg(F.min(differs).alias("cut"))
-    both = _with_pair(both, cut)
     shared = F.col("cut").isNull() | (F.col("turn") < F.col("cut"))
-    part = lambda name, said: F.struct(F.lit(name).alias("part"), said.alias("said"))
-    parts = F.when(shared, F.array(part("prompt", F.col("c")))).otherwise(
-        F.array(part("chosen", F.col("c")), part("rejected", F.col("r")))
-    )
-    rows = both.select("pair", "turn", F.explode(parts).alias("p")).where("p.said IS NOT NULL")
-    rows = rows.select("pair", "p.part", "turn", "p.said.role", "p.said.text")
+    part = lambda name: F.when(shared, F.lit("prompt")).otherwise(F.lit(name)).alias("part")
+    columns = ["pair", "turn", "role", "text"]
+    # The shared turns are the same on both sides: the chosen side gives them.
+    rows = _with_pair(chosen, cut).select(*columns, part("chosen"))
+    rows = rows.union(_with_pair(rejected, cut).where(~shared).select(*columns, part("rejected")))
     head = F.length(F.concat(F.lit(TURN_START), F.col("role"), F.lit("\n")))
     trained = (F.col("part") != "prompt") & (F.col("role") == train_role)
     segment = render_turn(F.col("role"), F.col("text"))
@@ -101,12 +99,10 @@ def stale_reply_rejections(conv: DataFrame, train_role: str = "assistant") -> Da
     to its last reply, with the text of the reply before in that place (a
     stale answer); with one reply only, the conversation ends before it.
     Conversations without a reply stay as they are."""
-    replies = conv.where(F.col("role") == train_role)
+    replies = conv.where(F.col("role") == train_role).select("pair", "turn")
     last = replies.groupBy("pair").agg(F.max("turn").alias("last"))
     earlier = _with_pair(replies, last).where("turn < last")
-    stale = earlier.groupBy("pair").agg(F.max(F.struct("turn", "text")).alias("stale"))
-    plan = last.join(stale, "pair", "left").select("pair", "last", F.col("stale.text").alias("stale"))
-    rows = _with_pair(conv, plan, "left")
-    at_last = F.col("turn") == F.col("last")
-    rows = rows.where(F.col("last").isNull() | (F.col("turn") < F.col("last")) | (at_last & F.col("stale").isNotNull()))
-    return rows.select("pair", "turn", "role", F.when(at_last, F.col("stale")).otherwise(F.col("text")).alias("text"))
+    stale = earlier.groupBy("pair", "last").agg(F.max("turn").alias("turn"))
+    rows = _with_pair(conv, last, "left").where("last IS NULL OR turn < last").select("pair", "turn", "role", "text")
+    moved = conv.join(stale, ["pair", "turn"]).select("pair", F.col("last").alias("turn"), "role", "text")
+    return rows.union(moved)
