@@ -260,6 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = checkpointed(marks.select("rid", "text_hash", "n_bytes", "weight", "cluster", F.col("marks").alias("anchors")))
     shards = int((marks.agg(F.sum("n_bytes")).first()[0] or 0) // shard_bytes) + 1
     clusters = marks.groupBy("cluster").agg(F.ceil(F.sum("n_bytes") / shard_bytes).cast("long").alias("parts"))
+    clusters = checkpointed(clusters)  # for the same reason: a cluster may be hot
     part = F.pmod(F.xxhash64("rid", "text_hash"), F.col("parts"))
     marks = marks.join(clusters, "cluster").withColumn("shard", F.pmod(F.xxhash64("cluster", part), F.lit(shards)))
     marks = marks.select("rid", "text_hash", "shard", "weight", "anchors")
