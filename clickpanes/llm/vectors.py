@@ -7,9 +7,14 @@ are verified by cosine in double precision; ``need`` is calibrated so
 that a pair at the threshold passes with probability ``RECALL``.
 
 So that windows need not run over a whole label, vectors are first dealt into
-cells: in each of ``trees`` trees, ``depth`` projections are cut at the
-label's mean and vectors within ``SPILL`` of a cut go to both sides. The depth follows the
-largest label's size, so cells keep theirs. A pair that shares several cells is counted in the
+cells: in each tree of a label, ``depth`` projections are cut at zero and vectors within
+``SPILL`` of a cut go to both sides. The middle of a pair of unit vectors at the threshold
+has a known length, at a right angle to their difference, so a cut leaves such a pair
+together with one probability (``level_recall``) wherever it lies and however
+its label is spread; cuts at a label's mean would not. A label's depth follows its own size and
+spread, and its trees follow the depth, until a pair at the threshold shares a cell with
+probability ``TREE_RECALL``. A label for which that takes more work than all of its pairs has
+one cell. A pair that shares several cells is counted in the
 first only, which both ends' projections tell, so each pair is verified once and
 nothing need be made distinct. A cell of more than ``BLOCK`` vectors is cut into
 blocks, and each pair of blocks is a task of its own: none is capped.
@@ -23,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +42,14 @@ LINES = 24
 WIDTH = 2.0
 RECALL = 0.998
 TREES = 5
+TREE_RECALL = 0.99
 SPILL = 0.12
+DEEPEST = 60
 CELL = 512
 BLOCK = 2048
 SEED = 7
-_STRIP = 256
+SALTS = 16
+_STRIP, _DEAL = 256, 1024
 
 
 def needed_collisions(lines: int = LINES, width: float = WIDTH, recall: float = RECALL) -> int:
@@ -56,15 +65,47 @@ def needed_collisions(lines: int = LINES, width: float = WIDTH, recall: float =
     return 0
 
 
+def level_recall(cosine: float) -> float:
+    """The probability that a cut leaves a pair at the threshold a side in common.
+    Its ends lie ``x`` before and after its middle, which is normal with the
+    middle's length as deviation; it is parted where the middle is nearer to the cut than
+    ``|x| - SPILL``. Pairs above the threshold have a higher one."""
+    middle, half = math.sqrt(max(1e-9, (1 + cosine) / 2)), math.sqrt(max(0.0, (1 - cosine) / 2))
+    z = (np.arange(4000) + 0.5) / 500
+    weight = np.exp(-z * z / 2) / np.exp(-z * z / 2).sum()
+    parted = [math.erf(max(0.0, x - SPILL) / middle / math.sqrt(2)) for x in (z * half).tolist()]
+    return 1 - float(weight @ np.array(parted))
+
+
+def needed_trees(depth: int, level: float, least: int = TREES) -> int:
+    """Trees of ``depth`` levels, until a pair shares a cell with probability ``TREE_RECALL``."""
+    lost = 1 - level**depth
+    return max(least, math.ceil(math.log(1 - TREE_RECALL) / math.log(lost))) if lost > 0 else least
+
+
+def shape(n: int, together: float, level: float, trees: int = TREES, cell: int = CELL) -> tuple[int, int]:
+    """Trees and depth for a label of ``n`` vectors whose mean cosine is ``together``: those
+    with the fewest pairs to count, a vector's way to a cell costing as many as ``cell``.
+    (1, 0), all pairs, where no trees have fewer. The mean cosine decides on the work only."""
+    spill = math.erf(SPILL / math.sqrt(2))
+    side = min(1.0, 1 - math.acos(max(-1.0, min(1.0, together))) / math.pi + spill / 2)  # two vectors share one
+    best, least = (1, 0), float(n)
+    for depth in range(1, DEEPEST + 1) if n > cell else ():
+        count = needed_trees(depth, level, trees)
+        work = count * (n * side**depth + (1 + spill) ** depth * cell)
+        if work < least:
+            best, least = (count, depth), work
+    return best
+
+
 @dataclass
 class Plan:
-    """Projections of all trees and of the counted lines; cuts by label."""
+    """Projections of a label's trees and of the counted lines."""
 
     trees: int
     depth: int
     split: np.ndarray  # [dimension, tree * depth]
     lines: np.ndarray  # [dimension, line]
-    cuts: dict[int, np.ndarray]  # label -> [tree * depth]
     cosine: float
     need: int
 
@@ -72,13 +113,21 @@ class Plan:
     def reach(self) -> float:
         return WIDTH * math.sqrt(2 - 2 * self.cosine)
 
-    def sides(self, x: np.ndarray, label: int) -> np.ndarray:
+    def sides(self, x: np.ndarray) -> np.ndarray:
         """1, 2 or 3 (both) for every vector and cut: [vector, tree, level]."""
-        at = x @ self.split - self.cuts[label]
-        sides = np.where(at < SPILL, 1, 0) | np.where(at >= -SPILL, 2, 0)
+        at = x @ self.split
+        sides = (at < SPILL).astype(np.uint8) | (at >= -SPILL).astype(np.uint8) << 1
         return sides.reshape(len(x), self.trees, self.depth)
 
 
+@lru_cache(maxsize=64)
+def plan(size: int, trees: int, depth: int, cosine: float) -> Plan:
+    """The plan of labels with these trees, for vectors of ``size`` components: the same in every task."""
+    rng = np.random.default_rng([SEED, size])
+    lines = rng.standard_normal((size, LINES))
+    return Plan(trees, depth, rng.standard_normal((size, trees * depth)), lines, cosine, needed_collisions())
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     rows = rows.astype(np.float64)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
@@ -88,29 +137,29 @@ def _matrix(values: pa.Array, n: int) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
 
 
-def _deal(shared):
-    """Task: rows (label, id, n, vector) to a row for every cell a vector is in."""
+def _deal(size: int, cosine: float):
+    """Task: rows (label, id, n, trees, depth, vector) to a row for every cell a vector is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan: Plan = shared.value
         for batch in batches:
-            label, id_, n = (batch.column(k).to_numpy() for k in range(3))
-            for value in np.unique(label):
-                mine = np.flatnonzero(label == value)
-                vectors = batch.column(3).take(pa.array(mine))
-                sides = plan.sides(unit(_matrix(vectors, len(mine))), int(value))
-                for tree in range(plan.trees):
-                    row, cell = np.arange(len(mine)), np.zeros(len(mine), np.int64)
-                    for level in range(plan.depth):
-                        side = sides[row, tree, level]
-                        left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-                        cell = np.concatenate([cell[left] * 2, cell[right] * 2 + 1])
-                        row = np.concatenate([row[left], row[right]])
-                    full = np.full(len(row), tree, np.int64)
-                    columns = [label[mine][row], full, cell, id_[mine][row], n[mine][row]]
-                    yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, columns), vectors.take(pa.array(row))], ["label", "tree", "cell", "id", "n", "vector"]
-                    )
+            label, id_, n, trees, depth = (batch.column(k).to_numpy() for k in range(5))
+            for kind in np.unique(np.stack([trees, depth], 1), axis=0):
+                all_, own = np.flatnonzero((trees == kind[0]) & (depth == kind[1])), plan(size, *kind.tolist(), cosine)
+                for mine in np.split(all_, range(_DEAL, len(all_), _DEAL)):
+                    vectors = batch.column(5).take(pa.array(mine))
+                    sides = own.sides(unit(_matrix(vectors, len(mine))))
+                    for tree in range(own.trees):
+                        row, cell = np.arange(len(mine)), np.zeros(len(mine), np.int64)
+                        for level in range(own.depth):
+                            side = sides[row, tree, level]
+                            left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+                            cell = np.concatenate([cell[left] * 2, cell[right] * 2 + 1])
+                            row = np.concatenate([row[left], row[right]])
+                        full = lambda x: np.full(len(row), x, np.int64)  # noqa: B023, E731
+                        columns = [label[mine][row], full(tree), cell, id_[mine][row], n[mine][row], full(own.trees), full(own.depth)]
+                        yield pa.RecordBatch.from_arrays(
+                            [*map(pa.array, columns), vectors.take(pa.array(row))], ["label", "tree", "cell", "id", "n", "trees", "depth", "vector"]
+                        )
 
     return run
 
@@ -134,15 +183,16 @@ def _collisions(p: np.ndarray, q: np.ndarray, reach: float) -> np.ndarray:
 
 def _shared_first(plan: Plan, a: np.ndarray, b: np.ndarray, tree: int, cell: int) -> np.ndarray:
     """For pairs of side rows [pair, tree, level]: whether (tree, cell) is the first cell both are in."""
-    both = a & b  # 0 where a level parts them
-    together = (both != 0).all(2)
-    first_tree = together.argmax(1)
-    bits = np.where(both[:, tree] & 1, 0, 1)  # the left side where they share both
+    free = np.ones(len(a), bool)
+    for before in range(tree):
+        free &= ((a[:, before] & b[:, before]) == 0).any(1)  # a level parts them
+    both = a[:, tree] & b[:, tree]
+    bits = np.where(both & 1, 0, 1)  # the left side where they share both
     weights = 1 << np.arange(plan.depth - 1, -1, -1)
-    return (first_tree == tree) & ((bits * weights).sum(1) == cell)
+    return free & (both != 0).all(1) & ((bits * weights).sum(1) == cell)
 
 
-def cell_links(plan: Plan, label: int, tree: int, cell: int, left: tuple, right: tuple | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def cell_links(plan: Plan, tree: int, cell: int, left: tuple, right: tuple | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (index in left, index in right) of verified links; ``right`` None: within left.
     Sides are tuples of unit vectors and their side rows."""
     x, x_sides = left
@@ -171,21 +221,21 @@ def _merged(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label[root]
 
 
-def _count(shared):
+def _count(size: int, cosine: float):
     """Task, per pair of blocks of a cell: rows (id, n_links, root) of the vectors with links in it."""
 
     def run(table: pa.Table) -> pa.Table:
-        plan: Plan = shared.value
-        label, tree, cell, one, two = (table[c][0].as_py() for c in ("label", "tree", "cell", "one", "two"))
+        trees, depth, tree, cell, one, two = (table[c][0].as_py() for c in ("trees", "depth", "tree", "cell", "one", "two"))
+        own = plan(size, trees, depth, cosine)
         ids, n = table["id"].to_numpy(), table["n"].to_numpy()
         x = unit(_matrix(table["vector"].combine_chunks(), len(ids)))
-        sides = plan.sides(x, label)
+        sides = own.sides(x)
         block = table["block"].to_numpy()
         left = np.flatnonzero(block == one)
         right = left if one == two else np.flatnonzero(block == two)
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         pair = lambda rows: (x[rows], sides[rows])
-        for i, j in cell_links(plan, label, tree, cell, pair(left), None if one == two else pair(right)):
+        for i, j in cell_links(own, tree, cell, pair(left), None if one == two else pair(right)):
             i, j = left[i], right[j]
             np.add.at(links, i, n[j])
             np.add.at(links, j, n[i])
@@ -238,18 +288,11 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 def _of_size(classes: DataFrame, size: int, most: int, cosine: float, trees: int, cell: int, block: int) -> DataFrame:
     """Links among the classes whose vectors have ``size`` components."""
-    spark = classes.sparkSession
     mine = classes.where(F.col("key.size") == size).select(F.col("key.label").alias("label"), "id", "n", "vector")
-    depth = max(0, math.ceil(math.log2(max(1, most) / cell)))
-    trees = trees if depth else 1
-    rng = np.random.default_rng(SEED + size)
-    split = rng.standard_normal((size, trees * depth))
-    cuts = {r["label"]: np.zeros(trees * depth) for r in mine.select("label").distinct().collect()}
-    if depth:
-        cuts = _centres(mine, split, cuts)
-    plan = Plan(trees, depth, split, rng.standard_normal((size, LINES)), cuts, cosine, needed_collisions())
-    shared = spark.sparkContext.broadcast(plan)
-    dealt = mine.mapInArrow(_deal(shared), "label long, tree long, cell long, id long, n long, vector array<double>")
+    one = {"trees": F.lit(1).cast("long"), "depth": F.lit(0).cast("long")}
+    mine = _shaped(mine, cosine, trees, cell) if most > cell else mine.withColumns(one)
+    mine = mine.select("label", "id", "n", "trees", "depth", "vector")
+    dealt = mine.mapInArrow(_deal(size, cosine), "label long, tree long, cell long, id long, n long, trees long, depth long, vector array<double>")
     place = ["label", "tree", "cell"]
     sizes = dealt.groupBy(*place).agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / block).cast("long")
@@ -257,15 +300,27 @@ def _of_size(classes: DataFrame, size: int, most: int, cosine: float, trees: int
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other", "blocks")
-    return dealt.groupBy(*place, "one", "two").applyInArrow(_count(shared), "id long, n_links long, root long")
+    return dealt.groupBy(*place, "one", "two").applyInArrow(_count(size, cosine), "id long, n_links long, root long")
 
 
-def _centres(mine: DataFrame, split: np.ndarray, cuts: dict) -> dict:
-    """Cuts by label: where the mean of its unit vectors is projected. One row per
-    label and component comes to the driver."""
+def _shaped(mine: DataFrame, cosine: float, trees: int, cell: int) -> DataFrame:
+    """``mine`` with the ``trees`` and ``depth`` of its label. Nothing comes to the
+    driver; the few rows of a label are copied ``SALTS`` times and its vectors
+    dealt over the copies, so a hot label's join is split."""
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)).alias("norm")
     rows = mine.select("label", norm, F.posexplode("vector").alias("at", "v"))
-    centre = {label: np.zeros(split.shape[0]) for label in cuts}
-    for r in rows.groupBy("label", "at").agg(F.avg(F.col("v") / F.col("norm")).alias("mean")).collect():
-        centre[r["label"]][r["at"]] = r["mean"]
-    return {label: c @ split for label, c in centre.items()}
+    means = rows.groupBy("label", "at").agg(F.avg(F.col("v") / F.col("norm")).alias("mean"), F.count("*").alias("n"))
+    labels = means.groupBy("label").agg(F.max("n").alias("n"), F.sum(F.col("mean") * F.col("mean")).alias("together"))
+    level = level_recall(cosine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shape(n, mean, level, trees, cell) for n, mean in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            columns = [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(2))]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "trees", "depth"])
+
+    shapes = labels.where(F.col("n") > cell).mapInArrow(run, "label long, trees long, depth long").where("depth > 0")
+    shapes = shapes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = mine.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    done = salted.join(shapes, ["label", "salt"], "left").drop("salt")
+    return done.withColumns({"trees": F.coalesce("trees", F.lit(1).cast("long")), "depth": F.coalesce("depth", F.lit(0).cast("long"))})

@@ -297,6 +297,41 @@ def test_vectors_recall(spark, cell, block):
         assert all(got[i].n_links == n and got[i].component_id == c for i, n, c in want)
 
 
+def test_vectors_shape():
+    """Deeper labels have more trees, and no label's computed recall is below ``TREE_RECALL``."""
+    level = vectors.level_recall(vectors.COSINE)
+    assert 0.952 < level < 0.953
+    for n in (300, 5_000, 524_288, 8_400_000, 134_000_000):
+        for together in (0.0, 0.5, 0.75, 0.99):
+            trees, depth = vectors.shape(n, together, level)
+            assert 1 - (1 - level**depth) ** trees >= vectors.TREE_RECALL
+            assert (depth > 0) == (trees > 1) and (n > 5_000 or depth == 0)
+    assert vectors.shape(134_000_000, 0.0, level)[1] >= 12
+
+
+@pytest.mark.parametrize("spread,lump", [(1.0, 0), (0.5, 0), (0.5, 300)])
+def test_vectors_recall_of_deep_trees(spark, spread, lump):
+    """Pairs just above the threshold in one label, about a common centre or in one lump of it."""
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(48)) * np.sqrt(1 - spread**2)
+    base = unit(centre + unit(rng.standard_normal((400, 48))) * spread)
+    if lump:  # most of the label within a small ball, which holds its mean
+        base[:lump] = unit(base[0] + unit(rng.standard_normal((len(base[:lump]), 48))) * 0.34)
+    off = rng.standard_normal((400, 48))
+    off = unit(off - (off * base).sum(1, keepdims=True) * base)
+    cosine = rng.uniform(0.9302, 0.94, (400, 1))
+    x = np.concatenate([base, base * cosine + off * np.sqrt(1 - cosine**2)])
+    want = (x @ x.T >= vectors.COSINE).sum(1) - 1
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    level, together = vectors.level_recall(vectors.COSINE), float((x.mean(0) ** 2).sum())
+    if not lump:
+        assert vectors.shape(len(x), together, level, cell=1)[1] >= 10
+    got = {r.id: r.n_links for r in vectors.near_vectors(table, cell=1).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want.tolist()))
+    assert want.sum() >= 800 and sum(got.values()) >= 0.97 * want.sum()
+
+
 def test_bpe(spark, odd, none):
     import public_tokenizers
 
