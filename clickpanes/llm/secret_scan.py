@@ -4,7 +4,8 @@ Source and configuration text is read as name-literal pairs: ``name = "literal"`
 ``name: literal``, ``"name": "literal"``, ``name := ...``, ``'name' => ...`` and
 ``<name>literal</name>``. Constants are propagated within a text: a right-hand side that
 names an earlier constant, joins literals and names with ``+`` or contains
-``${name}`` stands for the literals it refers to. A literal is scored by the names
+``${name}`` stands for the literals it refers to, beside its own text. In a typed declaration
+(``name: type = "literal"``) the name is that of what follows ``=``. A literal is scored by the names
 it reaches and by its own form (length, entropy, not a placeholder); from
 ``THRESHOLD`` on its span is reported as kind ``named``.
 
@@ -63,6 +64,8 @@ _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 _BLANK = re.compile(r"[ \t]*")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*")
 _REFERENCE = re.compile(r"\$\{([A-Za-z_]\w*)\}|\$([A-Za-z_]\w*)|\{([A-Za-z_]\w*)\}")
+_ATOM = r"[&*]*+(?:'\w++[ \t]++)?+[A-Za-z_][\w.]*+(?:\[[^\[\]\n=:]*+(?:\[[^\[\]\n=:]*+\][^\[\]\n=:]*+)*+\]|<[^<>\n=:]*+>)*+\??+"
+_TYPED = re.compile(rf"[ \t]*+(?:{_ATOM}|\[[^\[\]\n=:]*+\])(?:[ \t]*+\|[ \t]*+{_ATOM})*+(?:[ \t]++=(?![=>~])|=(?=[\"'`]))")
 _NAME = re.compile(r"[A-Za-z_][\w.\-]*")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -70,8 +73,10 @@ _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 def name_score(name: str) -> float:
     """How sensitive a target name is, 0 to 1."""
     parts = [p.lower() for p in _PART.findall(name)]
-    best = max((SENSITIVE.get(p, 0.0) for p in parts), default=0.0)
-    if any(b == "key" and a in KEY_BEFORE for a, b in zip(parts, parts[1:])):
+    # A part may be joined words, as in dbpwd: its end counts.
+    best = max((weight for p in parts for word, weight in SENSITIVE.items() if p.endswith(word)), default=0.0)
+    joined = [p[:-3] for p in parts if p.endswith("key")]
+    if any(b == "key" and a in KEY_BEFORE for a, b in zip(parts, parts[1:])) or any(p.endswith(tuple(KEY_BEFORE)) for p in joined):
         best = 1.0
     return max(best, SENSITIVE.get("".join(parts), 0.0))
 
@@ -101,8 +106,9 @@ def _target(text: str, at: int) -> str | None:
     return found.group() if found else None
 
 
-def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]]) -> tuple[list[tuple[int, int]], int]:
-    """Spans of the literals that the expression at ``at`` stands for, and its end."""
+def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]], own: dict[tuple[int, int], str]) -> tuple[list[tuple[int, int]], int]:
+    """Spans of the literals that the expression at ``at`` stands for, and its end. A literal
+    that refers to known names has its text without them in ``own``."""
     spans: list[tuple[int, int]] = []
     while True:
         at = _BLANK.match(text, at).end()
@@ -110,11 +116,15 @@ def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]]) -> tu
         if quoted:
             k = quoted.lastindex
             inner = quoted.group(k)
-            refs = [known[n] for m in _REFERENCE.finditer(inner) if (n := next(filter(None, m.groups()))) in known]
-            if refs:
-                spans += [s for ref in refs for s in ref]
-            elif inner:
+            refs = [m for m in _REFERENCE.finditer(inner) if next(filter(None, m.groups())) in known]
+            for m in refs:
+                spans += known[next(filter(None, m.groups()))]
+            ends = [0, *(m.end() for m in refs)]
+            rest = "".join(inner[a:b] for a, b in zip(ends, [*(m.start() for m in refs), len(inner)]))
+            if rest:
                 spans.append(quoted.span(k))
+                if refs:
+                    own[quoted.span(k)] = rest
             at = quoted.end()
         else:
             bare = _BARE.match(text, at)
@@ -143,6 +153,7 @@ def named_literals(text: str) -> list[tuple[int, int, str, float]]:
     if not any(h in low for h in _HINTS):
         return []
     known: dict[str, list[tuple[int, int]]] = {}
+    own: dict[tuple[int, int], str] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
     done = 0
     for operator in _OPERATOR.finditer(text):
@@ -158,14 +169,18 @@ def named_literals(text: str) -> list[tuple[int, int, str, float]]:
             name = _target(text, operator.start())
             if not name:
                 continue
-            spans, done = _literals(text, operator.end(), known)
+            typed = _TYPED.match(text, operator.end()) if operator.group() == ":" else None
+            spans, done = _literals(text, typed.end() if typed else operator.end(), known, own)
+            if typed:  # a word with a digit may be no type: it stays a literal
+                word, _ = _literals(text, operator.end(), known, own)
+                spans = [s for s in word if s[1] <= typed.end() and any(map(str.isdigit, text[s[0] : s[1]]))] + spans
         if not spans:
             continue
         if len(spans) <= 64:  # a longer chain of joins is not carried on; its own literals are scored all the same
             known[name] = spans
         weight = name_score(name)
         for span in spans if weight else ():
-            score = weight * literal_score(text[span[0] : span[1]])
+            score = weight * literal_score(own.get(span) or text[span[0] : span[1]])
             if score >= THRESHOLD and score > found.get(span, ("", 0.0))[1]:
                 found[span] = name, score
     return [(*span, name, score) for span, (name, score) in found.items()]

@@ -242,6 +242,22 @@ def test_secrets(odd, none):
         ('colour = "k93hAq27xPz1"', []),
         ("secret: the thing", []),
         ("monkey = 'banana and more'", []),
+        ('PREFIX="ghp_"\nTOKEN="${PREFIX}k93hAq27xPz1"', ["${PREFIX}k93hAq27xPz1"]),
+        ('part="k93hAq27xPz1"\nTOKEN="${part}Zt61mmQ0xY"', ["k93hAq27xPz1", "${part}Zt61mmQ0xY"]),
+        ('host="a"\nTOKEN="${host}/x"', []),
+        ('password: str = "hunter22x9"', ["hunter22x9"]),
+        ('def f(api_key: Optional[Dict[str, str]] = "x7Gk29fLq0Zt", user="k93hAq27xPz1")', ["x7Gk29fLq0Zt"]),
+        ("const apiKey:string='x7Gk29fLq0Zt';", ["x7Gk29fLq0Zt"]),
+        ('let api_key: &\'static str = "x7Gk29fLq0Zt";', ["x7Gk29fLq0Zt"]),
+        ('password: str | None = "hunter22x9"', ["hunter22x9"]),
+        ("password: str, user='k93hAq27xPz1'", []),
+        ("token: k93hAq27xPz1=\nb: c", ["k93hAq27xPz1="]),
+        ("token: k93hAq27xPz1 = old", ["k93hAq27xPz1"]),
+        ('secretkey = "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ('myprivatekey = "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ('accesskey: "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ("dbpwd='k93hAq27xPz1'", ["k93hAq27xPz1"]),
+        ("turkey = 'k93hAq27xPz1'", []),
     ],
 )
 def test_named_literals(text, found):
@@ -249,7 +265,7 @@ def test_named_literals(text, found):
 
 
 def test_secret_scan_is_linear():
-    for text in ("password" * 40_000, "a=" * 100_000 + "token", "token" + " " * 300_000, "x" * 400_000 + "=secret", '"' * 20_001 + "auth:", "k=a+" * 30_000 + "secret"):
+    for text in ("password" * 40_000, "a=" * 100_000 + "token", "token" + " " * 300_000, "x" * 400_000 + "=secret", '"' * 20_001 + "auth:", "k=a+" * 30_000 + "secret", "a:b[" * 50_000 + "secret", "a: b|" * 50_000 + "secret"):
         secret_scan.scan(text)
 
 
