@@ -9,9 +9,10 @@ an exact code. Statistics are frozen after training. A text's language is the on
 code for the text, plus the code of the language's own share, is shortest; the score is
 that language's share of the probability.
 
-Training counts come from a bounded, documented sample: whole texts, chosen per
-language by a hash of the id so that about ``train_bytes`` bytes in all are read
-(all of them where there are fewer). The model is thereby bounded whatever the
+Training counts come from a bounded, documented sample: of every language the texts
+of smallest hash of id and text, until its equal part of ``train_bytes`` is reached; the
+last one is cut there (all of them where there are fewer bytes). So no language
+is left out, and no part is exceeded. The model is thereby bounded whatever the
 table's size, and is broadcast. Counting runs on the executors. The costs of every
 n-gram seen in any language are resolved for all languages beforehand, so that
 scoring a byte is one vectorised table lookup.
@@ -24,13 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column
 
 ORDER = 4
 TRAIN_BYTES = 6_000_000
+STEPS = 1 << 62  # values of the hash; BINS of them an octave
+BINS = 8
 UNDETERMINED = "und"
 PAD = b"\n"  # stands before every text, so that each byte has a full context
 _PIECE = 1 << 18
@@ -46,14 +49,14 @@ def _grams(data: np.ndarray, order: int) -> np.ndarray:
 
 
 def _count_grams(order: int):
-    """Task: rows (language, text) to rows (language, order, gram, count), added
+    """Task: rows (language, UTF-8 text) to rows (language, order, gram, count), added
     up within a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(PAD * order + text.encode("utf-8", "replace"))
+                by_lang.setdefault(lang, []).append(PAD * order + text)
             for lang, texts in by_lang.items():
                 for k in range(order + 1):
                     found: dict[int, int] = {}
@@ -241,25 +244,55 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit(""))) % 4 == 2
 
 
+def training_sample(rows: DataFrame, train_bytes: int) -> tuple[DataFrame, dict[str, int]]:
+    """``lang, text`` (UTF-8 bytes) to learn from ``rows`` (``lang, text, id``), and
+    the number of rows by language.
+
+    Bins of the hash, eight an octave, come to the driver with their bytes; bins
+    that fit a language's part are taken whole. Of the one that does not, rows
+    equal in id and text count once, and the texts of smallest hash fill the part.
+    """
+    turn = F.pmod(F.xxhash64(F.lit("ppm"), F.col("id"), F.col("text")), F.lit(STEPS))
+    rows = rows.select("lang", "text", turn.alias("turn"))
+    rows = rows.withColumn("bin", F.floor(F.log2(F.col("turn") + 1) * BINS).cast("int"))
+    bins = rows.groupBy("lang", "bin").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).collect()
+    count: dict[str, int] = {}
+    for r in bins:
+        count[r["lang"]] = count.get(r["lang"], 0) + r["n"]
+    if not bins:
+        return rows.select("lang", F.col("text").cast("binary").alias("text")), count
+    part = train_bytes // len(count)
+    edge, room = dict.fromkeys(count, STEPS.bit_length() * BINS), dict.fromkeys(count, part)
+    for r in sorted(bins, key=lambda r: r["bin"]):
+        lang = r["lang"]
+        if edge[lang] > r["bin"]:
+            if r["bytes"] > room[lang]:
+                edge[lang] = r["bin"]
+            else:
+                room[lang] -= r["bytes"]
+    by_lang = lambda values: F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("lang")]
+    data = F.col("text").cast("binary").alias("text")
+    whole = rows.where(F.col("bin") < by_lang(edge)).select("lang", data)
+    last = rows.where(F.col("bin") == by_lang(edge)).groupBy("lang", "turn").agg(F.first("text").alias("text"))
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
+    left = (by_lang(room) - F.coalesce(before, F.lit(0))).cast("int")
+    last = last.withColumn("left", left).where("left > 0")
+    return whole.union(last.select("lang", F.substring(F.col("text").cast("binary"), F.lit(1), F.col("left")).alias("text"))), count
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_bytes: int = TRAIN_BYTES, order: int = ORDER) -> Model | None:
     """A model of ``docs`` outside the held-out part; None where no row has
     both a language and a text."""
-    spark = docs.sparkSession
     rows = docs.where(~held_out(column(docs, id_col))).select(
         column(docs, lang_col).cast("string").alias("lang"),
         column(docs, text_col).cast("string").alias("text"),
         column(docs, id_col).cast("string").alias("id"),
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).collect()
+    # The bins of each language came to the driver.
+    sample, sizes = training_sample(rows, train_bytes)
     if not sizes:
         return None
-    # One row per language came to the driver. Each language gives an equal part of the bytes.
-    part = train_bytes / len(sizes)
-    steps = 1 << 30
-    limit = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(steps, int(steps * part / r["bytes"]) + 1))])
-    turn = F.pmod(F.xxhash64(F.lit("ppm"), F.col("id")), F.lit(steps))
-    sample = rows.where(turn < limit[F.col("lang")]).select("lang", "text")
     found = sample.mapInArrow(_count_grams(order), "lang string, k int, gram long, n long")
     got = found.groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")).toArrow()  # bounded by train_bytes
     table: dict[str, list] = {}
@@ -273,7 +306,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             table[name].append((gram[mine][by], n[mine][by]))
     if not table:
         return None
-    count = {r["lang"]: r["n"] for r in sizes if r["lang"] in table}
+    count = {lang: sizes[lang] for lang in table}
     return build_model(table, {x: c / sum(count.values()) for x, c in count.items()}, order)
 
 

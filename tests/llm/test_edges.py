@@ -85,6 +85,20 @@ def test_language(odd, none):
     assert language.train(none) is None and language.identified(none).count() == 0
     assert language.predict(odd.drop("language"), None).where("language.lang_pred <> 'und'").count() == 0
 
+def test_language_sample_has_every_language(spark):
+    """Texts longer than a language's part, rows without an id, and many rows equal in id and text."""
+    rows = [(f"{i}", f"en{i} " * 30, "en") for i in range(300)] + [(f"L{i}", f"lang {i} " * 900, f"long{i}") for i in range(20)]
+    rows += [(None, f"none{i} " * 30, "no_id") for i in range(300)] + [(None, "same text " * 9, "same")] * 500
+    rows += [("s", "short", "short")]
+    table = spark.createDataFrame(rows, "id string, text string, lang string").repartition(4)
+    sample, count = language.training_sample(table, 24 * 3000)
+    assert count == Counter(r[2] for r in rows)
+    size = {r.lang: r.bytes for r in sample.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    assert size == {k: 5 if k == "short" else 90 if k == "same" else 3000 for k in count}
+    docs = table.withColumnRenamed("id", "doc_id").where(~language.held_out(F.col("id")))
+    model = language.train(docs, train_bytes=24 * 3000)
+    assert model.languages == sorted(r.lang for r in docs.select("lang").distinct().collect()) and len(model.languages) > 15
+
 
 def test_language_code_is_exact():
     """After any context the probabilities of all bytes add up to one."""
