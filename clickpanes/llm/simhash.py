@@ -203,23 +203,30 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and are linked like any other; an empty table gives an empty result; other
     columns are not read.
     """
+    rows, rooted = _rooted(docs, id_col, text_col, F.min("id"))
+    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    by_fp = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id")
+    return rows.join(by_fp, "fp").select("id", "text_hash", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, low: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows ``id, text_hash, fp``, and every fingerprint with the ``root`` of its
+    component and ``low`` over its rows."""
     rows = docs.select(
         column(docs, id_col).alias("id"),
         F.xxhash64(column(docs, text_col)).alias("text_hash"),
         fingerprint_udf(column(docs, text_col).cast("string")).alias("fp"),
     )
     rows = checkpointed(rows)
-    fps = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("low")))
+    fps = checkpointed(rows.groupBy("fp").agg(low.alias("low")))
     found = components(fingerprint_links(fps.select("fp"))).withColumnRenamed("v", "fp")
-    rooted = fps.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("id", "text_hash", "fp", "component_id")
+    return rows, fps.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of every component, all columns kept; rows
-    without an id stay only where their component has none."""
-    rows = near_groups(docs, id_col, text_col)
-    kept = rows.where(F.col("id").eqNullSafe(F.col("component_id")))
+    """``docs`` with one row of every component, all columns kept: that of the
+    smallest id (null ids last), of rows that repeat it the smallest by text hash."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
+    _, rooted = _rooted(docs, id_col, text_col, first)
+    kept = rooted.groupBy("root").agg(F.min("low").alias("low")).select("low.id", "low.text_hash")
     return keep_rows(docs, kept, id_col, text_col)

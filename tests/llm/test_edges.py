@@ -134,6 +134,17 @@ def test_simhash(odd, none):
     assert simhash.near_groups(none).count() == 0 == simhash.drop_near_copies(none).count()
 
 
+def test_simhash_keeps_one_row_of_a_component(spark):
+    """Near copies that share an id, and components without any."""
+    base = [" ".join(f"{c}{k}" for k in range(300)) for c in "abcd"]
+    rows = [(1, base[0]), (1, base[0] + " end"), (1, base[0] + " other end"), (2, base[0])]
+    rows += [(None, base[1]), (None, base[1] + " end"), (None, base[1]), (1, base[2]), (1, base[2]), (None, base[3]), (7, base[3])]
+    group = link_components([simhash_of(t) for _, t in rows])
+    at = {(i, t): g for (i, t), g in zip(rows, group)}
+    kept = [(r.doc_id, r.text) for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(group)) < len(set(rows)) and sorted(at[r] for r in kept) == sorted(set(group))
+    assert all(r[0] == min((i for (i, _), g in zip(rows, group) if g == at[r] and i is not None), default=None) for r in kept)
+
 
 
 def _fps_case(kind):
