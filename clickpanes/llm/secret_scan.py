@@ -19,6 +19,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -106,10 +107,32 @@ def _target(text: str, at: int) -> str | None:
     return found.group() if found else None
 
 
-def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]], own: dict[tuple[int, int], str]) -> tuple[list[tuple[int, int]], int]:
-    """Spans of the literals that the expression at ``at`` stands for, and its end. A literal
-    that refers to known names has its text without them in ``own``."""
-    spans: list[tuple[int, int]] = []
+@dataclass
+class Constant:
+    """What a name stands for: spans of literals, and the constants it refers to."""
+
+    parts: list[tuple[int, int] | Constant]
+    weight: float = 0.0  # the highest with which it was resolved
+
+    def resolve(self, weight: float) -> Iterator[tuple[int, int]]:
+        """The spans it reaches, without those of constants that were resolved with
+        this weight before: so the work is linear, however names are joined."""
+        left = [self]
+        while left:
+            node = left.pop()
+            if node.weight < weight:
+                node.weight = weight
+                for part in node.parts:
+                    if isinstance(part, Constant):
+                        left.append(part)
+                    else:
+                        yield part
+
+
+def _literals(text: str, at: int, known: dict[str, Constant], own: dict[tuple[int, int], str]) -> tuple[list[tuple[int, int] | Constant], int]:
+    """Literals' spans and constants that the expression at ``at`` stands for, and its end. A
+    literal that refers to known names has its text without them in ``own``."""
+    spans: list[tuple[int, int] | Constant] = []
     while True:
         at = _BLANK.match(text, at).end()
         quoted = _QUOTED.match(text, at)
@@ -118,7 +141,7 @@ def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]], own:
             inner = quoted.group(k)
             refs = [m for m in _REFERENCE.finditer(inner) if next(filter(None, m.groups())) in known]
             for m in refs:
-                spans += known[next(filter(None, m.groups()))]
+                spans.append(known[next(filter(None, m.groups()))])
             ends = [0, *(m.end() for m in refs)]
             rest = "".join(inner[a:b] for a, b in zip(ends, [*(m.start() for m in refs), len(inner)]))
             if rest:
@@ -135,7 +158,7 @@ def _literals(text: str, at: int, known: dict[str, list[tuple[int, int]]], own:
             if plus > 0:
                 word = word[:plus]
             if word.lstrip("$") in known:
-                spans += known[word.lstrip("$")]
+                spans.append(known[word.lstrip("$")])
             else:
                 end = at + len(word.rstrip("."))
                 if end > at:
@@ -152,7 +175,7 @@ def named_literals(text: str) -> list[tuple[int, int, str, float]]:
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
-    known: dict[str, list[tuple[int, int]]] = {}
+    known: dict[str, Constant] = {}
     own: dict[tuple[int, int], str] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
     done = 0
@@ -173,13 +196,12 @@ def named_literals(text: str) -> list[tuple[int, int, str, float]]:
             spans, done = _literals(text, typed.end() if typed else operator.end(), known, own)
             if typed:  # a word with a digit may be no type: it stays a literal
                 word, _ = _literals(text, operator.end(), known, own)
-                spans = [s for s in word if s[1] <= typed.end() and any(map(str.isdigit, text[s[0] : s[1]]))] + spans
+                spans = [s for s in word if isinstance(s, tuple) and s[1] <= typed.end() and any(map(str.isdigit, text[s[0] : s[1]]))] + spans
         if not spans:
             continue
-        if len(spans) <= 64:  # a longer chain of joins is not carried on; its own literals are scored all the same
-            known[name] = spans
+        known[name] = constant = Constant(spans)
         weight = name_score(name)
-        for span in spans if weight else ():
+        for span in constant.resolve(weight):
             score = weight * literal_score(own.get(span) or text[span[0] : span[1]])
             if score >= THRESHOLD and score > found.get(span, ("", 0.0))[1]:
                 found[span] = name, score

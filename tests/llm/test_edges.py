@@ -288,6 +288,13 @@ def test_secrets(odd, none):
 def test_named_literals(text, found):
     assert sorted(text[a:b] for a, b, _, _ in secret_scan.named_literals(text)) == sorted(found)
 
+def test_long_constants_are_carried_on():
+    parts = [f"k93hAq27xP{k:03d}z" for k in range(200)]
+    text = 'x = "st4leKq27xPz"\nx = ' + " + ".join(f'"{p}"' for p in parts) + "\ny = x\npassword = y + x\nauth = y"
+    assert sorted(text[a:b] for a, b, _, _ in secret_scan.named_literals(text)) == parts
+    text = "".join(f'x = x + "k93hAq27xP{k:05d}z"\ntoken = x\npassword = x\n' for k in range(20_000))
+    assert len(secret_scan.named_literals(text)) == 20_000
+
 
 def test_secret_scan_is_linear():
     for text in ("password" * 40_000, "a=" * 100_000 + "token", "token" + " " * 300_000, "x" * 400_000 + "=secret", '"' * 20_001 + "auth:", "k=a+" * 30_000 + "secret", "a:b[" * 50_000 + "secret", "a: b|" * 50_000 + "secret"):
