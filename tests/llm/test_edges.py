@@ -380,6 +380,16 @@ def test_vectors_recall_of_deep_trees(spark, spread, lump):
     assert want.sum() >= 800 and sum(got.values()) >= 0.97 * want.sum()
 
 
+def test_vectors_labels_stay_off_the_driver(spark, monkeypatch):
+    """Rows that come to the driver do not grow with the labels."""
+    kind, got = type(spark.range(0)), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: got.append(collect(self)) or got[-1])
+    rows = [(i, [float(i % 7 + 1), float(i % 5), 1.0], i % 100) for i in range(1000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    vectors.near_vectors(table, cell=1)
+    assert 0 < sum(map(len, got)) < 20
+
 def test_bpe(spark, odd, none):
     import public_tokenizers
 
