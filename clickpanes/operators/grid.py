@@ -41,12 +41,13 @@ def series_of(products: DataFrame, states: DataFrame, state_buckets: int = 64) -
 
     The states (a short list: distinct values of a dimension) are gathered
     into ``state_buckets`` arrays and each product row is expanded with them.
+    A NULL state is one like any other.
     """
     bucket = F.pmod(F.xxhash64("state"), F.lit(state_buckets)).cast("int")
-    lists = states.distinct().groupBy(bucket.alias("_b")).agg(F.collect_list("state").alias("_states"))
+    lists = states.distinct().groupBy(bucket.alias("_b")).agg(F.collect_list(F.struct("state")).alias("_states"))
     each = F.explode(F.sequence(F.lit(0), F.lit(state_buckets - 1))).alias("_b")
     ids = products.select(F.col("product_id").cast("bigint").alias("product_id")).distinct()
-    return ids.select("product_id", each).join(lists, "_b").select("product_id", F.explode("_states").alias("state"))
+    return ids.select("product_id", each).join(lists, "_b").select("product_id", F.explode("_states").alias("_state")).select("product_id", "_state.state")
 
 
 def fill_views(

@@ -304,8 +304,9 @@ def q_fill_views_positive(spark, sf_dir):
 
 
 def q_grid_series(spark, sf_dir):
-    """Series of all products and states, as the grid job's own key table."""
-    return series_of(products(spark, sf_dir), distinct_states(zip_states(spark, sf_dir)))
+    """Series of all products and known states, as the grid job's own key table."""
+    states = distinct_states(zip_states(spark, sf_dir)).where("state IS NOT NULL")
+    return series_of(products(spark, sf_dir), states)
 
 
 def q_record_roundtrip(spark, sf_dir):

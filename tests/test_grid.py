@@ -51,6 +51,12 @@ def test_series_of_products_and_states(spark):
     assert sorted(tuple(r) for r in series_of(products, states).collect()) == [(1, "A"), (1, "B"), (2, "A"), (2, "B")]
 
 
+def test_series_of_keeps_the_null_state(spark):
+    products = spark.createDataFrame([(1,), (2,)], "product_id int")
+    states = spark.createDataFrame([("A",), (None,), (None,)], "state string")
+    assert sorted(map(str, map(tuple, series_of(products, states).collect()))) == sorted(map(str, [(1, "A"), (1, None), (2, "A"), (2, None)]))
+
+
 def test_grid_start_from_now(spark):
     from clickpanes.functions.timekeys import grid_start
 
