@@ -88,8 +88,34 @@ SELECT conv_id, part, turn, role, head || text || '<|im_end|>' || chr(10) AS seg
 FROM g
 """
 
+OP12 = r"""
+WITH r AS (
+  SELECT row_number() OVER () AS row, vec_id AS id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.row AS anchor, a.id AS anchor_id, b.id, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM r a JOIN r b ON a.row <> b.row AND len(a.q) = len(b.q)
+  WHERE a.id % 100 = 0
+), p AS (
+  SELECT anchor, anchor_id, id, score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST) AS place
+  FROM s WHERE same QUALIFY place <= 5
+), n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.id NULLS LAST)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_exact_dedup": OP1,
     "op9_mix_sources": OP9,
     "op10_preference": OP10,
+    "op12_hard_negatives": OP12,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, preference, quality, secret_scan, simhash, substring, vectors
+from . import bpe, exact_dedup, language, mixing, negatives, preference, quality, secret_scan, simhash, substring, toxicity, vectors
 from .common import checkpointed
 
 
@@ -90,6 +90,21 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_segments(chosen, rejected).withColumnRenamed("pair", "conv_id")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity(docs, model).alias("t"))
+    predicted = (F.col("t.score") >= 0.5).cast("int").alias("predicted")
+    return rows.select("doc_id", "held_out", "t.score", predicted, F.col("t.passages").alias("passages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.vector_rows(table.select("vec_id", "embedding", moved.alias("label")))
+    return negatives.hard_negatives(rows, rows.where("id % 100 = 0"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -101,4 +116,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_mix_sources": op9_mix_sources,
     "op10_preference": op10_preference,
+    "op11_toxicity": op11_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
 }
