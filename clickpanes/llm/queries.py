@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, negatives, preference, quality, secret_scan, simhash, substring, toxicity, vectors
+from . import bpe, exact_dedup, language, mixing, negatives, preference, quality, repair, secret_scan, simhash, substring, toxicity, vectors
 from .common import checkpointed
 
 
@@ -105,6 +105,26 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, rows.where("id % 100 = 0"))
 
 
+def damaged(conv: DataFrame) -> DataFrame:
+    """``conversations`` with faults put in by a checksum of ``conv_id:turn`` (nulls are one space)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    rows = conv.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    said = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role"))
+    times = F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), said.alias("text"), times.alias("time")).drop("time")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    rows = repair.summaries(repair.repair(damaged(table)))
+    ids = table.select("conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in repair.COUNTS]
+    audit = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return ids.join(rows, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select("conv_id", *counts, *audit)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -118,4 +138,5 @@ QUERIES = {
     "op10_preference": op10_preference,
     "op11_toxicity": op11_toxicity,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
