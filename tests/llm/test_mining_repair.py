@@ -116,9 +116,9 @@ def test_toxicity_passages_and_odd_tables(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in train], "doc_id long, text string")
     marks = spark.createDataFrame([(i, y) for i, _, y in train], "doc_id long, toxic int")
     model = toxicity.train(docs, marks)
-    text = "one two four " * 30 + "Vile, SCUM! " + "five one " * 20
+    text = "one two four " * 30 + "Vile, SCUM! vile... scum! " + "five one " * 20
     score, found = model.judge(text)
-    assert score > 0.5 and len(found) == 1 and text[found[0][0] : found[0][1]] == "Vile, SCUM"
+    assert score > 0.5 and len(found) == 1 and text[found[0][0] : found[0][1]] == "Vile, SCUM! vile... scum"
     assert model.judge("one two four " * 50)[0] < 0.5
 
 
