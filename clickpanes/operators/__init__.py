@@ -15,6 +15,7 @@ from clickpanes.operators.views import (
 )
 from clickpanes.operators.featured import (
     closing_minute,
+    closing_starts,
     daily_totals,
     daily_totals_from_panes,
     enrich_daily,
@@ -23,8 +24,10 @@ from clickpanes.operators.featured import (
     day_number,
     day_totals,
     enrich,
+    featured_from_store,
     featured_products,
     hour_slice,
+    hour_slice_stored,
     product_totals,
     report_layout,
     top_products,
@@ -43,6 +46,9 @@ __all__ = [
     "shape_views",
     "views_by_window",
     "closing_minute",
+    "closing_starts",
+    "featured_from_store",
+    "hour_slice_stored",
     "daily_totals",
     "daily_totals_from_panes",
     "enrich_daily",

@@ -73,6 +73,36 @@ def hour_slice(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame
     return _at_closing_minute(day, F.minute("period_start"), views, date, anchor)
 
 
+def closing_starts(views: DataFrame, date: str, anchor: str = "hour00") -> list[int]:
+    """The window starts of the day's slice, as epoch microseconds of the minutes they lie in: every minute
+    of the day whose number is the closing minute (24 of them, or 23 to 25 where clocks
+    change); none where the closing minute is NULL.
+
+    This runs a one-row job: from a store it reads the first hour's folder (with ``anchor='day'``
+    the day's), one column."""
+    first, last = day_hours(date)
+    begin = F.lit(f"{date} 00:00:00").cast("timestamp")
+    minutes = F.sequence(begin, begin + F.expr("INTERVAL 25 HOURS"), F.expr("INTERVAL 1 MINUTE"))
+    at = F.filter(minutes, lambda t: (F.minute(t) == F.col("closing_minute")) & hour_key(t).between(first, last))
+    row = closing_minute(views, date, anchor).select(F.transform(at, F.unix_micros).alias("at")).first()
+    return row["at"] or []
+
+
+def hour_slice_stored(views: DataFrame, date: str, anchor: str = "hour00") -> DataFrame:
+    """``hour_slice`` of stored views, reading little more than the slice.
+
+    The slice is stated as 24 ranges of ``period_start`` (one minute each) beside the hours, so
+    the ranges are pushed into the Parquet scan, and in files that ``write_views``
+    has ordered by window the pages of the other windows (11 of 12) are skipped."""
+    first, last = day_hours(date)
+    day = views.filter(F.col("hour").between(first, last))
+    wanted = F.lit(False)
+    for us in closing_starts(views, date, anchor):
+        begin, end = F.timestamp_micros(F.lit(us)), F.timestamp_micros(F.lit(us + 60_000_000))
+        wanted = wanted | ((F.col("period_start") >= begin) & (F.col("period_start") < end))
+    return day.filter(wanted)
+
+
 def product_totals(views_slice: DataFrame) -> DataFrame:
     """``product_id, no_views``: views summed per product."""
     return views_slice.groupBy("product_id").agg(
@@ -198,6 +228,22 @@ def featured_products(
     )
 
 
+def featured_from_store(
+    views: DataFrame,
+    date: str,
+    products: DataFrame,
+    order: str = "top",
+    n: int = FEATURED_N,
+    categories: DataFrame | None = None,
+    departments: DataFrame | None = None,
+    anchor: str = "hour00",
+) -> DataFrame:
+    """``featured_products`` of stored views (see ``hour_slice_stored``)."""
+    top = top_products(product_totals(hour_slice_stored(views, date, anchor)), order, n)
+    enriched = enrich(top, products, categories, departments)
+    return report_layout(enriched, date, order, with_categories=categories is not None, with_departments=departments is not None)
+
+
 # --- every day at once ---------------------------------------------------
 
 

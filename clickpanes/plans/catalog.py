@@ -8,6 +8,7 @@ checkpoint directory and return a batch read of what they wrote.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,18 +17,18 @@ from pyspark.sql import functions as F
 from clickpanes.config import DEFAULT_WINDOW, DEV_WINDOW
 from clickpanes.functions.sampling import stable_bucket
 from clickpanes.operators.dims import distinct_states, distinct_zip_states, with_state
-from clickpanes.operators.featured import day_totals, hour_slice
+from clickpanes.operators.featured import featured_from_store, hour_slice_stored, product_totals
 from clickpanes.operators.grid import series_of, view_grid
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.sampling import bucket_totals
 from clickpanes.operators.views import pane_counts, product_views, views_by_window, views_from_panes
-from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks, featured_report
+from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
 from clickpanes.plans.grid import backfill_grid, gap_filled_views
 from clickpanes.plans.record import record_clicks
 from clickpanes.plans.views import start_views_per_state, views_per_state
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
 from clickpanes.scratch import delete_path, scratch_path, scratch_root
-from clickpanes.sinks import read_report, write_report, write_views
+from clickpanes.sinks import VIEW_ORDER, read_report, write_report, write_views
 from clickpanes.sources.files import (
     dev_zip_states,
     read_categories,
@@ -47,6 +48,7 @@ from clickpanes.sources.tables import (
     read_table,
     zip_states_from_customers,
 )
+from clickpanes.store import compact, read_store
 from clickpanes.streaming.sinks import epoch_sink, read_epochs, start_fan_out
 
 # Fixed query parameters: the report day and the grid span, 288 five-minute stamps over that day.
@@ -61,6 +63,8 @@ LATE_FROM = "2024-01-01"
 LATE_DAYS = 8
 LATE_DELIVERIES = 4
 LATE_DELAY = "119 MINUTES"
+# Hours up to which the late stream's store is compacted.
+COMPACTED_UNTIL = (2024010912, 2024012023)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,7 +169,7 @@ def q_views_stream_by_hour(spark, sf_dir):
     return _views_stream(spark, sf_dir, "hour")
 
 
-def q_product_views_stream_late(spark, sf_dir):
+def _late_stream(spark, sf_dir, partition_by) -> str:
     """Late data on the real table: events come in deliveries, one period of
     time after another, but half of the users deliver ``LATE_DELAY`` late, so
     their last events of a period come with the next one. After each
@@ -188,21 +192,34 @@ def q_product_views_stream_late(spark, sf_dir):
             dims,
             out,
             chk,
-            partition_by=None,
+            partition_by=partition_by,
             trigger="availableNow",
         )
         query.awaitTermination()
     delete_path(spark, src)
     delete_path(spark, chk)
+    return out
+
+
+def q_product_views_stream_late(spark, sf_dir):
+    return read_views(spark, _late_stream(spark, sf_dir, None))
+
+
+def q_views_compacted(spark, sf_dir):
+    """The late stream's store by hour, its batches folded twice: up to a closed
+    hour, and up to a later one; what comes after stays in the batches."""
+    out = _late_stream(spark, sf_dir, "hour")
+    for until in COMPACTED_UNTIL:
+        compact(spark, out, PRODUCT_VIEWS, "hour", VIEW_ORDER, until)
     return read_views(spark, out)
 
 
 def q_hour_slice(spark, sf_dir):
-    return hour_slice(day_store(spark, sf_dir), REPORT_DATE)
+    return hour_slice_stored(day_store(spark, sf_dir), REPORT_DATE)
 
 
 def q_product_totals_day(spark, sf_dir):
-    return day_totals(day_store(spark, sf_dir), REPORT_DATE)
+    return product_totals(hour_slice_stored(day_store(spark, sf_dir), REPORT_DATE))
 
 
 def featured_query(spark, sf_dir, date, order, full=True):
@@ -232,7 +249,7 @@ def q_featured_from_store(spark, sf_dir):
     """The whole views table stored by hour, then one day's report from it."""
     store = scratch_path(spark, "views-store")
     write_views(views(spark, sf_dir), store)
-    return featured_report(
+    return featured_from_store(
         read_views(spark, store),
         REPORT_DATE,
         products(spark, sf_dir),
@@ -258,11 +275,9 @@ def q_featured_all_days(spark, sf_dir):
 
 
 def _grid_span() -> tuple[str, str]:
-    import datetime as _dt
-
-    start = _dt.datetime.fromisoformat(GRID_START)
-    first = start + _dt.timedelta(seconds=GRID_STEP_S)
-    last = start + _dt.timedelta(seconds=GRID_STEP_S * (GRID_STEPS + 1))
+    start = dt.datetime.fromisoformat(GRID_START)
+    first = start + dt.timedelta(seconds=GRID_STEP_S)
+    last = start + dt.timedelta(seconds=GRID_STEP_S * (GRID_STEPS + 1))
     return first.isoformat(sep=" "), last.isoformat(sep=" ")
 
 
@@ -275,13 +290,11 @@ def q_view_grid(spark, sf_dir):
 def _grid_input(spark, sf_dir):
     """Series keys and the views of the grid's span, from pane counts that are
     stored once."""
-    import datetime as _dt
-
     scratch_root(spark)
     panes = pane_counts(clicks_with_state(spark, sf_dir)).checkpoint(eager=True)
     keys = panes.select("product_id", "state").distinct()
     first, last = _grid_span()
-    hi = _dt.datetime.fromisoformat(last) + _dt.timedelta(seconds=DEFAULT_WINDOW.size_s)
+    hi = dt.datetime.fromisoformat(last) + dt.timedelta(seconds=DEFAULT_WINDOW.size_s)
     span = panes.filter(
         (F.col("pane") >= F.lit(first).cast("timestamp"))
         & (F.col("pane") < F.lit(hi.isoformat(sep=" ")).cast("timestamp"))
@@ -303,6 +316,18 @@ def q_fill_views_positive(spark, sf_dir):
     return read_views(spark, out)
 
 
+def q_backfill_rerun(spark, sf_dir):
+    """The grid job run twice under one name, beside the rest of the day under
+    another: the second run replaces the first, so every row is there once."""
+    out = scratch_path(spark, "grid-rerun")
+    keys, span_views = _grid_input(spark, sf_dir)
+    half = GRID_STEPS // 2
+    later = (dt.datetime.fromisoformat(GRID_START) + dt.timedelta(seconds=GRID_STEP_S * (half + 1))).isoformat(sep=" ")
+    for run, start, steps in (("am", GRID_START, half), ("pm", later, GRID_STEPS - half - 1), ("am", GRID_START, half)):
+        backfill_grid(span_views, out, start, steps, GRID_STEP_S, keys=keys, run=run)
+    return read_views(spark, out)
+
+
 def q_grid_series(spark, sf_dir):
     """Series of all products and known states, as the grid job's own key table."""
     states = distinct_states(zip_states(spark, sf_dir)).where("state IS NOT NULL")
@@ -314,7 +339,7 @@ def q_record_roundtrip(spark, sf_dir):
     query = record_clicks(lines_stream(spark, sf_dir), out, chk, trigger="availableNow")
     query.awaitTermination()
     delete_path(spark, chk)
-    return spark.read.schema(CLICK_RECORD).parquet(out).select(*CLICK_RECORD.fieldNames())
+    return read_store(spark, out, CLICK_RECORD, "zip_code").select(*CLICK_RECORD.fieldNames())
 
 
 def q_csv_stream_roundtrip(spark, sf_dir):
@@ -338,14 +363,14 @@ def q_csv_stream_roundtrip(spark, sf_dir):
 def q_fan_out_roundtrip(spark, sf_dir):
     """One stream, two sinks: the clicks and their number per product."""
     clicks_out, counts_out = scratch_path(spark, "fan-clicks"), scratch_path(spark, "fan-counts")
-    chk = scratch_path(spark, "fan-chk")
+    chk, log = scratch_path(spark, "fan-chk"), scratch_path(spark, "fan-log")
     clicks = with_state(click_times(lines_stream(spark, sf_dir)), zip_states(spark, sf_dir))
     per_product = lambda batch: batch.groupBy("product_id").count()
     sinks = [epoch_sink(clicks_out), epoch_sink(counts_out, build=per_product)]
-    start_fan_out(clicks, sinks, chk, trigger="availableNow").awaitTermination()
+    start_fan_out(clicks, sinks, chk, trigger="availableNow", commit_to=log).awaitTermination()
     delete_path(spark, chk)
-    raw = read_epochs(spark, clicks_out, clicks.schema)
-    counts = read_epochs(spark, counts_out, "product_id bigint, count bigint")
+    raw = read_epochs(spark, clicks_out, clicks.schema, commit_to=log)
+    counts = read_epochs(spark, counts_out, "product_id bigint, count bigint", commit_to=log)
     left = raw.groupBy("product_id", "state").agg(F.count("*").alias("clicks"))
     right = counts.groupBy(F.col("product_id").alias("_p")).agg(F.sum("count").alias("product_clicks"))
     return left.join(right, F.col("product_id").eqNullSafe(F.col("_p"))).drop("_p")
@@ -412,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_views_stream": q_product_views_stream,
     "product_views_stream_late": q_product_views_stream_late,
     "views_stream_by_hour": q_views_stream_by_hour,
+    "views_compacted": q_views_compacted,
     "csv_stream_roundtrip": q_csv_stream_roundtrip,
     "fan_out_roundtrip": q_fan_out_roundtrip,
     "hour_slice": q_hour_slice,
@@ -425,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_grid": q_view_grid,
     "fill_views": q_fill_views,
     "fill_views_positive": q_fill_views_positive,
+    "backfill_rerun": q_backfill_rerun,
     "grid_series": q_grid_series,
     "states_from_csv": q_states_from_csv,
     "stable_buckets": q_stable_buckets,

@@ -30,6 +30,8 @@ def backfill_grid(
     step_s: int = 300,
     keys: DataFrame | None = None,
     positive_only: bool = True,
+    run: str | None = None,
 ) -> None:
-    """Write the filled grid to an hour-partitioned store in one job."""
-    write_views(gap_filled_views(views, start, steps, step_s, keys, positive_only), path)
+    """Write the filled grid to an hour-partitioned store in one job. With ``run``, a second
+    run of the same name replaces the first, and readers see the rows all at once."""
+    write_views(gap_filled_views(views, start, steps, step_s, keys, positive_only), path, run=run)

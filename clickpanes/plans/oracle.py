@@ -252,6 +252,7 @@ WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTER
     + """SELECT * FROM pv
 WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTERVAL 1 HOUR""",
     "product_views_stream_late": _with(_EVENT_ONLY, ZIP_STATES, _LATE) + _LATE_VIEWS,
+    "views_compacted": _with(_EVENT_ONLY, ZIP_STATES, _LATE) + _LATE_VIEWS,
     "csv_stream_roundtrip": _with(LINES, TIMES, DEV_ZIP_STATES, WITH_STATE, _views(5, 1))
     + """SELECT * FROM pv
 WHERE period_start + INTERVAL 5 MINUTE <= (SELECT max(date_time) FROM cws) - INTERVAL 5 MINUTE""",
@@ -275,6 +276,9 @@ FROM cws GROUP BY product_id, state""",
 FROM grid g LEFT JOIN pv ON g.product_id IS NOT DISTINCT FROM pv.product_id AND g.state = pv.state
                         AND g.period_start = pv.period_start""",
     "fill_views_positive": _with(*_BASE, _views(), _GRID)
+    + """SELECT pv.* FROM pv JOIN grid g ON g.product_id IS NOT DISTINCT FROM pv.product_id
+                        AND g.state = pv.state AND g.period_start = pv.period_start""",
+    "backfill_rerun": _with(*_BASE, _views(), _GRID)
     + """SELECT pv.* FROM pv JOIN grid g ON g.product_id IS NOT DISTINCT FROM pv.product_id
                         AND g.state = pv.state AND g.period_start = pv.period_start""",
     "grid_series": _with(ZIP_STATES, DIMS)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpanes.operators.parse import click_records
-from clickpanes.streaming.sinks import start_file_sink
+from clickpanes.streaming.sinks import start_file_sink, start_store_sink
 
 
 def record_clicks(
@@ -18,9 +18,12 @@ def record_clicks(
     fmt: str = "parquet",
 ) -> StreamingQuery:
     """Parse every line (rows with a bad time are kept; the time stays
-    text) and append it under ``partition_by`` folders, a few files per
-    zip code and micro-batch (see ``cluster_for_write``).
+    text) and append it under ``partition_by`` folders. Parquet goes to a store with a commit log, one file per
+    zip code and micro-batch (see ``start_store_sink``); other formats through Spark's file sink.
     """
+    if fmt == "parquet" and partition_by:
+        order = ["offset"] if "offset" in lines.columns else []
+        return start_store_sink(click_records(lines), path, checkpoint, partition_by, order, trigger)
     return start_file_sink(
         click_records(lines),
         path,

@@ -10,7 +10,8 @@ from clickpanes.config import DEFAULT_WINDOW, ViewWindow
 from clickpanes.operators.dims import with_state
 from clickpanes.operators.parse import click_times
 from clickpanes.operators.views import product_views
-from clickpanes.streaming.sinks import start_file_sink
+from clickpanes.sinks import VIEW_ORDER
+from clickpanes.streaming.sinks import start_file_sink, start_store_sink
 from clickpanes.streaming.views import windowed_views
 
 # Fixed value: name of the streaming views query.
@@ -46,11 +47,14 @@ def start_views_per_state(
     ``|`` as separator, as the test mode does).
 
     The rows come out of the stateful aggregation spread by (window,
-    product, state); one hash shuffle on the hour and a salt of the product
-    brings an hour into a few files per micro-batch (see ``cluster_for_write``)."""
+    product, state). Parquet by hour goes to a store with a commit log, one file per hour
+    and micro-batch, in the order of ``write_views`` (see ``start_store_sink``); other forms go through Spark's file sink."""
+    views = views_per_state_stream(lines, zip_states, window)
+    if fmt == "parquet" and partition_by:
+        return start_store_sink(views, path, checkpoint, partition_by, VIEW_ORDER, trigger, query_name)
     options = {"sep": "|"} if fmt == "csv" else None
     return start_file_sink(
-        views_per_state_stream(lines, zip_states, window),
+        views,
         path,
         checkpoint,
         fmt=fmt,

@@ -5,26 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpanes.store import PAGE_ROWS, by_value, publish, write_parquet
+
 # Partition columns and CSV dialect of the report files.
 REPORT_PARTITIONS = ["year", "month", "day"]
 REPORT_CSV = {"sep": "|", "header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
 
-def write_views(views: DataFrame, path: str, mode: str = "append") -> None:
-    """Append views to a Parquet store partitioned by ``hour``.
+# Fixed value: within an hour, views lie in the order of their window.
+VIEW_ORDER = ["period_start", "product_id"]
+
+
+def write_views(views: DataFrame, path: str, mode: str = "append", run: str | None = None, page_rows: int = PAGE_ROWS) -> None:
+    """Put views into a Parquet store partitioned by ``hour``.
+
+    Adaptive execution cuts the rows into evenly sized write tasks by hour (small hours are merged, an hour
+    with a large share of the rows is split). Within a file the rows are in the order of ``period_start``, in pages of
+    ``page_rows`` rows, so a reader of a few windows skips the pages of the others.
 
-    The rebalance hint lets adaptive execution cut the rows into evenly
-    sized write tasks by hour: small hours are merged, an hour holding a
-    large share of the rows is split, so files stay few and no task gets
-    a hot hour alone.
+    With ``run``, the write is that run of the store's commit log (see ``clickpanes.store``): readers see it once it is
+    complete, and writing the run again replaces it. Without, the rows are added as they are.
     """
-    (
-        views.hint("rebalance", "hour")
-        .write.mode(mode)
-        .partitionBy("hour")
-        .option("compression", "snappy")
-        .parquet(path)
-    )
+    rows = by_value(views, "hour", VIEW_ORDER)
+    if run is not None:
+        publish(rows, path, run, "hour", page_rows)
+        return
+    write_parquet(rows, path, "hour", mode, page_rows)
 
 
 def write_report(report: DataFrame, path: str, order: str = "top", date: str | None = None) -> None:

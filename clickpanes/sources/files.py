@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpanes import schemas
+from clickpanes.store import read_store
 
 
 def read_zip_states(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -40,8 +41,9 @@ def read_departments(spark: SparkSession, path: str) -> DataFrame:
 
 def read_views(spark: SparkSession, path: str) -> DataFrame:
     """Product views stored by ``hour``; predicates on ``hour`` prune
-    partition directories before any file is opened."""
-    return spark.read.schema(schemas.PRODUCT_VIEWS).parquet(path)
+    partition directories before any file is opened. Of a store with a commit log
+    only committed runs are read."""
+    return read_store(spark, path, schemas.PRODUCT_VIEWS)
 
 
 def text_lines_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

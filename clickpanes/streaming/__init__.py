@@ -8,6 +8,7 @@ from clickpanes.streaming.sinks import (
     start_console,
     start_fan_out,
     start_file_sink,
+    start_store_sink,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "start_console",
     "start_fan_out",
     "start_file_sink",
+    "start_store_sink",
 ]
