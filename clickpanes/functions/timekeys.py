@@ -42,16 +42,16 @@ def pane_start(ts: Column | str, pane_s: int) -> Column:
     return us - F.pmod(us, F.lit(pane_s * _US))
 
 
+def first_stamp(start: Column, step_s: int) -> Column:
+    """Epoch microseconds of the stamp one step after ``start`` (truncated to whole seconds)."""
+    return F.unix_micros(F.date_trunc("second", start)) + F.lit(step_s * _US)
+
+
 def stamps_after(start: Column, steps: int, step_s: int) -> Column:
-    """``steps + 1`` timestamps ``step_s`` apart, the first one step after
+    """``steps + 1`` timestamps ``step_s`` seconds of elapsed time apart, the first one step after
     ``start`` (truncated to whole seconds)."""
-    base = F.date_trunc("second", start)
-    step = F.make_dt_interval(secs=F.lit(step_s))
-    return F.sequence(
-        base + step,
-        base + F.make_dt_interval(secs=F.lit(step_s * (steps + 1))),
-        step,
-    )
+    first = first_stamp(start, step_s)
+    return F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: F.timestamp_micros(first + k.cast("bigint") * F.lit(step_s * _US)))
 
 
 def grid_start(now, steps: int, step_s: int, start_delta_s: int = -1):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpanes.config import UNKNOWN_STATE
+from clickpanes.operators.skew import copied, salted
 
 # Clicks without a zip code match nothing; they are spread over this many
 # keys above the range of zip codes, so no task gets them all.
@@ -23,7 +24,7 @@ def distinct_states(zip_states: DataFrame) -> DataFrame:
     return zip_states.select("state").distinct()
 
 
-def with_state(clicks: DataFrame, zip_states: DataFrame, dedupe: bool = True) -> DataFrame:
+def with_state(clicks: DataFrame, zip_states: DataFrame, dedupe: bool = True, hot: DataFrame | None = None) -> DataFrame:
     """Left join clicks to their state by zip code; unknown zip codes and
     NULL states become ``'Unknown'``.
 
@@ -31,7 +32,9 @@ def with_state(clicks: DataFrame, zip_states: DataFrame, dedupe: bool = True) ->
     ``product_id, state, date_time``. The join's strategy is Spark's: it
     broadcasts the dimension where its estimated (or, under adaptive
     execution, measured) size is below ``spark.sql.autoBroadcastJoinThreshold``,
-    and splits a hot zip code in a sort-merge join. A stream plans the
+    and adaptive execution splits a hot zip code in a sort-merge join. A stateful stream
+    is not planned adaptively: with ``hot`` (``skew.hot_keys`` of the recordings' zip codes) the clicks
+    of hot zip codes are dealt over salts and only their dimension rows copied. A stream plans the
     dimension again in every micro-batch and so sees its changes;
     ``dedupe=False`` spares the distinct for a table without repeated pairs.
     """
@@ -40,7 +43,11 @@ def with_state(clicks: DataFrame, zip_states: DataFrame, dedupe: bool = True) ->
     dim = dim.select(F.col("zip_code").cast("bigint").alias("_zip"), "state")
     spread = F.lit(NO_ZIP_KEY) + F.pmod(F.xxhash64("product_id", "date_time"), F.lit(NO_ZIP_KEYS))
     zip_key = F.coalesce(F.col("zip_code").cast("bigint"), spread)
-    joined = clicks.select("product_id", "date_time", zip_key.alias("_zip")).join(dim, "_zip", "left")
+    keyed, on = clicks.select("product_id", "date_time", zip_key.alias("_zip")), ["_zip"]
+    if hot is not None:
+        keyed, dim = salted(keyed, "_zip", hot, ["product_id", "date_time"]), copied(dim, "_zip", hot)
+        on = ["_zip", "_salt"]
+    joined = keyed.join(dim, on, "left")
     return joined.select(
         "product_id",
         F.coalesce(F.col("state"), F.lit(UNKNOWN_STATE)).alias("state"),

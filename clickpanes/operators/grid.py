@@ -1,16 +1,16 @@
 """Gap-free views: every series gets a row at every stamp of a time grid.
 
 A series is one ``(product_id, state)`` pair. The grid is generated per
-series with ``sequence`` + ``explode`` (a generator, no join); observed counts are
-joined in per series, missing ones become 0.
+series with ``sequence`` + ``explode`` (a generator, no join). Observed counts stand at their
+positions on the grid; each is expanded over the gap up to the next one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpanes.functions.timekeys import hour_key, stamps_after
+from clickpanes.functions.timekeys import first_stamp, hour_key, stamps_after
 
 SERIES = ["product_id", "state"]
 
@@ -20,8 +20,16 @@ def series_keys(views: DataFrame) -> DataFrame:
     return views.select(*SERIES).distinct()
 
 
+#: Stamps of a series that one task fills as a group.
+CHUNK = 4096
+
+
 def _ts(start: str | Column) -> Column:
-    return F.lit(start).cast("timestamp") if isinstance(start, str) else start
+    """A start as a timestamp. Text that is none is an error, with ANSI mode on or off."""
+    if not isinstance(start, str):
+        return start
+    wrong = F.raise_error(F.lit(f"start is no timestamp: {start!r}")).cast("timestamp")
+    return F.coalesce(F.lit(start).try_cast("timestamp"), wrong)
 
 
 def view_grid(keys: DataFrame, start: str | Column, steps: int, step_s: int = 300) -> DataFrame:
@@ -58,35 +66,51 @@ def fill_views(
     step_s: int = 300,
     positive_only: bool = False,
 ) -> DataFrame:
-    """Every series of ``keys`` at every stamp of the span, with the observed
+    """Every series of ``keys`` (a set) at every stamp of the span, with the observed
     count, 0 where nothing was seen.
 
     The views are cut to the span first, on ``hour`` too, so a store
-    partitioned by hour is read only for the grid's hours. A series' observed
-    counts become one map from stamp to count (at most ``steps + 1`` entries),
-    which joins its key; the stamps are generated after the join and looked up,
-    so the grid itself is never shuffled. NULL product ids and states are
-    series like any other. ``positive_only`` keeps the rows with ``count > 0``.
+    partitioned by hour is read only for the grid's hours. A series' span is cut into chunks of ``CHUNK`` stamps, each a
+    group of its own. In a chunk, the observed counts (and a 0 at its first stamp) are put in
+    order, and each fills the stamps up to the next one: work and rows are linear in the stamps, no
+    row holds a series' span, and the grid itself is never shuffled. NULL product ids and states are
+    series like any other. ``positive_only`` keeps the rows with ``count > 0``, which are observed
+    ones, so no grid is generated.
     """
-    base = F.date_trunc("second", _ts(start))
-    first = base + F.make_dt_interval(secs=F.lit(step_s))
-    last = base + F.make_dt_interval(secs=F.lit(step_s * (steps + 1)))
-    on_grid = F.pmod(F.unix_micros("period_start") - F.unix_micros(first), F.lit(step_s * 1_000_000)) == 0
+    step_us = step_s * 1_000_000
+    first = first_stamp(_ts(start), step_s)
+    at = F.unix_micros("period_start") - first
+    begin, end = F.timestamp_micros(first), F.timestamp_micros(first + F.lit(steps * step_us))
     seen = (
         views.filter(
-            F.col("hour").between(hour_key(first), hour_key(last))
-            & F.col("period_start").between(first, last)
-            & on_grid
+            F.col("hour").between(hour_key(begin), hour_key(end))
+            & F.col("period_start").between(begin, end)
+            & (F.pmod(at, F.lit(step_us)) == 0)
         )
-        .groupBy(*SERIES, "period_start")
+        .select(*SERIES, "count", F.round(at / F.lit(step_us)).cast("bigint").alias("_at"))
+        .groupBy(*SERIES, "_at")
         .agg(F.sum("count").cast("bigint").alias("count"))
-        .groupBy(*[F.col(c).alias(f"_{c}") for c in SERIES])
-        .agg(F.map_from_entries(F.collect_list(F.struct("period_start", "count"))).alias("_seen"))
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SERIES]
-    grid = keys.select(*SERIES).join(seen, same[0] & same[1], "left")
-    stamps = stamps_after(_ts(start), steps, step_s)
-    filled = grid.select(*SERIES, "_seen", F.explode(stamps).alias("period_start"))
-    count = F.coalesce(F.try_element_at("_seen", F.col("period_start")), F.lit(0).cast("bigint"))
-    filled = filled.select(*SERIES, count.alias("count"), "period_start", hour_key("period_start").alias("hour"))
-    return filled.filter(F.col("count") > 0) if positive_only else filled
+    keys = keys.select(*SERIES)
+
+    def shaped(rows: DataFrame) -> DataFrame:
+        stamp = F.timestamp_micros(first + F.col("_at") * F.lit(step_us))
+        return rows.select(*SERIES, "count", stamp.alias("period_start")).withColumn("hour", hour_key("period_start"))
+
+    if positive_only:
+        known = keys.select(*[F.col(c).alias(f"_{c}") for c in SERIES])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SERIES]
+        return shaped(seen.filter(F.col("count") > 0).join(known, same[0] & same[1], "left_semi"))
+    chunk = lambda: F.floor(F.col("_at") / CHUNK).cast("bigint").alias("_chunk")
+    begins = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(steps).cast("bigint"), F.lit(CHUNK).cast("bigint")))
+    marks = keys.select(*SERIES, begins.alias("_at"), F.lit(0).cast("bigint").alias("count"), F.lit(1).alias("_wanted"))
+    rows = marks.unionByName(seen.withColumn("_wanted", F.lit(0)))
+    rows = rows.groupBy(*SERIES, chunk(), "_at").agg(F.sum("count").alias("count"), F.max("_wanted").alias("_wanted"))
+    group = Window.partitionBy(*SERIES, "_chunk")
+    stop = F.least((F.col("_chunk") + 1) * CHUNK, F.lit(steps + 1).cast("bigint"))
+    rows = rows.withColumns({
+        "_next": F.coalesce(F.lead("_at").over(group.orderBy("_at")), stop),
+        "_known": F.max("_wanted").over(group),
+    }).filter("_known = 1")
+    filled = rows.select(*SERIES, "count", F.col("_at").alias("_from"), F.explode(F.sequence("_at", F.col("_next") - 1)).alias("_at"))
+    return shaped(filled.withColumn("count", F.when(F.col("_at") == F.col("_from"), F.col("count")).otherwise(F.lit(0).cast("bigint"))))

@@ -21,11 +21,12 @@ from clickpanes.operators.featured import featured_from_store, hour_slice_stored
 from clickpanes.operators.grid import series_of, view_grid
 from clickpanes.operators.parse import click_records, click_times
 from clickpanes.operators.sampling import bucket_totals
+from clickpanes.operators.skew import hot_keys, key_sketch, merge_sketches
 from clickpanes.operators.views import pane_counts, product_views, views_by_window, views_from_panes
 from clickpanes.plans.featured import day_clicks, featured_all_days, featured_from_clicks
 from clickpanes.plans.grid import backfill_grid, gap_filled_views
 from clickpanes.plans.record import record_clicks
-from clickpanes.plans.views import start_views_per_state, views_per_state
+from clickpanes.plans.views import publish_open_views, read_views_with_open, start_views_per_state, views_per_state
 from clickpanes.schemas import CLICK_RECORD, PRODUCT_VIEWS
 from clickpanes.scratch import delete_path, scratch_path, scratch_root
 from clickpanes.sinks import VIEW_ORDER, read_report, write_report, write_views
@@ -49,7 +50,7 @@ from clickpanes.sources.tables import (
     zip_states_from_customers,
 )
 from clickpanes.store import compact, read_store
-from clickpanes.streaming.sinks import epoch_sink, read_epochs, start_fan_out
+from clickpanes.streaming.sinks import epoch_sink, read_epochs, start_fan_out, start_file_sink
 
 # Fixed query parameters: the report day and the grid span, 288 five-minute stamps over that day.
 REPORT_DATE = "2024-01-15"
@@ -63,6 +64,8 @@ LATE_FROM = "2024-01-01"
 LATE_DAYS = 8
 LATE_DELIVERIES = 4
 LATE_DELAY = "119 MINUTES"
+# The zip code that gets half of the clicks.
+HOT_ZIP = 10004
 # Hours up to which the late stream's store is compacted.
 COMPACTED_UNTIL = (2024010912, 2024012023)
 
@@ -214,6 +217,36 @@ def q_views_compacted(spark, sf_dir):
     return read_views(spark, out)
 
 
+def q_views_stream_with_open(spark, sf_dir):
+    """The views stream's store and, from its checkpoint, the windows that are still open
+    at the end: published twice, the second time in the place of the first."""
+    out, chk, still = (scratch_path(spark, f"open-{x}") for x in ("out", "chk", "views"))
+    query = start_views_per_state(lines_stream(spark, sf_dir), zip_states(spark, sf_dir), out, chk, partition_by=None, trigger="availableNow")
+    query.awaitTermination()
+    for _ in range(2):
+        publish_open_views(spark, chk, still)
+    delete_path(spark, chk)
+    return read_views_with_open(spark, out, still)
+
+
+def skewed_clicks(lines: DataFrame) -> DataFrame:
+    """Clicks whose even zip codes are all one: it has about half of the clicks."""
+    clicks = click_times(lines)
+    return clicks.withColumn("zip_code", F.when(F.col("zip_code") % 2 == 0, F.lit(HOT_ZIP)).otherwise(F.col("zip_code")))
+
+
+def q_clicks_with_state_skewed(spark, sf_dir):
+    """The stream's zip join with a hot zip code, found by sketches of two recordings."""
+    out, chk = scratch_path(spark, "skew-out"), scratch_path(spark, "skew-chk")
+    recorded = skewed_clicks(lines(spark, sf_dir))
+    halves = [key_sketch(recorded.filter(F.pmod(F.xxhash64("date_time"), F.lit(2)) == k), "zip_code") for k in (0, 1)]
+    hot = hot_keys(merge_sketches(halves[0].union(halves[1])))
+    joined = with_state(skewed_clicks(lines_stream(spark, sf_dir)), zip_states(spark, sf_dir), hot=hot)
+    start_file_sink(joined, out, chk, trigger="availableNow").awaitTermination()
+    delete_path(spark, chk)
+    return spark.read.schema(joined.schema).parquet(out)
+
+
 def q_hour_slice(spark, sf_dir):
     return hour_slice_stored(day_store(spark, sf_dir), REPORT_DATE)
 
@@ -438,6 +471,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_views_stream_late": q_product_views_stream_late,
     "views_stream_by_hour": q_views_stream_by_hour,
     "views_compacted": q_views_compacted,
+    "views_stream_with_open": q_views_stream_with_open,
+    "clicks_with_state_skewed": q_clicks_with_state_skewed,
     "csv_stream_roundtrip": q_csv_stream_roundtrip,
     "fan_out_roundtrip": q_fan_out_roundtrip,
     "hour_slice": q_hour_slice,

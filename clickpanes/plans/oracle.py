@@ -12,6 +12,7 @@ from clickpanes.plans.catalog import (
     GRID_START,
     GRID_STEP_S,
     GRID_STEPS,
+    HOT_ZIP,
     LATE_DAYS,
     LATE_DELAY,
     LATE_DELIVERIES,
@@ -253,6 +254,12 @@ WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTER
 WHERE period_start + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM cws) - INTERVAL 1 HOUR""",
     "product_views_stream_late": _with(_EVENT_ONLY, ZIP_STATES, _LATE) + _LATE_VIEWS,
     "views_compacted": _with(_EVENT_ONLY, ZIP_STATES, _LATE) + _LATE_VIEWS,
+    "views_stream_with_open": _with(*_BASE, _views())
+    + """SELECT *, period_start + INTERVAL 1 HOUR > (SELECT max(date_time) FROM cws) - INTERVAL 1 HOUR AS provisional
+FROM pv""",
+    "clicks_with_state_skewed": _with(LINES, TIMES, ZIP_STATES)
+    + f"""SELECT t.product_id, coalesce(z.state, 'Unknown') AS state, t.date_time
+FROM times t LEFT JOIN zs z ON z.zip_code = CASE WHEN t.zip_code % 2 = 0 THEN {HOT_ZIP} ELSE t.zip_code END""",
     "csv_stream_roundtrip": _with(LINES, TIMES, DEV_ZIP_STATES, WITH_STATE, _views(5, 1))
     + """SELECT * FROM pv
 WHERE period_start + INTERVAL 5 MINUTE <= (SELECT max(date_time) FROM cws) - INTERVAL 5 MINUTE""",

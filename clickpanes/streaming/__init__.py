@@ -1,6 +1,6 @@
 """Structured Streaming forms: watermarked window counts and sinks."""
 
-from clickpanes.streaming.views import windowed_views
+from clickpanes.streaming.views import open_views, windowed_views
 from clickpanes.streaming.sinks import (
     apply_trigger,
     epoch_sink,
@@ -12,6 +12,7 @@ from clickpanes.streaming.sinks import (
 )
 
 __all__ = [
+    "open_views",
     "windowed_views",
     "apply_trigger",
     "epoch_sink",

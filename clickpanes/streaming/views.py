@@ -11,7 +11,7 @@ still open.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpanes.config import DEFAULT_WINDOW, ViewWindow
@@ -27,3 +27,14 @@ def windowed_views(clicks: DataFrame, window: ViewWindow = DEFAULT_WINDOW) -> Da
         .agg(F.count(F.lit(1)).alias("count"))
     )
     return shape_views(counts.withColumn("period_start", F.col("w.start")))
+
+
+def open_views(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The counts of the windows a ``windowed_views`` stream has not emitted yet, in the same columns, read
+    from its checkpoint by the state data source (as of the last committed batch; the stream may be running or stopped)."""
+    state = spark.read.format("statestore").load(checkpoint)
+    counts = state.select("key.*", "value.*")
+    # Of the key, the window is the only struct; of the value, there is the count alone.
+    window = next(f.name for f in state.schema["key"].dataType.fields if f.name.startswith(("w", "window")))
+    count = state.schema["value"].dataType.fields[0].name
+    return shape_views(counts.select("product_id", "state", F.col(count).alias("count"), F.col(f"{window}.start").alias("period_start")))
