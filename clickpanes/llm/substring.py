@@ -98,14 +98,19 @@ def _windows(text: str, anchors: np.ndarray, window: int, gram: int) -> tuple[np
 
 def _packed(least: int):
     """Task: rows (rid, text_hash, text) to rows with the text's compressed
-    UTF-8; texts under ``least`` bytes have too few words and are left out."""
+    UTF-8; texts under ``least`` bytes have too few words and are left out, and rows that
+    agree in id and text leave a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack, seen = zstandard.ZstdCompressor(level=3).compress, set()
         for batch in batches:
             raw = [t.as_py().encode("utf-8", "replace") for t in batch.column(2)]
-            batch = batch.filter(pa.array([len(r) >= least for r in raw], pa.bool_()))
-            packed = pa.array([pack(r) for r in raw if len(r) >= least], pa.binary())
+            takes = []
+            for r, key in zip(raw, zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                takes.append(len(r) >= least and key not in seen)
+                seen.add(key)
+            batch = batch.filter(pa.array(takes, pa.bool_()))
+            packed = pa.array([pack(r) for r, take in zip(raw, takes) if take], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["rid", "text_hash", "packed"])
 
     return run
@@ -231,19 +236,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``id, text_hash, n_words, n_removed, kept, kept_sha256``, one row per input row.
 
     ``kept`` (the kept words, joined by one space) is null where no word went;
-    its text is then the input's. Ids are whole numbers or null. Windows are judged on the input;
-    two rows with one text, and two places of one text, both count. Null texts have
+    its text is then the input's. Ids are of any type, or null. Windows are judged on the input;
+    two rows with one text (repeated rows too), and two places of one text, both count. Null texts have
     no words. Other columns are not read; an empty table gives an empty result.
     """
-    id_ = column(docs, id_col).cast("long")
+    id_ = column(docs, id_col)
     # Rows are joined by ``rid`` and ``text_hash``; rows that agree in both have one text.
     rows = docs.select(
         id_.alias("id"),
-        F.coalesce(id_, F.lit(-(1 << 63))).alias("rid"),
+        F.coalesce(F.xxhash64(id_.cast("string")), F.lit(0)).alias("rid"),
         F.xxhash64(column(docs, text_col)).alias("text_hash"),
         column(docs, text_col).cast("string").alias("text"),
     )
-    schema = "id long, rid long, text_hash long, n_words long, n_bytes long, class_key binary, sha string, anchors array<long>"
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, rid long, text_hash long, n_words long, n_bytes long, class_key binary, sha string, anchors array<long>"
     profile = checkpointed(rows.mapInArrow(_profile(window, gram), schema))
     # One document of each class goes on: its smallest (rid, text_hash).
     classes = profile.where(F.col("n_words") >= window).groupBy("class_key").agg(
@@ -266,7 +272,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = marks.select("rid", "text_hash", "shard", "weight", "anchors")
     packed = rows.where(F.octet_length("text") >= 2 * window - 1).select("rid", "text_hash", "text")
     packed = packed.mapInArrow(_packed(2 * window - 1), "rid long, text_hash long, packed binary")
-    joined = checkpointed(packed.join(marks, ["rid", "text_hash"]))
+    # A class's one document, once: its other rows may be any number.
+    joined = checkpointed(packed.join(marks, ["rid", "text_hash"]).dropDuplicates(["rid", "text_hash"]))
     counts = joined.groupBy("shard").applyInArrow(_count_shard(window, gram), "anchor long, hash long, shard long, n long")
     recurs = counts.groupBy("anchor", "hash").agg(F.sum("n").alias("total")).where("total > 1")
     elsewhere = counts.where("n = 1").join(recurs, ["anchor", "hash"]).select("shard", "anchor", "hash")
