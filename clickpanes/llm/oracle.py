@@ -19,7 +19,7 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 OP9 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS turn
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS turn
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source
@@ -55,30 +55,35 @@ FROM o
 
 OP10 = r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
   WHERE conv_id IS NOT NULL AND turn IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY coalesce(role, 'unknown'), coalesce(text, '')) = 1
 ), a AS (
-  SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back
+  SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS back
   FROM c WHERE role = 'assistant'
 ), p AS (
-  SELECT x.conv_id, x.turn AS last, y.text AS stale
+  SELECT x.conv_id, x.turn AS last, x.text AS last_text, y.text AS stale
   FROM a x LEFT JOIN a y ON y.conv_id = x.conv_id AND y.back = 2 WHERE x.back = 1
 ), r AS (
-  SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = p.last THEN p.stale ELSE c.text END AS text
+  SELECT c.conv_id, c.turn, c.role, c.text
   FROM c LEFT JOIN p ON p.conv_id = c.conv_id
-  WHERE p.last IS NULL OR c.turn < p.last OR (c.turn = p.last AND p.stale IS NOT NULL)
+  WHERE p.last IS NULL OR (c.turn, c.role, c.text) < (p.last, 'assistant', p.last_text)
+  UNION
+  SELECT conv_id, last, 'assistant', stale FROM p WHERE stale IS NOT NULL
 ), b AS (
-  SELECT c.conv_id, c.turn, c.role AS c_role, c.text AS c_text, r.role AS r_role, r.text AS r_text,
-         min(CASE WHEN r.role IS NULL OR c.role <> r.role OR c.text <> r.text THEN c.turn END)
-           OVER (PARTITION BY c.conv_id) AS cut
-  FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn
+  SELECT conv_id, turn, role, text, bool_or(side = 1) AS in_c, bool_or(side = 2) AS in_r
+  FROM (SELECT *, 1 AS side FROM c UNION ALL SELECT *, 2 FROM r)
+  GROUP BY conv_id, turn, role, text
+), k AS (
+  SELECT conv_id, turn AS t, role AS o, text AS x FROM b WHERE in_c <> in_r
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1
+), m AS (
+  SELECT b.*, k.conv_id IS NULL OR (turn, role, text) < (t, o, x) AS shared FROM b LEFT JOIN k USING (conv_id)
 ), s AS (
-  SELECT conv_id, 'prompt' AS part, turn, c_role AS role, c_text AS text FROM b WHERE cut IS NULL OR turn < cut
+  SELECT conv_id, 'prompt' AS part, turn, role, text FROM m WHERE shared
   UNION ALL
-  SELECT conv_id, 'chosen', turn, c_role, c_text FROM b WHERE turn >= cut
+  SELECT conv_id, 'chosen', turn, role, text FROM m WHERE NOT shared AND in_c
   UNION ALL
-  SELECT conv_id, 'rejected', turn, r_role, r_text FROM b WHERE turn >= cut AND r_role IS NOT NULL
+  SELECT conv_id, 'rejected', turn, role, text FROM m WHERE NOT shared AND in_r
 ), g AS (
   SELECT *, '<|im_start|>' || role || chr(10) AS head FROM s
 )

@@ -4,44 +4,57 @@ A pair has a chosen and a rejected conversation. Their longest common turn
 prefix is rendered once, as the prompt; what follows in each is its completion,
 rendered with the mask of what the loss is taken on (assistant turns).
 
-The result is long: one row per rendered turn. The first difference of a pair
-is a minimum over its turns' digests, and all joins are by (pair, turn) or salted, so
-a conversation with any number of turns never meets in one task.
+The turns of a conversation are its distinct rows in the order of turn number, role and
+text. In that order the common prefix of two conversations is what lies before
+the least turn that only one of them has, so it is found by a minimum, and no
+conversation has to be put together. The result is long: one row per rendered turn.
+
+Texts are dealt once, by pair. A pair with more than ``HOT_ROWS`` rows is dealt over as many
+salts as it has such shares, so a conversation with any number of turns never meets in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column
 
 #: Turn markers of the rendered text (fixed values).
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>\n"
-SALTS = 16
+HOT_ROWS = 1 << 16
+
+
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("turn", "role", "text"), F.col("salts")).cast("int").alias("salt")
 
 
 def turns(df: DataFrame, pair_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """``pair, turn, role, text``; rows equal in all four count once, of other
-    rows with one turn number the smallest by role and text (null first) stays.
-    A null role is ``unknown``, a null text is empty. Rows without a pair id or
-    a turn number have no place in a conversation and are left out."""
+    """``pair, salts, salt, turn, role, text``; rows equal in pair, turn number, role and text
+    count once, different rows of one turn number all stay. A null role is ``unknown``, a null text is empty. Rows without a pair id or
+    a turn number have no place in a conversation and are left out. An empty table gives an empty one."""
     rows = df.select(
         column(df, pair_col).alias("pair"),
         column(df, turn_col).cast("long").alias("turn"),
         F.coalesce(column(df, role_col).cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(column(df, text_col).cast("string"), F.lit("")).alias("text"),
     ).where("pair IS NOT NULL AND turn IS NOT NULL")
-    one = rows.groupBy("pair", "turn").agg(F.min(F.struct("role", "text")).alias("said"))
-    return one.select("pair", "turn", "said.role", "said.text")
+    # At most one row for every HOT_ROWS rows of the table.
+    hot = rows.groupBy(F.col("pair").alias("hot")).agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS)
+    hot = F.broadcast(hot.select("hot", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("shares")))
+    rows = rows.join(hot, F.col("pair") == F.col("hot"), "left").withColumn("salts", F.coalesce("shares", F.lit(1)))
+    dealt = rows.select("pair", "salts", _salt(), "turn", "role", "text").repartition("pair", "salt")
+    return dealt.distinct()
+
+
+def _with_pair(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Left join turns with one row per pair (``pair, salts``, ...), which is copied for each salt."""
+    copies = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return rows.join(copies, ["pair", "salt"], "left")
 
 
-def _with_pair(rows: DataFrame, pairs: DataFrame, how: str = "inner") -> DataFrame:
-    """Join turns with one row per pair; pairs are copied ``SALTS`` times and
-    turns dealt over the copies, so one long conversation is split."""
-    copies = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.col("turn"), F.lit(SALTS)).cast("int"))
-    return salted.join(copies, ["pair", "salt"], how).drop("salt")
+def _place(*names: str) -> Column:
+    return F.struct(*[F.col(c).alias(n) for c, n in zip(names, ("turn", "role", "text"))])
 
 
 def render_turn(role: Column, text: Column) -> Column:
@@ -52,24 +65,32 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, train_role: str
     """``pair, part, turn, role, segment, mask_start, mask_end``.
 
     ``chosen`` and ``rejected`` come from ``turns``. ``part`` is ``prompt``,
-    ``chosen`` or ``rejected``; the segments of a part in the order of ``turn``,
+    ``chosen`` or ``rejected``; the segments of a part in the order of ``turn``, then of the segment,
     put together, are its text. ``mask_start`` and ``mask_end`` (code points of
     the segment, end exclusive) bound what is trained on: text and end marker
     of a completion's assistant turns, null elsewhere. Turn numbers need not be
     dense. A pair that only one side has is all completion after an empty
-    prompt; equal conversations are all prompt.
+    prompt; equal conversations are all prompt; empty tables give no rows.
     """
-    # What differs is found on digests; texts move once, to meet their pair's cut.
-    said = lambda rows, name: rows.select("pair", "turn", F.sha2(F.concat(F.length("role"), F.lit(":"), "role", "text"), 256).alias(name))
-    both = said(chosen, "c").join(said(rejected, "r"), ["pair", "turn"], "full_outer")
-    differs = F.when(~F.col("c").eqNullSafe(F.col("r")), F.col("turn"))
-    cut = both.groupBy("pair").agg(F.min(differs).alias("cut"))
-    shared = F.col("cut").isNull() | (F.col("turn") < F.col("cut"))
-    part = lambda name: F.when(shared, F.lit("prompt")).otherwise(F.lit(name)).alias("part")
-    columns = ["pair", "turn", "role", "text"]
-    # The shared turns are the same on both sides: the chosen side gives them.
-    rows = _with_pair(chosen, cut).select(*columns, part("chosen"))
-    rows = rows.union(_with_pair(rejected, cut).where(~shared).select(*columns, part("rejected")))
+    both = chosen.select("*", F.lit(True).alias("c"), F.lit(False).alias("r"))
+    both = both.union(rejected.select(*chosen.columns, F.lit(False).alias("c"), F.lit(True).alias("r")))
+    # A hot pair's sides may have been dealt over different numbers of salts.
+    salts = both.groupBy("pair").agg(F.max("salts").alias("salts"))
+    keys = ["pair", "turn", "role", "text"]
+    marked = both.groupBy(*keys).agg(F.max("c").alias("c"), F.max("r").alias("r")).join(salts, "pair")
+    return segments(marked.select("pair", "salts", _salt(), "turn", "role", "text", "c", "r"), train_role)
+
+
+def segments(marked: DataFrame, train_role: str = "assistant") -> DataFrame:
+    """``preference_segments`` of turns that are marked: ``pair, salts, salt, turn, role, text``, each once, and whether
+    it is the chosen (``c``) and the rejected (``r``) conversation's."""
+    place = _place("turn", "role", "text")
+    cut = marked.where("c <> r").groupBy("pair").agg(F.max("salts").alias("salts"), F.min(place).alias("cut"))
+    rows = _with_pair(marked, cut)
+    shared = F.col("cut").isNull() | (place < F.col("cut"))
+    of = lambda flag, name: F.when(F.col(flag), F.lit(name))
+    parts = F.when(shared, F.array(F.lit("prompt"))).otherwise(F.array_compact(F.array(of("c", "chosen"), of("r", "rejected"))))
+    rows = rows.select("pair", F.explode(parts).alias("part"), "turn", "role", "text")
     head = F.length(F.concat(F.lit(TURN_START), F.col("role"), F.lit("\n")))
     trained = (F.col("part") != "prompt") & (F.col("role") == train_role)
     segment = render_turn(F.col("role"), F.col("text"))
@@ -94,15 +115,32 @@ def assemble(segments: DataFrame) -> DataFrame:
     return segments.groupBy("pair").agg(text("prompt"), text("chosen"), text("rejected"))
 
 
+def stale_marked(conv: DataFrame, train_role: str = "assistant") -> DataFrame:
+    """The chosen conversations ``conv`` and rejected ones derived from them, marked for ``segments``.
+
+    A rejected conversation is the chosen one up to its last reply, with the text of the reply before in that place (a
+    stale answer); with one reply only, it ends before it. Conversations without a reply stay as they are."""
+    replies = conv.where(F.col("role") == train_role)
+    # Each task keeps a pair's last two before they are dealt.
+    back = F.row_number().over(Window.partitionBy("pair").orderBy(F.desc("turn"), F.desc("text")))
+    two = replies.select("pair", "salts", "turn", "text", back.alias("back")).where("back <= 2")
+    nth = lambda k, c: F.max(F.when(F.col("back") == k, F.col(c)))
+    facts = two.groupBy("pair").agg(
+        F.max("salts").alias("salts"), nth(1, "turn").alias("last"), nth(1, "text").alias("last_text"), nth(2, "turn").alias("before"), nth(2, "text").alias("stale")
+    )
+    rows = _with_pair(conv, facts.withColumn("reply", F.lit(train_role)))
+    place, end = _place("turn", "role", "text"), _place("last", "reply", "last_text")
+    # A stale text equal to the last, or of the last turn itself, is a turn the conversation has.
+    same = F.col("stale").isNotNull() & (F.col("stale") == F.col("last_text"))
+    kept = F.col("last").isNull() | (place < end) | (same & (place == end))
+    kept = F.coalesce(kept, F.lit(False))
+    source = (F.col("before") < F.col("last")) & ~same & (F.col("turn") == F.col("before")) & (F.col("role") == F.col("reply")) & (F.col("text") == F.col("stale"))
+    own = F.struct(F.col("turn").alias("turn"), F.lit(True).alias("c"), kept.alias("r"))
+    moved = F.when(F.coalesce(source, F.lit(False)), F.struct(F.col("last").alias("turn"), F.lit(False).alias("c"), F.lit(True).alias("r")))
+    rows = rows.select("pair", "salts", "role", "text", F.inline(F.array_compact(F.array(own, moved))))
+    return rows.select("pair", "salts", _salt(), "turn", "role", "text", "c", "r")
+
+
 def stale_reply_rejections(conv: DataFrame, train_role: str = "assistant") -> DataFrame:
-    """Rejected conversations for a table that has none: each conversation up
-    to its last reply, with the text of the reply before in that place (a
-    stale answer); with one reply only, the conversation ends before it.
-    Conversations without a reply stay as they are."""
-    replies = conv.where(F.col("role") == train_role).select("pair", "turn")
-    last = replies.groupBy("pair").agg(F.max("turn").alias("last"))
-    earlier = _with_pair(replies, last).where("turn < last")
-    stale = earlier.groupBy("pair", "last").agg(F.max("turn").alias("turn"))
-    rows = _with_pair(conv, last, "left").where("last IS NULL OR turn < last").select("pair", "turn", "role", "text")
-    moved = conv.join(stale, ["pair", "turn"]).select("pair", F.col("last").alias("turn"), "role", "text")
-    return rows.union(moved)
+    """The rejected conversations of ``stale_marked``, as a side of their own."""
+    return stale_marked(conv, train_role).where("r").drop("c", "r")

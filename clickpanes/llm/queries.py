@@ -84,10 +84,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Read by both sides and by the choice of the rejected reply: written once.
-    chosen = checkpointed(preference.turns(_table(spark, sf_dir, "conversations")))
-    rejected = preference.stale_reply_rejections(chosen)
-    return preference.preference_segments(chosen, rejected).withColumnRenamed("pair", "conv_id")
+    conv = preference.turns(_table(spark, sf_dir, "conversations"))
+    return preference.segments(preference.stale_marked(conv)).withColumnRenamed("pair", "conv_id")
 
 
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -482,6 +482,11 @@ def test_preference(spark):
         (6, 0, "user", "b", "z", "z"),
         (6, 0, "user", "a", "z", "z"),
         *[(7, k, "assistant", f"t{k}", "z", "z") for k in range(300)],
+        *[(8, k, r, f"{t}{k}", "z", "z") for k in (1, 2) for r, t in (("user", "q"), ("assistant", "x"))],
+        (9, 0, "user", "q", "z", "z"),
+        (9, 1, "assistant", "b", "z", "z"),
+        (9, 1, "assistant", "a", "z", "z"),
+        *say(10, ("assistant", "ok"), ("user", "more"), ("assistant", "ok")),
     ]
     conv = spark.createDataFrame(rows, CONV)
     chosen = preference.turns(conv)
@@ -493,7 +498,12 @@ def test_preference(spark):
     assert text[2] == (turn("user", "only"), "", "")
     assert text[3] == (turn("system", ""), turn("assistant", "é漢"), "")
     assert text[4] == (turn("unknown", ""), "", "")
-    assert text[6] == (turn("user", "a"), "", "")
+    assert text[6] == (turn("user", "a") + turn("user", "b"), "", "")
+    # A turn number counts an exchange: every message stays.
+    assert text[8] == (turn("assistant", "x1") + turn("user", "q1"), turn("assistant", "x2") + turn("user", "q2"), turn("assistant", "x1"))
+    # Two replies in one turn, and a last reply equal to the one before.
+    assert text[9] == (turn("user", "q") + turn("assistant", "a"), turn("assistant", "b"), "")
+    assert text[10] == (turn("assistant", "ok") + turn("user", "more") + turn("assistant", "ok"), "", "")
     assert text[7][1:] == (turn("assistant", "t299"), turn("assistant", "t298")) and 5 not in text and None not in text
     for r in segments.collect():
         if r.part != "prompt" and r.role == "assistant":
@@ -503,3 +513,62 @@ def test_preference(spark):
     assert preference.preference_segments(chosen.limit(0), chosen.limit(0)).count() == 0
     one = preference.preference_segments(chosen, chosen.limit(0))
     assert one.where("part <> 'chosen'").count() == 0 and one.count() == chosen.count()
+
+
+def _two_sides(spark, hot):
+    rng = np.random.default_rng(hot)
+    rows = [(int(rng.integers(0, 9)), int(rng.integers(0, 4)), str(rng.choice(["user", "assistant", "tool"])), str(rng.choice(list("abc")))) for _ in range(400)]
+    return rows, spark.createDataFrame([(*r, "z", "z") for r in rows], CONV)
+
+
+@pytest.mark.parametrize("hot", [3, 1 << 16])
+def test_preference_by_brute_force(spark, monkeypatch, hot):
+    """Two sides with ties in turn numbers, and pairs that are dealt over salts."""
+    monkeypatch.setattr(preference, "HOT_ROWS", hot)
+    (a, chosen), (b, rejected) = _two_sides(spark, 1), _two_sides(spark, 2)
+    want = Counter()
+    for pair in range(9):
+        x, y = (sorted({r[1:] for r in side if r[0] == pair}) for side in (a, b))
+        n = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        want.update((pair, part, *r) for part, rows in (("prompt", x[:n]), ("chosen", x[n:]), ("rejected", y[n:])) for r in rows)
+    found = preference.preference_segments(preference.turns(chosen), preference.turns(rejected)).collect()
+    got = Counter((r.pair, r.part, r.turn, r.role, r.segment[len(f"<|im_start|>{r.role}\n") : -len("<|im_end|>\n")]) for r in found)
+    assert got == want
+    conv = preference.turns(chosen)
+    one = preference.segments(preference.stale_marked(conv))
+    two = preference.preference_segments(conv, preference.stale_reply_rejections(conv))
+    assert Counter(map(tuple, one.collect())) == Counter(map(tuple, two.collect()))
+
+
+def test_mixing_many_equal_rows(spark, monkeypatch):
+    """A third of all rows are equal, without an id: their bin is cut, and no part holds many."""
+    monkeypatch.setattr(mixing, "ROWS_PER_BIN", 16)
+    monkeypatch.setattr(mixing, "CUT_BITS", 6)
+    rows = [(None, "the same five words here", "s")] * 4000 + [(i, "w " * (1 + i % 7), ["s", "t"][i % 2]) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    taken = Counter()
+    for r in got:
+        taken[r.target] += len(r.positions) * r.size
+    assert all(abs(t - n) <= 7 for t, n in taken.items())
+    # Copies of one round of a source lie in the order of their offsets, so no two middles are equal.
+    firsts = [r.positions[0] for r in got if r.positions and r.id is None]
+    assert len(set(firsts)) == len(firsts) > 1000
+    mixed = mixing.mixed_documents(docs.checkpoint())
+    assert mixed.count() == sum(len(r.positions) for r in got)
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert Counter(map(str, again)) == Counter(map(str, got))
+
+
+def test_substring_many_equal_rows(spark, monkeypatch):
+    """Rows that repeat id and text: one text of them goes to a shard."""
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(None, text + " tail")] * 3000 + [("a", "start " + text), ("b", "other words"), ("c", None), (None, "x " * 80)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(4)
+    found = repeats.remove_repeats(docs).collect()
+    want = Counter((i, *w) for (i, _), w in zip(rows, substring([t for _, t in rows])))
+    assert Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == want
+    packed = docs.select(F.lit(0).cast("long").alias("rid"), F.xxhash64("text").alias("text_hash"), "text").where("text IS NOT NULL")
+    packed = packed.mapInArrow(repeats._packed(69), "rid long, text_hash long, packed binary")
+    assert packed.count() <= 4 * 3

@@ -39,7 +39,7 @@ def brute(spark, docs):
             break
         full |= more
     out, start = [], Counter()
-    for d in sorted(docs, key=lambda d: (hashlib.md5(f"mix:{d[0]}".encode()).hexdigest()[:15], d[0])):
+    for d in sorted(docs, key=lambda d: (hashlib.md5(f"mix:{d[0]}:{hashlib.md5(d[1].encode()).hexdigest()}".encode()).hexdigest()[:15], d[0])):
         middle = start[d[3]] + size[d[0]] / 2
         start[d[3]] += size[d[0]]
         out += [d] * sum(middle + j * total[d[3]] < target[d[3]] for j in range(3) if size[d[0]])
