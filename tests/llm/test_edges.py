@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -283,6 +284,32 @@ def test_secrets(odd, none):
         ('accesskey: "k93hAq27xPz1"', ["k93hAq27xPz1"]),
         ("dbpwd='k93hAq27xPz1'", ["k93hAq27xPz1"]),
         ("turkey = 'k93hAq27xPz1'", []),
+        *[(f"password = {p}'k93hAq27xPz1'", ["k93hAq27xPz1"]) for p in ("f", "b", "r", "u", "Rb", "@", "$@", "L")],
+        ('db_password = """k93hAq27xPz1"""', ["k93hAq27xPz1"]),
+        ("db_password = r'''k93hAq27xPz1''' + 'Zt61mmQ0xY'", ["k93hAq27xPz1", "Zt61mmQ0xY"]),
+        ('db_password = """', []),
+        ('password = (\n    "k93hAq27xPz1"\n    "Zt61mmQ0xY"\n)', ["k93hAq27xPz1", "Zt61mmQ0xY"]),
+        ('password = \\\n    "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ('"password": ["k93hAq27xPz1", "Zt61mmQ0xY"]', ["k93hAq27xPz1", "Zt61mmQ0xY"]),
+        ('pwd, n = "k93hAq27xPz1", 3', ["k93hAq27xPz1"]),
+        ('n, pwd = "Zt61mmQ0xY", "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ('f(\n  user, password="k93hAq27xPz1", port=3)', ["k93hAq27xPz1"]),
+        ('#define DB_PWD "k93hAq27xPz1"', ["k93hAq27xPz1"]),
+        ('#  define COLOUR "k93hAq27xPz1"', []),
+        ('c.setPassword("k93hAq27xPz1")', ["k93hAq27xPz1"]),
+        ("set_password('k93hAq27xPz1')", ["k93hAq27xPz1"]),
+        ('c.setName("k93hAq27xPz1")', []),
+        ('password = os.getenv("DB_PASSWORD_1", "k93hAq27xPz1")', ["k93hAq27xPz1"]),
+        ('token = cfg.get("service_token_2")', []),
+        ("password = getpass.getpass('Password for db1: ')", []),
+        ("auth_token = self.client_token2", []),
+        ("token = request.headers", []),
+        ("token = request.headers['X-Token-99a']", []),
+        ("secret = load_key_v2(path)", []),
+        ("secret = keys_v2[0]", []),
+        ("password = os.getenv", []),
+        ("token: eyJhbGci1iJIUzI1.eyJzdWIi5iIx", ["eyJhbGci1iJIUzI1.eyJzdWIi5iIx"]),
+        ('<token a="b">x</token><password>k93hAq27xPz1</password>', ["k93hAq27xPz1"]),
     ],
 )
 def test_named_literals(text, found):
@@ -301,6 +328,24 @@ def test_secret_scan_is_linear():
         secret_scan.scan(text)
 
 
+@pytest.mark.parametrize(
+    "piece",
+    ["<a>b</a>", "</", "</a", "a = (", "a = [", 'a = """', "a, b = ", "a = x + ", "#define a ", "set_a('", 'a = f(', "a: b = ", "a = get('", "x = \\\n"],
+)
+def test_named_literals_grow_with_the_text(piece):
+    """Ten times the text takes about ten times as long."""
+
+    def seconds(size):
+        text = piece * (size // len(piece)) + " token"
+        begin = time.perf_counter()
+        secret_scan.named_literals(text)
+        return time.perf_counter() - begin
+
+    seconds(10_000)
+    small, large = min(seconds(100_000) for _ in range(3)), seconds(1_000_000)
+    assert large < 25 * small + 0.2
+
+
 VECTORS = [
     (1, [1.0, 0.0, 0.0], 1, "z"),
     (2, [1.0, 0.1, 0.0], 1, "z"),
