@@ -24,8 +24,12 @@ def sample_keys(df: DataFrame, key: str, keep: int, buckets: int) -> DataFrame:
 
 
 def bucket_totals(views: DataFrame, buckets: int) -> DataFrame:
-    """Per product bucket: views and distinct products (a sample's size)."""
-    return views.groupBy(stable_bucket("product_id", buckets).alias("bucket")).agg(
-        F.sum("count").cast("bigint").alias("no_views"),
-        F.countDistinct("product_id").alias("products"),
+    """Per product bucket: views and distinct products (a sample's size).
+
+    Views are summed per product first, so a bucket is worked out once per product, and
+    products are counted without a distinct aggregation."""
+    products = views.groupBy("product_id").agg(F.sum("count").alias("no_views"))
+    return products.groupBy(stable_bucket("product_id", buckets).alias("bucket")).agg(
+        F.sum("no_views").cast("bigint").alias("no_views"),
+        F.count("product_id").alias("products"),
     )
