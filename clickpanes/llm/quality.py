@@ -4,7 +4,7 @@ Two generative models over hashed word unigrams and bigrams: one of target text
 (documents labelled good), one of all raw text. A document's log importance weight is
 the sum over its n-grams of ``log p_target - log p_raw``. Documents are
 resampled without replacement by Gumbel top-k: ``log weight + Gumbel noise`` of
-a hash of the id, the ``k`` largest stay.
+a hash of id and text, the ``k`` largest stay.
 
 The raw model counts all documents, whole. The target model is fitted on at
 most about ``target_rows`` labelled documents (a hash sample where there are
@@ -128,12 +128,14 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     ``kept``: among the ``k`` largest keys (rows that tie with the last stay
     too). Without any good label all weights are 0; without any label all
-    rows stay. Null and blank texts weigh 0; rows without an id have the noise
-    of an empty id. Other columns are not read.
+    rows stay. Null and blank texts weigh 0. Different rows have noise of their own, also where
+    they share an id or have none; rows equal in id and text are drawn together. Other columns are not read; an
+    empty table gives no rows.
     """
     good = checkpointed(good_ids(labels, id_col, quality_col))
     ratios = log_ratios(docs, good.where("good"), id_col, text_col, **options)
-    turn = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(column(docs, id_col).cast("string"), F.lit(""))), F.lit(HASH_STEPS))
+    own = [F.coalesce(column(docs, c).cast("string"), F.lit("")) for c in (id_col, text_col)]
+    turn = F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(HASH_STEPS))
     uniform = (turn + 0.5) / HASH_STEPS
     rows = docs.select(column(docs, id_col).alias("id"), weigh(docs, ratios, text_col).alias("log_weight"), (-F.log(-F.log(uniform))).alias("noise"))
     rows = checkpointed(rows.select("id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("key")))
