@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import column, fresh
 
 #: The pre-token pattern of byte-level BPE (fixed value), and the same for texts
 #: whose characters Python's faster ``re`` classes alike. ``_OTHER`` finds the others:
@@ -199,17 +199,21 @@ def ids_array(ids: Column) -> Column:
 
 
 def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with its texts' packed ids in ``ids_col`` (which replaces a column of that name)."""
-    return docs.withColumn(ids_col, tokenizer.encode(F.col(text_col).cast("string")))
+    """``docs`` with its texts' packed ids in ``ids_col`` (which replaces a column of that name).
+
+    Null and empty texts have no ids. A row's ids depend on its text alone, so repeated rows have the
+    same; an empty table gives an empty one. This holds for the functions below, too."""
+    return docs.withColumn(ids_col, tokenizer.encode(column(docs, text_col).cast("string")))
 
 
 def round_trip_documents(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col: str = "ids", to: str = "decoded") -> DataFrame:
-    """``docs`` with packed ids in ``ids_col`` and the text decoded from them in ``to``."""
+    """``docs`` with packed ids in ``ids_col`` and the text decoded from them in ``to`` (both
+    replace columns of these names)."""
     (both,) = fresh(docs, "round_trip")
-    out = docs.withColumn(both, tokenizer.round_trip(F.col(text_col).cast("string")))
+    out = docs.withColumn(both, tokenizer.round_trip(column(docs, text_col).cast("string")))
     return out.withColumns({ids_col: F.col(f"{both}.ids"), to: F.col(f"{both}.decoded")}).drop(both)
 
 
 def decode_documents(docs: DataFrame, tokenizer: Tokenizer, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``docs`` with the texts of packed ids in ``text_col``."""
-    return docs.withColumn(text_col, tokenizer.decode(F.col(ids_col)))
+    """``docs`` with the texts of packed ids in ``text_col`` (which replaces a column of that name)."""
+    return docs.withColumn(text_col, tokenizer.decode(column(docs, ids_col)))
