@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import checkpointed, column, components
 
@@ -49,6 +50,8 @@ CELL = 512
 BLOCK = 2048
 SEED = 7
 SALTS = 16
+PAIRS_PER_TASK = 1 << 24  # pairs to count in a task, on average
+MOST_TASKS = 100_000
 _STRIP, _DEAL = 256, 1024
 
 
@@ -250,16 +253,21 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     """``id, n_links, component_id, kept``, one row per input row.
 
     Rows link when their labels are equal and not null and their cosine, in
-    double precision, is at least ``cosine``. Null and zero vectors, and vectors
+    double precision, is at least ``cosine``. No pair below it links; of the pairs at or above it
+    all are found in labels of up to ``cell`` classes but for those the collision count misses
+    (0.2% at the threshold, fewer above), in larger ones at least 99% of these. Null and zero vectors, and vectors
     with null or non-finite components, link with nothing; vectors of different
     lengths do not link. ``n_links`` counts the other rows linked directly, ``component_id``
     is the smallest id reachable, itself included (null ids last); ``kept`` tells
-    whether it is the row's own. Other columns are not read.
+    whether it is the row's own. Repeated rows are rows of their own and link with each other. Labels are of any type
+    (text labels are compared by a 64-bit hash). Other columns are not read; an empty table gives no rows.
     """
     spark = table.sparkSession
+    label = column(table, label_col)
+    whole = isinstance(table.select(label.alias("label")).schema["label"].dataType, T.IntegralType)
     rows = table.select(
         column(table, id_col).alias("id"),
-        column(table, label_col).cast("long").alias("label"),
+        (label.cast("long") if whole else F.when(label.isNotNull(), F.xxhash64(label))).alias("label"),
         column(table, vector_col).cast("array<double>").alias("vector"),
     )
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
@@ -294,12 +302,17 @@ def _of_size(classes: DataFrame, size: int, most: int, cosine: float, trees: int
     mine = mine.select("label", "id", "n", "trees", "depth", "vector")
     dealt = mine.mapInArrow(_deal(size, cosine), "label long, tree long, cell long, id long, n long, trees long, depth long, vector array<double>")
     place = ["label", "tree", "cell"]
-    sizes = dealt.groupBy(*place).agg(F.count("*").alias("size")).where("size > 1")
+    sizes = checkpointed(dealt.groupBy(*place).agg(F.count("*").alias("size")).where("size > 1"))
+    # Groups are dealt by the pairs they stand for: adaptive execution would merge them by bytes.
+    pairs = sizes.agg(F.sum(F.col("size").cast("double") * F.col("size") / 2)).first()[0] or 0.0
+    least = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(min(max(least, pairs // PAIRS_PER_TASK + 1), MOST_TASKS))
     blocks = F.ceil(F.col("size") / block).cast("long")
     dealt = dealt.join(sizes.select(*place, blocks.alias("blocks")), place)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other", "blocks")
+    dealt = dealt.repartition(parts, *place, "one", "two")
     return dealt.groupBy(*place, "one", "two").applyInArrow(_count(size, cosine), "id long, n_links long, root long")
 
 
