@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -102,3 +104,63 @@ def vector_links(rows, cosine=0.93):
         if rows[k][0] is not None:
             low[r] = min(low.get(r, rows[k][0]), rows[k][0])
     return [(rows[k][0], links[k], low.get(find(parent, k))) for k in range(len(rows))]
+
+
+class Ppm:
+    """Prediction by partial matching, method C, with exclusion, of one language: by the book, over dictionaries."""
+
+    def __init__(self, texts, order=4):
+        self.order, self.after, self.known = order, [defaultdict(Counter) for _ in range(order + 1)], {}
+        for text in texts:
+            data = b"\n" * order + text.encode("utf-8", "replace")
+            for at in range(order, len(data)):
+                for k in range(order + 1):
+                    self.after[k][data[at - k : at]][data[at]] += 1
+
+    def probability(self, context, byte):
+        """Of ``byte`` after the last bytes ``context``."""
+        key = context, byte
+        if key not in self.known:
+            self.known[key] = self._probability(context, byte)
+        return self.known[key]
+
+    def _probability(self, context, byte):
+        k = len(context)
+        seen = self.after[k].get(context)
+        shorter = (lambda b: self.probability(context[1:], b)) if k else (lambda b: 1 / 256)
+        if seen is None:
+            return shorter(byte)
+        total = sum(seen.values()) + len(seen)
+        if byte in seen:
+            return seen[byte] / total
+        return len(seen) / total * shorter(byte) / (1 - sum(shorter(b) for b in seen))
+
+    def nats(self, text):
+        data = b"\n" * self.order + text.encode("utf-8", "replace")
+        return -sum(math.log(self.probability(data[at - self.order : at], data[at])) for at in range(self.order, len(data)))
+
+
+def gumbel_keys(docs, good, buckets, bucket_of, seed=0):
+    """docs: (id, text); good: ids -> (log weight, key) of each document. ``bucket_of(words)`` numbers an n-gram."""
+
+    def grams(text):
+        w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words(text)]
+        return Counter([bucket_of((x,)) for x in w] + [bucket_of(p) for p in zip(w, w[1:])])
+
+    raw, target, own = Counter(dict.fromkeys(range(buckets), 1)), Counter(dict.fromkeys(range(buckets), 1)), []
+    for i, text in docs:
+        own.append(grams(text))
+        raw.update(own[-1])
+        if i in good:
+            target.update(own[-1])
+    n, m = sum(raw.values()), sum(target.values())
+    out = []
+    for (i, text), g in zip(docs, own):
+        weight = sum(c * (math.log(target[b] / m) - math.log(raw[b] / n)) for b, c in g.items())
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=42)
+        for part in ("" if i is None else str(i), text or ""):
+            h = xxhash.xxh64_intdigest(part.encode(), seed=h)
+        h = h - (1 << 64) if h >> 63 else h
+        uniform = (h % (1 << 52) + 0.5) / (1 << 52)
+        out.append((weight, weight - math.log(-math.log(uniform))))
+    return out
