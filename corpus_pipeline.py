@@ -3,6 +3,10 @@
 Every stage works on all its predecessor kept, and its decisions take effect. ``run``
 writes each stage's documents as Parquet below ``spark.checkpoint.dir`` and
 reads them again for the next; what a stage no longer needs is deleted.
+
+Rows without an id are documents like any other. A null text has no letter, so it goes in the first stage;
+an empty one too. Of rows that repeat a text one stays in the second. An empty table stays empty
+through all stages, and columns beside those of ``documents`` are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids; ``text`` is decoded from them again.
     Columns beside those of ``documents``: ``ids`` (packed little-endian unsigned 32-bit
-    integers) and ``n_tokens``."""
+    integers) and ``n_tokens``; they replace columns of these names."""
     import public_tokenizers
 
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
