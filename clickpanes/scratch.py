@@ -44,10 +44,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def clear_scratch(spark: SparkSession) -> int:
     """Delete every path this session took from ``scratch_path`` (after the
-    results that read them are used); their number. Reliable checkpoints are
-    removed by Spark where ``spark.cleaner.referenceTracking.cleanCheckpoints``
-    is set."""
+    results that read them are used); their number. See ``clear_checkpoints``
+    for reliable checkpoints."""
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         delete_path(spark, path)
     return len(paths)
+
+
+def clear_checkpoints(spark: SparkSession) -> int:
+    """Delete the reliable checkpoints, and the written tables beside them, of this session (after the results that
+    read them are used); the number of folders. Spark gives every session a checkpoint folder of its own, so nothing of
+    another one is touched; scratch paths stay. Where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is
+    set, Spark deletes checkpoints itself once nothing refers to them."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        return 0
+    root = spark._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName() != _FOLDER] if fs.exists(root) else []
+    for path in found:
+        fs.delete(path, True)
+    return len(found)

@@ -24,3 +24,14 @@ def test_round_trips_are_deleted(spark):
     assert os.listdir(root)
     assert scratch.clear_scratch(spark) > 0
     assert os.listdir(root) == []
+
+
+def test_checkpoints_are_deleted(spark):
+    root = scratch.scratch_root(spark).replace("file:", "")
+    assert spark.range(10).checkpoint().count() == 10
+    kept = scratch.scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    assert any(name.startswith("rdd-") for name in os.listdir(root))
+    assert scratch.clear_checkpoints(spark) > 0
+    assert os.listdir(root) == ["clickpanes"] and spark.read.parquet(kept).count() == 3
+    assert scratch.clear_checkpoints(spark) == 0
