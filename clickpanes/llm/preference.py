@@ -10,11 +10,15 @@ the least turn that only one of them has, so it is found by a minimum, and no
 conversation has to be put together. The result is long: one row per rendered turn.
 
 Texts are dealt once, by pair. A pair with more than ``HOT_ROWS`` rows is dealt over as many
-salts as it has such shares, so a conversation with any number of turns never meets in one task.
+salts as it has such shares, so a conversation with any number of turns never meets in one task. All
+else happens where the turns then lie; only for hot pairs, which go separately, are facts of a pair gathered
+over its salts and copied to them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,10 +51,17 @@ def turns(df: DataFrame, pair_col: str = "conv_id", turn_col: str = "turn", role
     return dealt.distinct()
 
 
-def _with_pair(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Left join turns with one row per pair (``pair, salts``, ...), which is copied for each salt."""
-    copies = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return rows.join(copies, ["pair", "salt"], "left")
+def _split(rows: DataFrame, work: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+    """``work(rows, keys)`` of the ordinary pairs, which lie together under ``keys``, and of the hot ones."""
+    return work(rows.where("salts = 1"), ["pair", "salt"]).union(work(rows.where("salts > 1"), ["pair"]))
+
+
+def _with_pair(rows: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join turns with one row per pair: by ``keys`` where a pair lies together, else
+    the row is copied for each salt."""
+    if keys == ["pair"]:
+        pairs = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    return rows.join(pairs.drop("salts"), ["pair", "salt"], "left")
 
 
 def _place(*names: str) -> Column:
@@ -78,15 +89,16 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, train_role: str
     salts = both.groupBy("pair").agg(F.max("salts").alias("salts"))
     keys = ["pair", "turn", "role", "text"]
     marked = both.groupBy(*keys).agg(F.max("c").alias("c"), F.max("r").alias("r")).join(salts, "pair")
-    return segments(marked.select("pair", "salts", _salt(), "turn", "role", "text", "c", "r"), train_role)
+    marked = marked.select("pair", "salts", _salt(), "turn", "role", "text", "c", "r").repartition("pair", "salt")
+    return _split(marked, lambda rows, by: _segments(rows, by, train_role))
 
 
-def segments(marked: DataFrame, train_role: str = "assistant") -> DataFrame:
+def _segments(marked: DataFrame, keys: list[str], train_role: str) -> DataFrame:
     """``preference_segments`` of turns that are marked: ``pair, salts, salt, turn, role, text``, each once, and whether
     it is the chosen (``c``) and the rejected (``r``) conversation's."""
     place = _place("turn", "role", "text")
-    cut = marked.where("c <> r").groupBy("pair").agg(F.max("salts").alias("salts"), F.min(place).alias("cut"))
-    rows = _with_pair(marked, cut)
+    cut = marked.where("c <> r").groupBy(*keys).agg(F.max("salts").alias("salts"), F.min(place).alias("cut"))
+    rows = _with_pair(marked, cut, keys)
     shared = F.col("cut").isNull() | (place < F.col("cut"))
     of = lambda flag, name: F.when(F.col(flag), F.lit(name))
     parts = F.when(shared, F.array(F.lit("prompt"))).otherwise(F.array_compact(F.array(of("c", "chosen"), of("r", "rejected"))))
@@ -115,32 +127,38 @@ def assemble(segments: DataFrame) -> DataFrame:
     return segments.groupBy("pair").agg(text("prompt"), text("chosen"), text("rejected"))
 
 
-def stale_marked(conv: DataFrame, train_role: str = "assistant") -> DataFrame:
-    """The chosen conversations ``conv`` and rejected ones derived from them, marked for ``segments``.
-
-    A rejected conversation is the chosen one up to its last reply, with the text of the reply before in that place (a
-    stale answer); with one reply only, it ends before it. Conversations without a reply stay as they are."""
-    replies = conv.where(F.col("role") == train_role)
-    # Each task keeps a pair's last two before they are dealt.
-    back = F.row_number().over(Window.partitionBy("pair").orderBy(F.desc("turn"), F.desc("text")))
-    two = replies.select("pair", "salts", "turn", "text", back.alias("back")).where("back <= 2")
+def _stale(conv: DataFrame, keys: list[str], train_role: str) -> DataFrame:
+    """Turns marked for ``_segments``: the chosen conversations ``conv``, and the rejected ones derived from them."""
+    # Replies are ranked among all turns, so the dealt turns are read as they are, not dealt again without the rest.
+    reply = F.col("role") == train_role
+    back = F.row_number().over(Window.partitionBy(*keys).orderBy(reply.desc(), F.desc("turn"), F.desc("text")))
+    two = conv.withColumn("back", back).where((F.col("back") <= 2) & reply)
     nth = lambda k, c: F.max(F.when(F.col("back") == k, F.col(c)))
-    facts = two.groupBy("pair").agg(
+    facts = two.groupBy(*keys).agg(
         F.max("salts").alias("salts"), nth(1, "turn").alias("last"), nth(1, "text").alias("last_text"), nth(2, "turn").alias("before"), nth(2, "text").alias("stale")
     )
-    rows = _with_pair(conv, facts.withColumn("reply", F.lit(train_role)))
+    rows = _with_pair(conv, facts.withColumn("reply", F.lit(train_role)), keys)
     place, end = _place("turn", "role", "text"), _place("last", "reply", "last_text")
     # A stale text equal to the last, or of the last turn itself, is a turn the conversation has.
     same = F.col("stale").isNotNull() & (F.col("stale") == F.col("last_text"))
-    kept = F.col("last").isNull() | (place < end) | (same & (place == end))
-    kept = F.coalesce(kept, F.lit(False))
+    kept = F.coalesce(F.col("last").isNull() | (place < end) | (same & (place == end)), F.lit(False))
     source = (F.col("before") < F.col("last")) & ~same & (F.col("turn") == F.col("before")) & (F.col("role") == F.col("reply")) & (F.col("text") == F.col("stale"))
     own = F.struct(F.col("turn").alias("turn"), F.lit(True).alias("c"), kept.alias("r"))
     moved = F.when(F.coalesce(source, F.lit(False)), F.struct(F.col("last").alias("turn"), F.lit(False).alias("c"), F.lit(True).alias("r")))
-    rows = rows.select("pair", "salts", "role", "text", F.inline(F.array_compact(F.array(own, moved))))
-    return rows.select("pair", "salts", _salt(), "turn", "role", "text", "c", "r")
+    rows = rows.select("pair", "salts", "salt", "role", "text", F.inline(F.array_compact(F.array(own, moved))))
+    # The moved turn stays where it was: a salt only has to be below the pair's number of them.
+    return rows.select("pair", "salts", "salt", "turn", "role", "text", "c", "r")
+
+
+def stale_reply_segments(conv: DataFrame, train_role: str = "assistant") -> DataFrame:
+    """``preference_segments`` of conversations (from ``turns``) that have no rejected side.
+
+    A rejected conversation is the chosen one up to its last reply, with the text of the reply before in that place (a
+    stale answer); with one reply only, it ends before it. Conversations without a reply stay as they are."""
+    return _split(conv, lambda rows, keys: _segments(_stale(rows, keys, train_role), keys, train_role))
 
 
 def stale_reply_rejections(conv: DataFrame, train_role: str = "assistant") -> DataFrame:
-    """The rejected conversations of ``stale_marked``, as a side of their own."""
-    return stale_marked(conv, train_role).where("r").drop("c", "r")
+    """The rejected conversations of ``stale_reply_segments``, as a side of their own."""
+    rejected = _split(conv, lambda rows, keys: _stale(rows, keys, train_role)).where("r")
+    return rejected.select("pair", "salts", _salt(), "turn", "role", "text")

@@ -85,7 +85,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = preference.turns(_table(spark, sf_dir, "conversations"))
-    return preference.segments(preference.stale_marked(conv)).withColumnRenamed("pair", "conv_id")
+    return preference.stale_reply_segments(conv).withColumnRenamed("pair", "conv_id")
 
 
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

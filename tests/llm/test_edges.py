@@ -580,7 +580,7 @@ def test_preference_by_brute_force(spark, monkeypatch, hot):
     got = Counter((r.pair, r.part, r.turn, r.role, r.segment[len(f"<|im_start|>{r.role}\n") : -len("<|im_end|>\n")]) for r in found)
     assert got == want
     conv = preference.turns(chosen)
-    one = preference.segments(preference.stale_marked(conv))
+    one = preference.stale_reply_segments(conv)
     two = preference.preference_segments(conv, preference.stale_reply_rejections(conv))
     assert Counter(map(tuple, one.collect())) == Counter(map(tuple, two.collect()))
 
