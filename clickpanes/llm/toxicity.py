@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,8 @@ STRENGTH = 4.0
 DRIFT = 0.2
 SIGNIFICANT = 0.05
 BIN, BINS = 0.05, 1024  # of token scores; of evidence a bin is 0.25
-FORMS_KEPT = 1 << 18
+FORMS_KEPT = 1 << 18  # token and stem scores a task remembers
+NODES_KEPT = 1 << 16
 _TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -56,10 +58,14 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
-def nodes(token: str) -> list[int]:
+def node(form: str) -> int:
+    return xxhash.xxh64_intdigest(form.encode("utf-8", "replace")) % BUCKETS
+
+
+@lru_cache(NODES_KEPT)
+def nodes(token: str) -> tuple[int, ...]:
     """Buckets of a token's prefixes, shortest first, and of the token itself."""
-    forms = [f"{k}{token[:k]}" for k in PREFIXES if len(token) > k] + [f"w{token}"]
-    return [xxhash.xxh64_intdigest(f.encode("utf-8", "replace")) % BUCKETS for f in forms]
+    return tuple([node(f"{k}{token[:k]}") for k in PREFIXES if len(token) > k] + [node(f"w{token}")])
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
@@ -94,24 +100,38 @@ class Scorer:
     """Token scores from counts ``toxic`` and ``clean`` by bucket (documents that hold a node)."""
 
     def __init__(self, toxic: np.ndarray, clean: np.ndarray):
-        self.toxic, self.clean, self.known = toxic, clean, {}
+        self.toxic, self.clean, self.known, self.stems = toxic, clean, {}, {}
         share = (toxic.sum() + 1.0) / (toxic.sum() + clean.sum() + 2.0)
         self.base = float(share)
 
+    def _share(self, form: str, prior: float) -> float:
+        k = node(form)
+        y, n = self.toxic.item(k), self.clean.item(k)
+        return (y + STRENGTH * prior) / (y + n + STRENGTH)
+
     def token(self, token: str) -> float:
-        share = self.base
-        for k in nodes(token):
-            y = float(self.toxic[k])
-            share = (y + STRENGTH * share) / (y + float(self.clean[k]) + STRENGTH)
+        share, stems = self.base, self.stems
+        for k in PREFIXES:
+            if len(token) <= k:
+                break
+            stem = token[:k]
+            found = stems.get(stem)
+            if found is None:
+                found = stems[stem] = self._share(f"{k}{stem}", share)
+            share = found
+        share = self._share(f"w{token}", share)
         return math.log(share / (1 - share)) - math.log(self.base / (1 - self.base)) - DRIFT
 
     def scores(self, words: list[str]) -> list[float]:
         known, out = self.known, []
-        if len(known) > FORMS_KEPT:
-            known.clear()
         for w in words:
             s = known.get(w)
             if s is None:
+                # Also within a text, which may be of any length.
+                if len(known) >= FORMS_KEPT:
+                    known.clear()
+                if len(self.stems) >= FORMS_KEPT:
+                    self.stems.clear()
                 s = known[w] = self.token(w)
             out.append(s)
         return out
