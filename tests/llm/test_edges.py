@@ -450,6 +450,35 @@ def test_bpe(spark, odd, none):
     assert bpe.encode_documents(none, tokenizer).count() == 0
 
 
+def test_bpe_merges_short_parts_without_a_queue(monkeypatch):
+    """The common case costs no heap; both ways give the same ids, ties and repeats included."""
+    import random
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        model = bpe.Bpe(f.read())
+    draw = random.Random(8)
+    parts = [bytes(draw.choices(b"aeinrst", k=n)) for n in range(1, bpe.SHORT + 1) for _ in range(20)]
+    parts += [b"a" * n for n in range(1, bpe.SHORT + 1)] + [draw.randbytes(n) for n in range(1, bpe.SHORT + 1)]
+    slow = [model._merge_long(p) for p in parts]
+    monkeypatch.setattr(bpe, "heapq", None)
+    assert [model.merge(p) for p in parts] == slow
+
+
+def test_bpe_forgets_the_oldest_parts(monkeypatch):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        model = bpe.Bpe(f.read())
+    texts = [f" part{k % 7} of{k % 5} some{k}" for k in range(60)] * 2
+    whole = [model.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 4)
+    model.words.clear()
+    assert [model.encode(t) for t in texts] == whole
+    assert len(model.words) <= 4 and len(model.older) <= 4
+
+
 def test_bpe_equals_library():
     import random
 
