@@ -275,3 +275,38 @@ def test_slice_where_clocks_change(spark, scratch, zone, date, hours):
         assert got == want and abs(len(got) - hours) <= 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_many_folders_cost_few_tasks_and_no_files_beside_the_data(spark, scratch):
+    """A store's folders are listed by a number of tasks that does not grow with them, and a value's file has no companion."""
+    path, group = scratch("wide"), "wide-listing"
+    folders = store.LISTERS * spark.sparkContext.defaultParallelism + 20
+    rows = spark.range(2 * folders).select((F.col("id") % folders).alias("k"), "id")
+    before = spark.conf.get(store._LISTING)
+    assert store.publish(store.by_value(rows, "k", ["id"]), path, "one", "k")
+    assert not glob.glob(f"{_local(path)}/k=*/.*.crc") and len(_files(path)) >= folders
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        back = store.read_store(spark, path, rows.schema, "k")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= store.LISTERS * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(store._LISTING) == before
+    assert sorted(r.id for r in back.collect()) == list(range(2 * folders))
+
+
+def test_a_damaged_page_is_an_error(spark, scratch):
+    path = scratch("damaged")
+    rows = spark.range(20_000).select(F.lit(1).alias("k"), F.xxhash64("id").alias("v"))
+    store.publish(store.by_value(rows, "k", []), path, "one", "k", page_rows=20_000)
+    (file,) = _files(path)
+    with open(file, "r+b") as f:
+        f.seek(os.path.getsize(file) // 2)
+        old = f.read(1)
+        f.seek(-1, os.SEEK_CUR)
+        f.write(bytes([old[0] ^ 0x55]))
+    with pytest.raises(Exception, match="(?i)crc|checksum|corrupt"):
+        store.read_store(spark, path, rows.schema, "k").agg(F.sum("v")).collect()
